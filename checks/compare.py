@@ -78,7 +78,14 @@ def main(arguments: list[str]) -> int:
 
     folder, names = arguments[0], arguments[1:]
     spark = build_session(
-        "compare", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+        "compare",
+        "local[8]",
+        8,
+        {
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql, failed = connect(folder), all_sql(), 0

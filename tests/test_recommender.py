@@ -1,0 +1,40 @@
+"""Sampling, training and scoring."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelhouse.plans import recommender
+from tests.conftest import rows_of
+
+
+@pytest.fixture(scope="module")
+def ratings(sample):
+    return sample.ratings_enriched().persist()
+
+
+def test_sample_is_repeatable_and_close_to_its_share(ratings):
+    first = recommender.training_sample(ratings)
+    again = recommender.training_sample(ratings.repartition(3, F.rand()))
+    assert first.exceptAll(again).isEmpty() and again.exceptAll(first).isEmpty()
+    share = first.count() / ratings.count()
+    assert 0.09 < share < 0.11
+    other = recommender.training_sample(ratings, seed=7)
+    assert not first.exceptAll(other).isEmpty()
+    assert recommender.training_sample(ratings, fraction=1.0).count() == ratings.count()
+
+
+def test_top_scores(ratings):
+    sample = recommender.training_sample(ratings)
+    scores = recommender.top_scores(recommender.train(sample)).persist()
+    users = sample.select("userId").distinct().count()
+    per_user = scores.groupBy("userId").count()
+    assert per_user.count() == users
+    assert per_user.filter("count <> 10").isEmpty()
+    values = [r[0] for r in scores.select("predicted_score").collect()]
+    assert all(math.isfinite(v) and v >= 0 and round(v, 4) == v for v in values)
+    again = recommender.top_scores(recommender.train(sample))
+    assert sorted(rows_of(scores.select("userId", "movieId"))) == sorted(
+        rows_of(again.select("userId", "movieId"))
+    )
