@@ -46,18 +46,18 @@ class Lakehouse:
         tags: DataFrame,
         cutoff_year: int = fixed.BATCH_CUTOFF_YEAR,
     ) -> None:
-        """Load the input files. Ratings take one pass and leave a commit per batch."""
-        for raw in (self.bronze_ratings, self.bronze_movies, self.bronze_tags):
-            raw.delete_all()
+        """Replace the raw tables. Ratings take one pass and leave a commit per batch."""
         self.bronze_ratings.append_batches(
             csv_files.with_provenance(ratings, bronze.rating_batch(cutoff_year)),
             bronze.RATING_BATCHES,
             overflow=bronze.UNDATED_BATCH,
+            clear=True,
         )
         for raw, rows in ((self.bronze_movies, movies), (self.bronze_tags, tags)):
             raw.append(
                 csv_files.with_provenance(rows, fixed.DIMENSION_BATCH),
                 fixed.DIMENSION_BATCH,
+                clear=True,
             )
 
     def check_raw(self, ratings: DataFrame) -> None:
@@ -97,10 +97,15 @@ class Lakehouse:
 
     # -- aggregated ------------------------------------------------------
 
+    def store_genre_decade(self) -> None:
+        self.genre_decade.overwrite(gold.genre_decade_stats(self.ratings.read()))
+
+    def store_distribution(self) -> None:
+        self.distribution.overwrite(gold.rating_distribution(self.ratings.read()))
+
     def aggregate(self) -> None:
-        enriched = self.ratings.read()
-        self.genre_decade.overwrite(gold.genre_decade_stats(enriched))
-        self.distribution.overwrite(gold.rating_distribution(enriched))
+        self.store_genre_decade()
+        self.store_distribution()
 
     def recommend(self) -> None:
         """Train on the sample and store the top movies of each trained user."""

@@ -23,6 +23,10 @@ from reelhouse.schemas import COMMIT_LOG, conform
 APPEND, DELETE, OVERWRITE = "append", "delete", "overwrite"
 
 
+def _deletion() -> tuple[str, str, str, int]:
+    return uuid.uuid4().hex, "", DELETE, 0
+
+
 class LakeTable:
     def __init__(
         self,
@@ -38,22 +42,27 @@ class LakeTable:
 
     # -- writing ---------------------------------------------------------
 
-    def append(self, df: DataFrame, batch_id: str = "") -> None:
-        self._commit(df, batch_id, APPEND)
+    def append(self, df: DataFrame, batch_id: str = "", clear: bool = False) -> None:
+        """Add rows; ``clear`` deletes the earlier ones in a commit just before."""
+        self._commit(df, batch_id, APPEND, clear)
 
     def overwrite(self, df: DataFrame, batch_id: str = "") -> None:
         """Replace the visible rows in one step."""
         self._commit(df, batch_id, OVERWRITE)
 
     def delete_all(self) -> None:
-        self._log([(uuid.uuid4().hex, "", DELETE, 0)])
+        self._log([_deletion()])
 
     def append_batches(
-        self, df: DataFrame, batch_ids: Sequence[str], overflow: str
+        self,
+        df: DataFrame,
+        batch_ids: Sequence[str],
+        overflow: str,
+        clear: bool = False,
     ) -> None:
         """Append rows that carry ``batch_id`` as one commit per batch, in one pass.
 
-        ``overflow`` names one more batch, committed only when it has rows. A row
+        ``clear`` deletes the earlier rows in a commit just before. ``overflow`` names one more batch, committed only when it has rows. A row
         of any other batch fails the job instead of getting lost.
         """
         commits = {batch: uuid.uuid4().hex for batch in (*batch_ids, overflow)}
@@ -68,19 +77,21 @@ class LakeTable:
             for i, commit in enumerate(commits.values())
         ]
         added = self._write(rows, counts)
-        self._log(
-            [
-                (commit, batch, APPEND, added[f"n{i}"])
-                for i, (batch, commit) in enumerate(commits.items())
-                if batch != overflow or added[f"n{i}"]
-            ]
-        )
+        appends = [
+            (commit, batch, APPEND, added[f"n{i}"])
+            for i, (batch, commit) in enumerate(commits.items())
+            if batch != overflow or added[f"n{i}"]
+        ]
+        self._log([_deletion(), *appends] if clear else appends)
 
-    def _commit(self, df: DataFrame, batch_id: str, operation: str) -> None:
+    def _commit(
+        self, df: DataFrame, batch_id: str, operation: str, clear: bool = False
+    ) -> None:
         commit = uuid.uuid4().hex
         rows = conform(df, self.schema).withColumn("commit_id", F.lit(commit))
         added = self._write(rows, [F.count("*").alias("n")])
-        self._log([(commit, batch_id, operation, added["n"])])
+        entry = (commit, batch_id, operation, added["n"])
+        self._log([_deletion(), entry] if clear else [entry])
 
     def _write(self, rows: DataFrame, counts: list[Column]) -> dict[str, int]:
         """Write once; the counts come from the same pass."""
@@ -97,15 +108,22 @@ class LakeTable:
     def _log(self, entries: list[tuple[str, str, str, int]]) -> None:
         """Log entries in order; they become visible together, in one file."""
         self._create_log()
-        last = self.log().agg(F.max("seq")).first()[0] or 0
-        numbered = [(last + i, *entry) for i, entry in enumerate(entries, start=1)]
-        ddl = "seq INT, commit_id STRING, batch_id STRING, operation STRING, added_rows BIGINT"
-        entry_rows = self.spark.createDataFrame(numbered, ddl).withColumn(
-            "committed_at", F.current_timestamp()
-        )
-        conform(entry_rows, COMMIT_LOG).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/log"
+        last = max((row.seq for row in self.log().select("seq").collect()), default=0)
+        columns = ("commit_id", "batch_id", "operation", "added_rows")
+        numbered = [
+            F.struct(
+                F.lit(seq).alias("seq"),
+                *[F.lit(value).cast(COMMIT_LOG[name].dataType).alias(name)
+                  for name, value in zip(columns, entry)],
+            )
+            for seq, entry in enumerate(entries, start=last + 1)
+        ]
+        rows = (
+            self.spark.range(0, 1, 1, 1)
+            .select(F.inline(F.array(*numbered)))
+            .withColumn("committed_at", F.current_timestamp())
         )
+        conform(rows, COMMIT_LOG).write.mode("append").parquet(f"{self.path}/log")
 
     def _create_log(self) -> None:
         """An empty log, unless there is one."""
@@ -144,19 +162,16 @@ class LakeTable:
         return self._read(known)
 
     def _read(self, log: DataFrame) -> DataFrame:
-        """Rows of the commits since the last reset, by folder: no other is listed."""
-        reset = F.coalesce(
-            F.max(F.when(F.col("operation") != APPEND, F.col("seq"))), F.lit(0)
-        )
-        last_reset = log.agg(reset).scalar()
-        visible = log.filter(
-            (F.col("seq") >= last_reset)
-            & (F.col("operation") != DELETE)
-            & (F.col("added_rows") > 0)
-        )
+        """Rows of the commits since the last reset, by folder: no other is listed.
+
+        Only log entries, one per commit, come to the driver.
+        """
+        entries = log.select("seq", "commit_id", "operation", "added_rows").collect()
+        last_reset = max((e.seq for e in entries if e.operation != APPEND), default=0)
         folders = [
-            f"{self.path}/data/commit_id={row.commit_id}"
-            for row in visible.select("commit_id").collect()
+            f"{self.path}/data/commit_id={e.commit_id}"
+            for e in entries
+            if e.seq >= last_reset and e.operation != DELETE and e.added_rows
         ]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
