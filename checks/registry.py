@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
-from reelhouse import schemas
 from reelhouse.functions import events as event_fn
 from reelhouse.operators import event_windows, quality
 from reelhouse.operators.dedup import repeated_keys
@@ -18,7 +17,6 @@ from reelhouse.plans import bronze, gold, insights, live, recommender, replicas,
 from reelhouse.plans.lakehouse import Lakehouse
 from reelhouse.session import new_work_path
 from reelhouse.sources import csv_files, event_log
-from reelhouse.sources.lake import LakeTable
 from reelhouse.sources.sample_views import SampleViews
 from reelhouse.streaming import jobs
 
@@ -171,14 +169,43 @@ def reco_csv_import(v: SampleViews) -> DataFrame:
     return csv_files.read_recommendations(v.spark, path)
 
 
+@lru_cache(maxsize=8)
+def _served(spark: SparkSession, folder: str) -> replicas.ServingTables:
+    """The serving copies, loaded twice: the last load must be there once."""
+    views = SampleViews(spark, folder)
+    serving = replicas.ServingTables(spark, new_work_path(spark, "serving"))
+    for _ in range(2):
+        serving.reload_recommendations(views.recommendation_scores())
+        serving.reload_movies(views.movies_raw(), serving_rows(serving))
+        serving.reload_activity(_activity(views), MIRROR_ROWS)
+    return serving
+
+
+def serving_rows(serving: replicas.ServingTables) -> DataFrame:
+    return serving.recommendations.read().withColumnRenamed("movie_id", "movieId")
+
+
+@_query
+def replica_recommendations(v: SampleViews) -> DataFrame:
+    return _served(v.spark, v.folder).recommendations.read()
+
+
 @_query
-def replica_reload(v: SampleViews) -> DataFrame:
-    """A replica loaded twice holds the last load once."""
-    schema = schemas.GOLD_RECOMMENDATIONS
-    replica = LakeTable(v.spark, new_work_path(v.spark, "replica"), schema)
-    replica.overwrite(v.recommendations())
-    replica.overwrite(replicas.for_point_reads(replica.read(), "userId"))
-    return replica.read()
+def replica_documents(v: SampleViews) -> DataFrame:
+    documents = _served(v.spark, v.folder).documents.read()
+    return documents.select("user_id", F.posexplode("items").alias("pos", "item")).select(
+        "user_id", "pos", "item.movie_id", "item.predicted_score"
+    )
+
+
+@_query
+def replica_dim_movie(v: SampleViews) -> DataFrame:
+    return _served(v.spark, v.folder).movies.read()
+
+
+@_query
+def replica_genre_activity(v: SampleViews) -> DataFrame:
+    return _served(v.spark, v.folder).activity.read()
 
 
 # -- cleaned layer -------------------------------------------------------
@@ -378,6 +405,11 @@ def trending_tumbling_1d(v: SampleViews) -> DataFrame:
     return _trending(v)
 
 
+@_query
+def trending_sliding_1d_6h(v: SampleViews) -> DataFrame:
+    return event_windows.trending(v.platform_events(), DAY, SIX_HOURS)
+
+
 @_query
 def genre_sliding(v: SampleViews) -> DataFrame:
     return event_windows.genre_activity(v.platform_events())
@@ -406,6 +438,16 @@ def trending_top_k(v: SampleViews) -> DataFrame:
     return live.trending_top_k(_trending(v))
 
 
+@_query
+def trending_panel(v: SampleViews) -> DataFrame:
+    return live.trending_panel(live.trending_top_k(_trending(v)))
+
+
+@_query
+def genre_panel(v: SampleViews) -> DataFrame:
+    return live.genre_panel(live.most_active_genres(_activity(v), LAST_ENDS))
+
+
 @_query
 def genre_recent_n(v: SampleViews) -> DataFrame:
     return live.most_active_genres(_activity(v), LAST_ENDS)

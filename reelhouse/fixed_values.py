@@ -47,6 +47,10 @@ BURST_ALERT_TYPE = "RATING_BURST"
 BURST_MESSAGE_FORMAT = "Usuario %s emitio %s ratings en ventana (%s -> %s)"
 SESSION_GAP_SECONDS = 120
 
+# Live panels.
+TRENDING_PANEL_COLUMNS = ("ID Película", "Título", "Cantidad de Ratings")
+GENRE_PANEL_COLUMNS = ("Género", "Total Eventos")
+
 # Alert panel.
 FRESH_ALERT_SECONDS = 300
 AGE_IN_SECONDS_BELOW = 120

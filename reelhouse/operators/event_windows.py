@@ -33,27 +33,36 @@ def _bounds() -> list[Column]:
 
 
 def trending(
-    events: DataFrame, window_seconds: int = fixed.TRENDING_WINDOW_SECONDS
+    events: DataFrame,
+    window_seconds: int = fixed.TRENDING_WINDOW_SECONDS,
+    slide_seconds: int | None = None,
 ) -> DataFrame:
-    """Events of any type per item and tumbling window, with the first title seen."""
-    keyed = events.filter(F.col("movie_id").isNotNull()).select(
-        _window("event_ts", window_seconds), "movie_id", "movie_title", "event_ts"
-    )
+    """Events of any type per movie and window, with the first title seen.
+
+    Windows tumble unless ``slide_seconds`` is given.
+    """
+    known = events.filter(F.col("movie_id").isNotNull())
     has_title = F.col("movie_title") != ""
+    first = F.min(F.when(has_title, F.struct("event_ts", "movie_title"))).alias("first")
     if events.isStreaming:
-        totals = keyed.groupBy("window", "movie_id").agg(
-            F.count("*").alias("rating_count"),
-            F.min(F.when(has_title, F.struct("event_ts", "movie_title"))).alias("first"),
+        window = _window("event_ts", window_seconds, slide_seconds)
+        totals = known.groupBy(window, "movie_id").agg(
+            F.count("*").alias("rating_count"), first
         )
     else:
         # Titles as a grouping key keep the large step a hash aggregate; taking
         # the earliest title of the folded rows is then a small step.
-        folded = keyed.groupBy("window", "movie_id", "movie_title").agg(
-            F.count("*").alias("n"), F.min("event_ts").alias("event_ts")
+        pane_seconds = math.gcd(window_seconds, slide_seconds or window_seconds)
+        panes = (
+            known.groupBy(
+                _window("event_ts", pane_seconds).alias("pane"), "movie_id", "movie_title"
+            )
+            .agg(F.count("*").alias("n"), F.min("event_ts").alias("event_ts"))
+            .withColumn("pane_start", F.col("pane.start"))
         )
-        totals = folded.groupBy("window", "movie_id").agg(
-            F.sum("n").alias("rating_count"),
-            F.min(F.when(has_title, F.struct("event_ts", "movie_title"))).alias("first"),
+        window = _window("pane_start", window_seconds, slide_seconds)
+        totals = panes.groupBy(window, "movie_id").agg(
+            F.sum("n").alias("rating_count"), first
         )
     return totals.select(
         *_bounds(),

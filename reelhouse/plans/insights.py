@@ -26,7 +26,7 @@ def user_recommendations(
         .limit(limit)
     )
     return (
-        left_lookup_few(best, _display(movies), "movieId")
+        left_lookup_few(best, _display(movies), "movieId", limit)
         .select(
             F.col("userId").alias("user_id"),
             F.col("movieId").alias("movie_id"),
@@ -63,7 +63,7 @@ def most_recommended_movies(
         .limit(limit)
     )
     return (
-        left_lookup_few(winners, _display(movies), "movieId")
+        left_lookup_few(winners, _display(movies), "movieId", limit)
         .select(
             F.col("movieId").alias("movie_id"),
             "title",

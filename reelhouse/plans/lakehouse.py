@@ -6,13 +6,13 @@ so earlier versions stay readable) and all others are replaced in one step.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
 from reelhouse import schemas
 from reelhouse.operators import quality
+from reelhouse.operators.lookups import fits_broadcast
 from reelhouse.plans import bronze, gold, recommender, silver
 from reelhouse.plans.replicas import for_point_reads
 from reelhouse.sources import csv_files
@@ -37,6 +37,25 @@ class Lakehouse:
             "gold/rating_distribution", schemas.GOLD_RATING_DISTRIBUTION
         )
 
+    def tables(self) -> dict[str, LakeTable]:
+        return {
+            "bronze_ratings": self.bronze_ratings,
+            "bronze_movies": self.bronze_movies,
+            "bronze_tags": self.bronze_tags,
+            "silver_movies": self.movies,
+            "silver_ratings_enriched": self.ratings,
+            "silver_tags_clean": self.tags,
+            "gold_recommendations": self.recommendations,
+            "gold_stats_genre_decade": self.genre_decade,
+            "gold_rating_distribution": self.distribution,
+        }
+
+    def register_views(self) -> None:
+        """Name the current version of every stored table for ``spark.sql``."""
+        for name, table in self.tables().items():
+            if table.exists():
+                table.read().createOrReplaceTempView(name)
+
     # -- raw -------------------------------------------------------------
 
     def ingest(
@@ -84,10 +103,22 @@ class Lakehouse:
 
     def refine(self) -> None:
         self.movies.overwrite(silver.clean_movies(self.bronze_movies.read()))
-        ratings = silver.clean_ratings(self.bronze_ratings.read())
-        self.ratings.overwrite(silver.enrich_ratings(ratings, self.movies.read()))
+        self._store_enriched()
         self.tags.overwrite(silver.clean_tags(self.bronze_tags.read()))
 
+    def _store_enriched(self) -> None:
+        """Join and store by year. With a small movie table, ratings are spread over
+        the years before they get their movie's columns: the shuffle then moves
+        narrow rows. Otherwise the join shuffles too, and spreading comes last.
+        """
+        ratings = silver.clean_ratings(self.bronze_ratings.read())
+        movies = self.movies.read()
+        small = fits_broadcast(movies)
+        if small:
+            ratings = ratings.hint("rebalance", *self.ratings.partition_by)
+            movies = F.broadcast(movies)
+        self.ratings.overwrite(silver.enrich_ratings(ratings, movies), spread=not small)
+
     def check_cleaned(self) -> None:
         quality.require_ok(
             quality.bad_row_counts(
@@ -117,10 +148,7 @@ class Lakehouse:
 
     def gold_ready(self) -> bool:
         """Whether recommendations have been stored."""
-        try:
-            return not self.recommendations.read().isEmpty()
-        except AnalysisException:
-            return False
+        return self.recommendations.exists() and not self.recommendations.read().isEmpty()
 
     def run(
         self,

@@ -10,7 +10,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse import fixed_values as fixed
 from reelhouse.functions import alerts as alert_fn
+from reelhouse.functions.events import title_or_default
+from reelhouse.operators.lookups import rows_with_few_keys
 
 _NEWEST_FIRST = ("detected_at", "session_start", "user_id")
 
@@ -49,8 +52,7 @@ def most_active_genres(activity: DataFrame, last_n_windows: int = 30) -> DataFra
         .orderBy(F.desc("window_end"))
         .limit(last_n_windows)
     )
-    # The LIMIT bounds the broadcast side.
-    recent = activity.join(F.broadcast(ends), "window_end", "left_semi")
+    recent = rows_with_few_keys(activity, ends, "window_end", last_n_windows)
     return (
         recent.groupBy("genre")
         .agg(F.sum("event_count").alias("total_events"))
@@ -58,6 +60,25 @@ def most_active_genres(activity: DataFrame, last_n_windows: int = 30) -> DataFra
     )
 
 
+def trending_panel(trending: DataFrame) -> DataFrame:
+    """Trending rows under the panel's column names."""
+    movie_id = F.col("movie_id")
+    title = title_or_default(F.col("movie_title"), movie_id)
+    count = F.coalesce(F.col("rating_count"), F.lit(0))
+    columns = (movie_id, title, count)
+    return trending.select(
+        *[c.alias(name) for c, name in zip(columns, fixed.TRENDING_PANEL_COLUMNS)]
+    )
+
+
+def genre_panel(genres: DataFrame) -> DataFrame:
+    """Genre totals under the panel's column names."""
+    columns = (F.col("genre"), F.col("total_events"))
+    return genres.select(
+        *[c.alias(name) for c, name in zip(columns, fixed.GENRE_PANEL_COLUMNS)]
+    )
+
+
 def recent_alerts(alerts: DataFrame, limit: int = 10) -> DataFrame:
     return _newest(alerts, limit)
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse import schemas
+from reelhouse.operators.dedup import repeated_keys
+from reelhouse.operators.quality import QualityError
+from reelhouse.plans.gold import recommended_movies
+from reelhouse.sources.lake import LakeTable
+
 
 def user_documents(recommendations: DataFrame) -> DataFrame:
     """One row per user with the user's recommendations nested, best first.
@@ -34,3 +40,38 @@ def latest_activity(activity: DataFrame, rows: int = 20_000) -> DataFrame:
 def for_point_reads(df: DataFrame, key: str) -> DataFrame:
     """Range-partition and sort by ``key``, so a lookup reads one row group."""
     return df.repartitionByRange(key).sortWithinPartitions(key)
+
+
+class ServingTables:
+    """Copies of gold and window results for point reads, replaced as a whole."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        def table(name, schema):
+            return LakeTable(spark, f"{root}/{name}", schema)
+
+        self.recommendations = table(
+            "user_recommendations", schemas.USER_RECOMMENDATIONS
+        )
+        self.documents = table("gold_user_recommendations", schemas.USER_DOCUMENTS)
+        self.movies = table("dim_movie", schemas.DIM_MOVIE)
+        self.activity = table("genre_activity_mirror", schemas.GENRE_ACTIVITY)
+
+    def reload_recommendations(self, recommendations: DataFrame) -> None:
+        """Replace the flat and the nested copy; a repeated (user, movie) fails."""
+        flat = recommendations.select(
+            F.col("userId").alias("user_id"),
+            F.col("movieId").alias("movie_id"),
+            "predicted_score",
+        )
+        repeated = repeated_keys(flat, ["user_id", "movie_id"]).limit(5).collect()
+        if repeated:
+            raise QualityError(f"repeated (user_id, movie_id): {repeated}")
+        self.recommendations.overwrite(for_point_reads(flat, "user_id"))
+        nested = user_documents(recommendations)
+        self.documents.overwrite(for_point_reads(nested, "user_id"))
+
+    def reload_movies(self, movies: DataFrame, recommendations: DataFrame) -> None:
+        self.movies.overwrite(recommended_movies(movies, recommendations))
+
+    def reload_activity(self, activity: DataFrame, rows: int = 20_000) -> None:
+        self.activity.overwrite(latest_activity(activity, rows))

@@ -24,6 +24,10 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Reports with a huge limit sort in parallel instead of filling a heap in memory.
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
+    # Write a few partitions side by side instead of sorting rows by partition.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Window state beyond the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -1,8 +1,18 @@
-"""Writers to serving databases, through whichever connector is installed."""
+"""Databases and table catalogs, through whichever connector is installed."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def append_to_catalog(df: DataFrame, table: str) -> None:
+    """Append to a catalog table by column name (e.g. an Iceberg catalog's)."""
+    df.writeTo(table).append()
+
+
+def read_version(spark: SparkSession, table: str, version: str) -> DataFrame:
+    """A catalog table as of one of its versions."""
+    return spark.read.option("versionAsOf", version).table(table)
 
 
 def reload_jdbc(

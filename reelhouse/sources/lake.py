@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,13 +43,19 @@ class LakeTable:
 
     # -- writing ---------------------------------------------------------
 
-    def append(self, df: DataFrame, batch_id: str = "", clear: bool = False) -> None:
-        """Add rows; ``clear`` deletes the earlier ones in a commit just before."""
-        self._commit(df, batch_id, APPEND, clear)
+    def append(
+        self, df: DataFrame, batch_id: str = "", clear: bool = False, spread: bool = True
+    ) -> None:
+        """Add rows; ``clear`` deletes the earlier ones in a commit just before.
+
+        With ``spread``, rows are shuffled into well-sized files per partition
+        value; adaptive execution splits a value that holds most of the rows.
+        """
+        self._commit(df, batch_id, APPEND, spread, clear)
 
-    def overwrite(self, df: DataFrame, batch_id: str = "") -> None:
+    def overwrite(self, df: DataFrame, batch_id: str = "", spread: bool = True) -> None:
         """Replace the visible rows in one step."""
-        self._commit(df, batch_id, OVERWRITE)
+        self._commit(df, batch_id, OVERWRITE, spread)
 
     def delete_all(self) -> None:
         self._log([_deletion()])
@@ -72,11 +79,12 @@ class LakeTable:
             F.raise_error(F.concat(F.lit("unlisted batch: "), F.col("batch_id"))),
         )
         rows = conform(df, self.schema).withColumn("commit_id", commit_id)
+        # Few batches, so few files per task: no shuffle is worth its cost here.
         counts = [
             F.count_if(F.col("commit_id") == commit).alias(f"n{i}")
             for i, commit in enumerate(commits.values())
         ]
-        added = self._write(rows, counts)
+        added = self._write(rows, counts, "data", ["commit_id", *self.partition_by])
         appends = [
             (commit, batch, APPEND, added[f"n{i}"])
             for i, (batch, commit) in enumerate(commits.items())
@@ -85,24 +93,34 @@ class LakeTable:
         self._log([_deletion(), *appends] if clear else appends)
 
     def _commit(
-        self, df: DataFrame, batch_id: str, operation: str, clear: bool = False
+        self,
+        df: DataFrame,
+        batch_id: str,
+        operation: str,
+        spread: bool,
+        clear: bool = False,
     ) -> None:
         commit = uuid.uuid4().hex
-        rows = conform(df, self.schema).withColumn("commit_id", F.lit(commit))
-        added = self._write(rows, [F.count("*").alias("n")])
+        rows = conform(df, self.schema)
+        if spread and self.partition_by:
+            rows = rows.hint("rebalance", *self.partition_by)
+        counts = [F.count("*").alias("n")]
+        added = self._write(rows, counts, f"data/commit_id={commit}", self.partition_by)
         entry = (commit, batch_id, operation, added["n"])
         self._log([_deletion(), entry] if clear else [entry])
 
-    def _write(self, rows: DataFrame, counts: list[Column]) -> dict[str, int]:
-        """Write once; the counts come from the same pass."""
-        if self.partition_by:
-            # Well-sized files per partition value; adaptive execution splits a
-            # value that holds most of the rows over many tasks.
-            rows = rows.hint("rebalance", *self.partition_by)
+    def _write(
+        self, rows: DataFrame, counts: list[Column], folder: str, partition_by: list[str]
+    ) -> dict[str, int]:
+        """Write once; the counts come from the same pass.
+
+        They are taken in the writing stage itself, so a task that runs again
+        after a lost executor is not counted twice.
+        """
         seen = Observation()
         rows.observe(seen, *counts).write.mode("append").partitionBy(
-            "commit_id", *self.partition_by
-        ).parquet(f"{self.path}/data")
+            *partition_by
+        ).parquet(f"{self.path}/{folder}")
         return seen.get
 
     def _log(self, entries: list[tuple[str, str, str, int]]) -> None:
@@ -136,6 +154,15 @@ class LakeTable:
         """The commits so far; fails when the table was never written."""
         return self.spark.read.schema(COMMIT_LOG).parquet(f"{self.path}/log")
 
+    def exists(self) -> bool:
+        """Whether anything was ever committed."""
+        try:
+            return not self.log().isEmpty()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+
     def snapshots(self) -> DataFrame:
         """Every version with the rows visible in it. The log is small by nature."""
         by_seq = Window.orderBy("seq")

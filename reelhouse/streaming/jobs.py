@@ -59,9 +59,12 @@ def start_trending(
     out: str,
     checkpoints: str,
     window_seconds: int = fixed.TRENDING_WINDOW_SECONDS,
+    slide_seconds: int | None = None,
     until_caught_up: bool = False,
 ) -> StreamingQuery:
-    results = event_windows.trending(timed_events(messages), window_seconds)
+    results = event_windows.trending(
+        timed_events(messages), window_seconds, slide_seconds
+    )
     return start_append(
         results,
         f"{out}/trending_movies",

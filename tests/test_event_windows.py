@@ -174,3 +174,23 @@ def test_folded_sessions_equal_session_windows(spark, rows, gap):
 def test_every_event_is_in_one_tumbling_window(spark, rows):
     total = event_windows.trending(frame(spark, rows)).agg(F.sum("rating_count"))
     assert rows_of(total) == [(len(rows),)]
+
+
+@small
+@given(events_strategy, st.sampled_from([(300, 10), (300, 300), (100, 40)]))
+def test_folded_trending_equals_direct_counts(spark, rows, shape):
+    size, slide = shape
+    events = frame(spark, rows)
+    first = F.min(F.when(F.col("movie_title") != "", F.struct("event_ts", "movie_title")))
+    direct = (
+        events.groupBy(F.window("event_ts", f"{size} seconds", f"{slide} seconds"), "movie_id")
+        .agg(F.count("*").alias("n"), first.alias("first"))
+        .select(
+            "window.start",
+            "window.end",
+            "movie_id",
+            event_fn.title_or_default(F.col("first.movie_title"), F.col("movie_id")),
+            "n",
+        )
+    )
+    assert sorted(rows_of(event_windows.trending(events, size, slide))) == sorted(rows_of(direct))

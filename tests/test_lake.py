@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.operators import quality
+from reelhouse.plans import replicas
 from reelhouse.plans.lakehouse import Lakehouse
 from reelhouse.session import new_work_path
 from reelhouse.sources import csv_files
@@ -56,7 +57,7 @@ def test_versions(spark, table):
 
 def test_rows_of_a_commit_that_was_never_logged_stay_invisible(spark, table):
     table.append(rows(spark, 0, 5), "b")
-    table._write(rows(spark, 5, 9).withColumn("commit_id", F.lit("dead")), [F.count("*")])
+    table._write(rows(spark, 5, 9), [F.count("*")], "data/commit_id=dead", [])
     assert table.read().count() == 5
 
 
@@ -153,3 +154,40 @@ def test_quality_reports_every_failure(spark):
         quality.require_ok(quality.layer_report(good, bad, bad))
     for name in ("bronze_rows_equal_input=1", "bronze_rating_out_of_range=1", "silver_null_key=1"):
         assert name in str(error.value)
+
+
+def test_stored_tables_answer_sql(spark, house):
+    lake, _ = house
+    lake.register_views()
+    mine = spark.sql(
+        """
+        select r.userId, r.movieId, m.title_clean, r.predicted_score
+        from gold_recommendations r left join silver_movies m using (movieId)
+        where r.userId = :user order by predicted_score desc limit 5
+        """,
+        args={"user": lake.recommendations.read().first().userId},
+    )
+    scores = [r.predicted_score for r in mine.collect()]
+    assert len(scores) == 5 and scores == sorted(scores, reverse=True)
+    assert spark.sql("select count(*) from silver_tags_clean").first()[0] > 0
+
+
+def test_enriching_a_large_movie_table_stores_the_same_rows(house, monkeypatch):
+    lake, _ = house
+    before = lake.ratings.read().drop("genre_list").persist()
+    before.count()
+    monkeypatch.setattr("reelhouse.plans.lakehouse.fits_broadcast", lambda df: False)
+    lake._store_enriched()
+    after = lake.ratings.read().drop("genre_list")
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+
+
+def test_serving_copies(spark, sample):
+    serving = replicas.ServingTables(spark, new_work_path(spark, "serving"))
+    scores = sample.recommendation_scores()
+    serving.reload_recommendations(scores)
+    with pytest.raises(quality.QualityError, match="repeated"):
+        serving.reload_recommendations(scores.unionByName(scores.limit(1)))
+    assert serving.recommendations.read().count() == scores.count()
+    users = scores.select("userId").distinct().count()
+    assert serving.documents.read().count() == users

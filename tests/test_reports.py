@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from reelhouse.operators import lookups
 from reelhouse.plans import insights, live, replicas
 from tests.conftest import rows_of, utc
 
@@ -29,6 +30,21 @@ def test_user_recommendations_keep_unknown_movies(spark):
     assert insights.user_recommendations(scores(spark), movies(spark), 77).isEmpty()
 
 
+def test_large_limits_give_the_same_rows(spark, monkeypatch):
+    expected = rows_of(insights.user_recommendations(scores(spark), movies(spark), 1, 9))
+    huge = insights.user_recommendations(scores(spark), movies(spark), 1, 10**9)
+    assert rows_of(huge) == expected
+    assert "broadcast" not in huge._jdf.queryExecution().analyzed().toString()
+
+
+def test_size_check_counts_rows_and_text(spark):
+    table = movies(spark).withColumn("genre_list", F.split("genres", r"\|"))
+    assert lookups.fits_broadcast(table)
+    assert lookups.fits_broadcast(table, 3 * (64 + 2 + 5))
+    assert not lookups.fits_broadcast(table, 3 * (64 + 2 + 5) - 1)
+    assert lookups.fits_broadcast(table.limit(0), 0)
+
+
 def test_most_recommended(spark):
     got = insights.most_recommended_movies(scores(spark), movies(spark), 2)
     assert rows_of(got) == [(1, "A", "X", 3, 3.0), (2, "B", "Y", 1, 4.5)]
