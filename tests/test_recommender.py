@@ -11,7 +11,9 @@ from tests.conftest import rows_of
 
 @pytest.fixture(scope="module")
 def ratings(sample):
-    return sample.ratings_enriched().persist()
+    stored = sample.ratings_enriched().persist()
+    yield stored
+    stored.unpersist()
 
 
 def test_sample_is_repeatable_and_close_to_its_share(ratings):
@@ -27,7 +29,7 @@ def test_sample_is_repeatable_and_close_to_its_share(ratings):
 
 def test_top_scores(ratings):
     sample = recommender.training_sample(ratings)
-    scores = recommender.top_scores(recommender.train(sample)).persist()
+    scores = recommender.top_scores(recommender.train(sample))
     users = sample.select("userId").distinct().count()
     per_user = scores.groupBy("userId").count()
     assert per_user.count() == users
