@@ -1,0 +1,106 @@
+"""The command line, and how the jobs cope with skew."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelhouse.__main__ import main
+from reelhouse.operators import event_windows
+from reelhouse.plans import silver
+from reelhouse.plans.lakehouse import Lakehouse
+from reelhouse.plans.replicas import ServingTables
+from reelhouse.session import new_work_path, shuffle_partitions_for
+from reelhouse.sources import csv_files
+from tests.conftest import plan_of
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    old = {}
+
+    def change(**values):
+        for name, value in values.items():
+            key = "spark.sql." + name.replace("__", ".")
+            old.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in old.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def test_batch_and_serve(spark, sample, tmp_path, settings):
+    settings(shuffle__partitions="8")
+    files, lake, serving = (str(tmp_path / n) for n in ("in", "lake", "serving"))
+    csv_files.write_csv(sample.ratings_raw(), f"{files}/ratings.csv")
+    csv_files.write_csv(sample.movies_raw(), f"{files}/movies.csv")
+    csv_files.write_csv(sample.tags_raw(), f"{files}/tags.csv")
+    windows = str(tmp_path / "windows")
+    event_windows.genre_activity(sample.platform_events(), 86_400, 86_400).write.parquet(
+        f"{windows}/genre_activity"
+    )
+    load = ["batch", "--input", files, "--lake", lake, "--cutoff-year", "1998"]
+    main([*load, "--input-gb", "0.1", "--steps", "ingest", "refine"])
+    main(["batch", "--lake", lake, "--steps", "recommend", "aggregate"])
+    main(["serve", "--lake", lake, "--serving", serving, "--windows", windows])
+    house, copies = Lakehouse(spark, lake), ServingTables(spark, serving)
+    assert house.gold_ready()
+    flat = copies.recommendations.read()
+    assert flat.count() == house.recommendations.read().count()
+    assert copies.documents.read().count() == flat.select("user_id").distinct().count()
+    assert not copies.movies.read().isEmpty() and not copies.activity.read().isEmpty()
+
+
+def test_shuffle_size():
+    assert shuffle_partitions_for(100 * 2**40, 4000) == 819_200
+    assert shuffle_partitions_for(1, 8) == 8
+
+
+def test_hot_movie_is_split_over_tasks(spark, settings):
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__advisoryPartitionSizeInBytes="20k",
+    )
+    ids = spark.range(0, 400_000, numPartitions=8)
+    ratings = ids.select(
+        F.col("id").cast("int").alias("userId"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).cast("int").alias("movieId"),
+        F.lit(3.0).alias("rating"),
+        F.col("id").alias("timestamp"),
+    )
+    movies = spark.range(1000).select(
+        F.col("id").cast("int").alias("movieId"),
+        F.lit("A (1990)").alias("title"),
+        F.lit("X").alias("genres"),
+    )
+    joined = silver.enrich_ratings(silver.clean_ratings(ratings), silver.clean_movies(movies))
+    assert len(joined.collect()) == 400_000
+    assert "skew=true" in plan_of(joined)
+
+
+def test_copies_fold_before_the_shuffle(spark):
+    """A key with very many copies leaves each task as one row."""
+    copies = spark.range(0, 300_000, numPartitions=8).select(
+        F.lit(1).alias("userId"),
+        F.lit(1).alias("movieId"),
+        (F.col("id") % 10 / 2 + 0.5).alias("rating"),
+        F.lit(0).cast("bigint").alias("timestamp"),
+    )
+    single = silver.clean_ratings(copies)
+    assert [r.rating for r in single.collect()] == [5.0]
+    plan = single._jdf.queryExecution().executedPlan()
+    shuffled = [
+        line for line in plan.toString().splitlines() if "HashAggregate" in line
+    ]
+    assert "partial_max" in shuffled[-1]
+
+
+def test_work_folder_is_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert new_work_path(spark, "x").startswith(f"{shared}/x-")
