@@ -277,6 +277,19 @@ def als_recommendations(v: SampleViews) -> DataFrame:
     return gold.enrich_recommendations(recommender.top_scores(model), v.movies_clean())
 
 
+@_query
+def als_coverage(v: SampleViews) -> DataFrame:
+    """What must hold for any model: each trained user gets a full, valid list."""
+    ratings = v.ratings_clean().select("userId", "movieId", "rating")
+    scores = recommender.top_scores(recommender.train(ratings))
+    score = F.col("predicted_score")
+    return scores.groupBy("userId").agg(
+        F.count("*").alias("recommendations"),
+        F.count_distinct("movieId").alias("movies"),
+        F.bool_and((score >= 0) & ~F.isnan(score)).alias("valid_scores"),
+    )
+
+
 # -- reports -------------------------------------------------------------
 
 

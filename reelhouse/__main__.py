@@ -52,7 +52,12 @@ def serve(spark: SparkSession, args: argparse.Namespace) -> None:
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Window results of the event topic until one of the queries stops."""
     jobs.start_all(
-        lambda: event_log.read_topic(spark, args.servers, args.topic),
+        lambda: event_log.read_topic(
+            spark,
+            args.servers,
+            args.topic,
+            messages_per_trigger=args.messages_per_trigger,
+        ),
         args.out,
         args.checkpoints,
     )
@@ -81,6 +86,7 @@ def _parser() -> argparse.ArgumentParser:
     job = commands.add_parser("stream", help=stream.__doc__)
     job.add_argument("--servers", required=True)
     job.add_argument("--topic", required=True)
+    job.add_argument("--messages-per-trigger", type=int)
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoints", required=True)
     job.set_defaults(run=stream)

@@ -38,11 +38,14 @@ def title_or_default(title: Column, movie_id: Column) -> Column:
 
 
 def parse_wire(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Events from JSON messages; unreadable or timeless ones are dropped."""
+    """Events from JSON messages; unreadable or timeless ones are dropped.
+
+    The generator keeps the parsed message in one place: as a plain projection,
+    Spark would push the time filter below it and parse every message twice.
+    """
     event = F.from_json(F.col(value).cast("string"), PLATFORM_EVENT)
     return (
-        messages.select(event.alias("event"))
-        .select("event.*")
+        messages.select(F.inline(F.array(event)))
         .withColumn("event_ts", event_time(F.col("timestamp")))
         .filter(is_valid_time(F.col("event_ts")))
     )

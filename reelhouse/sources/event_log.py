@@ -10,19 +10,26 @@ WIRE_SCHEMA = "key STRING, value STRING"
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest"
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    messages_per_trigger: int | None = None,
 ) -> DataFrame:
     """Unbounded messages of a Kafka topic (needs Spark's Kafka connector).
 
     Offsets live in the query's checkpoint, so a restart resumes where it ended.
+    A limit per trigger keeps the first batch after a long stop small.
     """
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .load()
     )
+    if messages_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", messages_per_trigger)
+    return reader.load()
 
 
 def write_topic(events: DataFrame, servers: str, topic: str) -> None:

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from reelhouse.functions import events as event_fn
 from reelhouse.operators import event_windows
 from reelhouse.plans import gold, insights, silver
 from tests.conftest import SAMPLE_FOLDER, plan_of
@@ -51,6 +52,12 @@ def test_static_windows_fold_panes_with_hash_aggregates(sample):
     assert "SortAggregate" not in plan
 
 
+def test_messages_are_parsed_once(spark, sample):
+    messages = event_fn.to_wire(sample.platform_events())
+    plan = event_windows.trending(event_fn.parse_wire(messages))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
 def test_large_dimension_is_not_broadcast(spark, sample):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
