@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks import registry  # noqa: E402
 from reelhouse.operators import event_windows  # noqa: E402
-from reelhouse.plans import insights, live, replicas  # noqa: E402
+from reelhouse.plans import gold, insights, live, replicas  # noqa: E402
 from reelhouse.plans.lakehouse import Lakehouse  # noqa: E402
 from reelhouse.session import build_session, new_work_path  # noqa: E402
 from reelhouse.sources import csv_files, event_log  # noqa: E402
@@ -93,7 +93,10 @@ def report_times(spark, house: Lakehouse, files: str) -> dict[str, float]:
 
     store_documents()
     user = registry.USER_ID
+    ratings = house.ratings.read()
     reports = {
+        "report_genre_decade_stats": lambda: consume(gold.genre_decade_stats(ratings)),
+        "report_rating_distribution": lambda: consume(gold.rating_distribution(ratings)),
         "report_user_recommendations": lambda: consume(
             insights.user_recommendations(recommendations, movies, user)
         ),

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import schemas
-from reelhouse.operators.dedup import repeated_keys
 from reelhouse.operators.quality import QualityError
 from reelhouse.plans.gold import recommended_movies
 from reelhouse.sources.lake import LakeTable
 
 
+# A nested row is built in one task. The recommender emits ten movies per user.
+MAX_DOCUMENT_ITEMS = 10_000
+
+
 def user_documents(recommendations: DataFrame) -> DataFrame:
     """One row per user with the user's recommendations nested, best first.
 
-    A list holds what the recommender emits for one user, a fixed top-n.
+    A list holds what the recommender emits for one user, a fixed top-n. For
+    input from elsewhere, ``require_nestable`` checks the bound first.
     """
     # Negated score: an ascending sort of the structs gives the best first.
     item = F.struct(
@@ -42,6 +46,20 @@ def for_point_reads(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(key).sortWithinPartitions(key)
 
 
+def require_nestable(flat: DataFrame, max_items: int = MAX_DOCUMENT_ITEMS) -> None:
+    """Fail on a repeated (user, movie), or on a user too large for one row."""
+    per_key = flat.groupBy("user_id", "movie_id").agg(F.count("*").alias("copies"))
+    per_user = per_key.groupBy("user_id").agg(
+        F.max("copies").alias("copies"), F.sum("copies").alias("items")
+    )
+    worst = per_user.agg(F.max("copies").alias("copies"), F.max("items").alias("items"))
+    copies, items = worst.first()
+    if (copies or 0) > 1:
+        raise QualityError(f"a repeated (user_id, movie_id) occurs {copies} times")
+    if (items or 0) > max_items:
+        raise QualityError(f"a user has {items} recommendations, more than {max_items}")
+
+
 class ServingTables:
     """Copies of gold and window results for point reads, replaced as a whole."""
 
@@ -57,15 +75,13 @@ class ServingTables:
         self.activity = table("genre_activity_mirror", schemas.GENRE_ACTIVITY)
 
     def reload_recommendations(self, recommendations: DataFrame) -> None:
-        """Replace the flat and the nested copy; a repeated (user, movie) fails."""
+        """Replace the flat and the nested copy, after a check of their keys."""
         flat = recommendations.select(
             F.col("userId").alias("user_id"),
             F.col("movieId").alias("movie_id"),
             "predicted_score",
         )
-        repeated = repeated_keys(flat, ["user_id", "movie_id"]).limit(5).collect()
-        if repeated:
-            raise QualityError(f"repeated (user_id, movie_id): {repeated}")
+        require_nestable(flat)
         self.recommendations.overwrite(for_point_reads(flat, "user_id"))
         nested = user_documents(recommendations)
         self.documents.overwrite(for_point_reads(nested, "user_id"))

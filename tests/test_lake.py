@@ -187,6 +187,8 @@ def test_serving_copies(spark, sample):
     serving.reload_recommendations(scores)
     with pytest.raises(quality.QualityError, match="repeated"):
         serving.reload_recommendations(scores.unionByName(scores.limit(1)))
+    with pytest.raises(quality.QualityError, match="a user has 10"):
+        replicas.require_nestable(serving.recommendations.read(), max_items=9)
     assert serving.recommendations.read().count() == scores.count()
     users = scores.select("userId").distinct().count()
     assert serving.documents.read().count() == users
