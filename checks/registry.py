@@ -69,14 +69,13 @@ def _stored(spark: SparkSession, folder: str) -> Lakehouse:
     csv_files.write_csv(views.movies_raw(), f"{files}/movies")
     csv_files.write_csv(views.tags_raw(), f"{files}/tags")
     house = Lakehouse(spark, new_work_path(spark, "lakehouse"))
-    ratings = csv_files.read_ratings(spark, f"{files}/ratings")
-    house.ingest(
-        ratings,
+    input_rows = house.ingest(
+        csv_files.read_ratings(spark, f"{files}/ratings"),
         csv_files.read_movies(spark, f"{files}/movies"),
         csv_files.read_tags(spark, f"{files}/tags"),
         CUTOFF_YEAR,
     )
-    house.check_raw(ratings)
+    house.check_raw(input_rows)
     house.refine()
     house.check_cleaned()
     house.aggregate()

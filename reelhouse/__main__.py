@@ -21,14 +21,13 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
     house = Lakehouse(spark, args.lake)
     for step in args.steps:
         if step == "ingest":
-            ratings = csv_files.read_ratings(spark, f"{args.input}/ratings.csv")
-            house.ingest(
-                ratings,
+            input_rows = house.ingest(
+                csv_files.read_ratings(spark, f"{args.input}/ratings.csv"),
                 csv_files.read_movies(spark, f"{args.input}/movies.csv"),
                 csv_files.read_tags(spark, f"{args.input}/tags.csv"),
                 args.cutoff_year,
             )
-            house.check_raw(ratings)
+            house.check_raw(input_rows)
         elif step == "refine":
             house.refine()
             house.check_cleaned()

@@ -29,11 +29,14 @@ def _report(one_row: DataFrame, names: list[str]) -> DataFrame:
     return one_row.select(F.inline(pairs)).withColumn("ok", F.col("bad_rows") == 0)
 
 
-def missing_rows(stored: DataFrame, expected: DataFrame, name: str) -> DataFrame:
-    """Difference between the rows stored and the rows expected."""
-    sizes = expected.agg(F.count("*").alias("expected"))
+def missing_rows(stored: DataFrame, expected: DataFrame | int, name: str) -> DataFrame:
+    """Difference between the rows stored and the rows expected, or their number."""
+    if isinstance(expected, DataFrame):
+        size = expected.agg(F.count("*").alias("expected")).scalar()
+    else:
+        size = F.lit(expected)
     one_row = stored.agg(F.count("*").alias("stored")).select(
-        F.abs(F.col("stored") - sizes.scalar()).alias(name)
+        F.abs(F.col("stored") - size).alias(name)
     )
     return _report(one_row, [name])
 

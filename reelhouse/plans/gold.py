@@ -18,16 +18,18 @@ def genre_decade_stats(enriched: DataFrame) -> DataFrame:
     folded = (
         enriched.filter(F.col("genre_list").isNotNull() & F.col("decade").isNotNull())
         .groupBy("genre_list", "decade")
-        .agg(F.sum("rating").alias("stars"), F.count("rating").alias("rated"),
-             F.count("*").alias("n"))
+        .agg(
+            F.sum("rating").alias("stars"),
+            F.count("rating").alias("rated"),
+            F.count("*").alias("n"),
+        )
     )
+    genre = F.explode("genre_list").alias("genre")
+    mean = rounded_mean(F.sum("stars"), F.nullif(F.sum("rated"), F.lit(0)))
     return (
-        folded.select(F.explode("genre_list").alias("genre"), "decade", "stars", "rated", "n")
+        folded.select(genre, "decade", "stars", "rated", "n")
         .groupBy("genre", "decade")
-        .agg(
-            rounded_mean(F.sum("stars"), F.nullif(F.sum("rated"), F.lit(0))).alias("avg_rating"),
-            F.sum("n").alias("total_ratings"),
-        )
+        .agg(mean.alias("avg_rating"), F.sum("n").alias("total_ratings"))
     )
 
 

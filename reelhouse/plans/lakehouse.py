@@ -6,7 +6,7 @@ so earlier versions stay readable) and all others are replaced in one step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
@@ -64,10 +64,16 @@ class Lakehouse:
         movies: DataFrame,
         tags: DataFrame,
         cutoff_year: int = fixed.BATCH_CUTOFF_YEAR,
-    ) -> None:
-        """Replace the raw tables. Ratings take one pass and leave a commit per batch."""
+    ) -> int:
+        """Replace the raw tables and return the number of input ratings.
+
+        Ratings are read once: the pass that leaves a commit per batch also
+        counts what the files held.
+        """
+        seen = Observation()
+        read = csv_files.with_provenance(ratings, bronze.rating_batch(cutoff_year))
         self.bronze_ratings.append_batches(
-            csv_files.with_provenance(ratings, bronze.rating_batch(cutoff_year)),
+            read.observe(seen, F.count("*").alias("input_rows")),
             bronze.RATING_BATCHES,
             overflow=bronze.UNDATED_BATCH,
             clear=True,
@@ -78,14 +84,15 @@ class Lakehouse:
                 fixed.DIMENSION_BATCH,
                 clear=True,
             )
+        return seen.get["input_rows"]
 
-    def check_raw(self, ratings: DataFrame) -> None:
+    def check_raw(self, input_rows: int) -> None:
         """Fail unless every input rating is stored, in range, in two commits or more."""
         stored = self.bronze_ratings.read()
         commits = self.bronze_ratings.snapshots().agg(
             F.greatest(F.lit(2) - F.count("*"), F.lit(0)).alias("bad_rows")
         )
-        report = quality.missing_rows(stored, ratings, "bronze_rows_equal_input")
+        report = quality.missing_rows(stored, input_rows, "bronze_rows_equal_input")
         report = report.unionByName(
             quality.bad_row_counts(
                 stored, {"bronze_rating_out_of_range": quality.rating_out_of_range()}
@@ -157,8 +164,7 @@ class Lakehouse:
         tags: DataFrame,
         cutoff_year: int = fixed.BATCH_CUTOFF_YEAR,
     ) -> None:
-        self.ingest(ratings, movies, tags, cutoff_year)
-        self.check_raw(ratings)
+        self.check_raw(self.ingest(ratings, movies, tags, cutoff_year))
         self.refine()
         self.check_cleaned()
         self.recommend()

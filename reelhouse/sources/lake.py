@@ -69,8 +69,9 @@ class LakeTable:
     ) -> None:
         """Append rows that carry ``batch_id`` as one commit per batch, in one pass.
 
-        ``clear`` deletes the earlier rows in a commit just before. ``overflow`` names one more batch, committed only when it has rows. A row
-        of any other batch fails the job instead of getting lost.
+        ``clear`` deletes the earlier rows in a commit just before. ``overflow``
+        names one more batch, committed only when it has rows. A row of any other
+        batch fails the job instead of getting lost.
         """
         commits = {batch: uuid.uuid4().hex for batch in (*batch_ids, overflow)}
         commit_of = F.create_map(*[F.lit(x) for pair in commits.items() for x in pair])
@@ -131,8 +132,10 @@ class LakeTable:
         numbered = [
             F.struct(
                 F.lit(seq).alias("seq"),
-                *[F.lit(value).cast(COMMIT_LOG[name].dataType).alias(name)
-                  for name, value in zip(columns, entry)],
+                *[
+                    F.lit(value).cast(COMMIT_LOG[name].dataType).alias(name)
+                    for name, value in zip(columns, entry)
+                ],
             )
             for seq, entry in enumerate(entries, start=last + 1)
         ]

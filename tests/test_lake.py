@@ -125,6 +125,14 @@ def test_run_again_changes_nothing(house):
     assert lake.gold_ready()
 
 
+def test_input_rows_are_counted_while_reading(house):
+    lake, inputs = house
+    rows = lake.ingest(*inputs, 1998)
+    assert rows == inputs[0].count() == lake.bronze_ratings.read().count()
+    with pytest.raises(quality.QualityError, match="bronze_rows_equal_input=1"):
+        lake.check_raw(rows + 1)
+
+
 def test_stored_schemas(house):
     lake, _ = house
     assert lake.ratings.read().schema == schemas.SILVER_RATINGS
