@@ -47,9 +47,10 @@ LETTER, NUMBER, OTHER, SPACE, LAST_BLANK, LAST_SPACE, TAKES_1, TAKES_2, NEW_TEXT
 # States: what the next character may continue.
 NOTHING, LETTERS, NUMBERS, OTHERS, SPACES, BLANK, ONE_MORE, TWO_MORE = range(8)
 
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
+BATCH_ROWS = 1_024
 BLOCK = 64
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 1 << 18
 LONG_PIECE = 64
 MERGE_ROWS = 8_192
 
@@ -303,35 +304,42 @@ def read_bytes(path: str) -> bytes:
         return file.read()
 
 
-def encode(docs: DataFrame, rank_file: str, id_column: str = "doc_id") -> DataFrame:
+def encode(
+    docs: DataFrame, rank_file: str, id_column: str = "doc_id", decoded: bool = False
+) -> DataFrame:
     """Every text as ids: (``id_column``, ids array<int>, offsets array<long>).
 
-    ``offsets`` holds the byte of the text at which each id's token begins. The vocabulary is read
+    ``offsets`` holds the byte of the text at which each id's token begins. With ``decoded``, the
+    ids are decoded again by the same worker, into a further binary column. The vocabulary is read
     on the driver, which sends its fixed few hundred kilobytes to each executor once. A null text
     counts as empty and has no ids; other columns are not read; repeated rows stay.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_bytes(rank_file))
     rows = docs.select(id_column, "text")
-    key = rows.schema[id_column]
-    out = pa.schema(
-        [
-            ("key", to_arrow_type(key.dataType)),
-            ("ids", pa.list_(pa.int32())),
-            ("offsets", pa.list_(pa.int64())),
-        ]
-    )
+    key = rows.schema[id_column].dataType
+    fields = [("key", to_arrow_type(key)), ("ids", pa.list_(pa.int32()))]
+    fields.append(("offsets", pa.list_(pa.int64())))
+    names = f"key {key.simpleString()}, ids array<int>, offsets array<long>"
+    if decoded:
+        fields.append(("decoded", pa.binary()))
+        names += ", decoded binary"
+    out = pa.schema(fields)
 
     def run(batches):
         bpe = _loaded(ranks)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for a, b in _slices(texts):
-                ids, offsets = map(list, zip(*bpe.encode(texts[a:b])))
-                columns = [batch.column(0).slice(a, b - a), pa.array(ids, out[1].type)]
-                yield pa.record_batch([*columns, pa.array(offsets, out[2].type)], schema=out)
-
-    made = rows.mapInArrow(run, f"key {key.dataType.simpleString()}, ids array<int>, offsets array<long>")
-    return made.withColumnRenamed("key", id_column)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                texts = ["" if t is None else t for t in part.column(1).to_pylist()]
+                for a, b in _slices(texts):
+                    ids, offsets = map(list, zip(*bpe.encode(texts[a:b])))
+                    columns = [part.column(0).slice(a, b - a), pa.array(ids, out[1].type)]
+                    columns.append(pa.array(offsets, out[2].type))
+                    if decoded:
+                        columns.append(pa.array([bpe.decode(i) for i in ids], out[3].type))
+                    yield pa.record_batch(columns, schema=out)
+
+    return rows.mapInArrow(run, names).withColumnRenamed("key", id_column)
 
 
 def decode(tokens: DataFrame, rank_file: str) -> DataFrame:

@@ -140,9 +140,9 @@ _SQL["op5_url_rules"] = f"""
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids by the byte-level ranks, and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = byte_bpe.encode(read(spark, folder, "documents"), ranks)
+    tokens = byte_bpe.encode(read(spark, folder, "documents"), ranks, decoded=True)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return byte_bpe.decode(tokens, ranks).select(
+    return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
