@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm import (
     byte_bpe,
+    covering_simhash,
     hash_tree_shards,
     int8_neighbours,
     segment_search,
@@ -102,6 +103,15 @@ def op3_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hash_tree_shards.shard_documents(docs, tree, grown)
 
 
+@_query
+def op4_covering_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's SimHash of 3-word shingles and its component at 3 differing bits."""
+    docs = read(spark, folder, "documents")
+    found = covering_simhash.near_duplicates(docs, words=3, radius=3, seed=42)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @_query
 def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's host, path, longest fitting rule and verdict."""
