@@ -208,8 +208,8 @@ def near_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
     Not all pairs: inside a bucket each fingerprint links to the least one it is connected with.
     A bucket above BUCKET_LIMIT is passed on, split by the second family of masks, and searched in
-    full there. For radius 3 that family fixes at least 47 of 64 bits, which bounds a bucket by the
-    2**17 values of the others, whatever the data.
+    full there. For radius 3 that family fixes at least 48 of 64 bits, which bounds a bucket by the
+    2**16 values of the others, whatever the data.
     """
     masks, finer = covering_masks(radius), finer_masks(radius)
     fp = F.col("fp")

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm import (
     byte_bpe,
+    cotraining,
     covering_simhash,
     hash_tree_shards,
+    hd_language,
+    html_extraction,
     int8_neighbours,
     segment_search,
     url_rules,
@@ -183,3 +186,29 @@ _SQL["op7_int8_neighbours"] = f"""
     from scored
     qualify rank <= 20
 """
+
+
+@_query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's main text, by the maximum-scoring subsequence of its tokens."""
+    pages = read(spark, folder, "pages")
+    return html_extraction.extract(pages, html_extraction.learn_weights(pages))
+
+
+@_query
+def op9_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality by two co-trained views, and whether it is kept."""
+    docs = read(spark, folder, "documents")
+    model = cotraining.learn(docs, read(spark, folder, "labels"))
+    columns = ("doc_id", "text_score", "metadata_score", "score", "keep")
+    return cotraining.score(docs, model).select(*columns)
+
+
+@_query
+def op10_hd_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language, learned from the documents outside the held-out quarter."""
+    docs = read(spark, folder, "documents")
+    prototypes = hd_language.learn(docs.where(~hd_language.held_out(F.col("doc_id"))))
+    return hd_language.identify(docs, prototypes).select(
+        "doc_id", hd_language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
