@@ -23,7 +23,6 @@ BITS = 64
 BUCKET_LIMIT = 1_024
 SHINGLE_CHUNK = 1 << 16
 BATCH_ROWS = 1_024
-ROUND_ROWS = 1 << 16
 
 # Each byte of a hash as eight lanes of one bit, so that a sum counts eight bits at once.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
@@ -39,28 +38,36 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return counts
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """Unsigned SimHash over the XXH64 of all word shingles; 0 without a word.
+def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of every shingle of ``words`` words, repeats included, as unsigned numbers.
 
-    A-Z are lower-cased, words are runs without ASCII white space. A text of fewer words than a
-    shingle is one shingle. A bit is set if more than half of the hashes have it.
+    A-Z are lower-cased, words are runs without ASCII white space. A text of fewer words is one
+    shingle, a text without words has none.
     """
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
+    joined, digest = b" ".join(tokens), xxhash.xxh64_intdigest
     if len(tokens) < words:
-        return xxhash.xxh64_intdigest(b" ".join(tokens), seed)
-    joined = b" ".join(tokens)
+        return np.array([digest(joined, seed)], np.uint64)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
-    starts = np.r_[0, ends[:-1] + 1]
-    starts, ends = starts[: len(tokens) - words + 1].tolist(), ends[words - 1 :].tolist()
-    counts = np.zeros(BITS, np.int64)
-    digest = xxhash.xxh64_intdigest
+    starts = np.r_[0, ends[:-1] + 1][: len(tokens) - words + 1]
+    ends = ends[words - 1 :]
+    parts = []
     for at in range(0, len(starts), SHINGLE_CHUNK):
-        part = zip(starts[at : at + SHINGLE_CHUNK], ends[at : at + SHINGLE_CHUNK])
-        counts += _bit_counts(np.array([digest(joined[a:b], seed) for a, b in part], np.uint64))
-    set_bits = (2 * counts > len(starts)).astype(np.uint8)
-    return int(np.packbits(set_bits, bitorder="little").view(np.uint64)[0])
+        spans = zip(starts[at : at + SHINGLE_CHUNK].tolist(), ends[at : at + SHINGLE_CHUNK].tolist())
+        parts.append(np.array([digest(joined[a:b], seed) for a, b in spans], np.uint64))
+    return np.concatenate(parts)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """Unsigned SimHash: a bit is set if more than half of the hashes have it; 0 of none."""
+    set_bits = (2 * _bit_counts(hashes) > len(hashes)).astype(np.uint8)
+    return int(np.packbits(set_bits, bitorder="little").view(np.uint64)[0]) if len(hashes) else 0
+
+
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    return simhash(shingle_hashes(text, words, seed))
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
