@@ -36,6 +36,7 @@ BLOCKS = CONTAINERS | set(
     " thead tbody tfoot tr td th caption fieldset details summary html head".split()
 )
 NEVER = set("nav footer aside form head button select dialog menu".split())
+RUNNING = tuple("p h1 h2 h3 h4 h5 h6 blockquote b i em strong span br sup sub code q".split())
 VOID = set("br hr img input meta link area base col embed source track wbr".split())
 NEVER_NAMES = set(
     "ad ads advert adverts advertisement sponsor sponsored promo banner sidebar menu nav navbar"
@@ -47,7 +48,10 @@ NEVER_NAMES = set(
 
 @dataclass(frozen=True)
 class Run:
-    """Words with their place, or a tag; ``never`` if an element around holds no main text."""
+    """Words with their place, or a tag.
+
+    ``never``: in an element that holds no main text; ``inside``: in an article or main element.
+    """
 
     words: list[str]
     place: str
@@ -83,9 +87,9 @@ def page_runs(page: str) -> list[Run]:
         tag = (found["tag"] or "").lower()
         if not tag:
             if found["raw"]:
-                runs.append(Run([], found["raw"].lower(), block, never(), False, marked()))
+                runs.append(Run([], found["raw"].lower(), block, True, False, marked()))
             continue
-        key = tag
+        key, shut = tag, False
         if not found["end"]:
             named = " ".join("".join(m) for m in NAMES.findall(found["rest"])).lower()
             names = WORDS.findall(named)
@@ -100,11 +104,11 @@ def page_runs(page: str) -> list[Run]:
         elif tag in CONTAINERS or tag in NEVER:
             at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
             if at is not None:
-                key = open_[at][1]
+                _, key, shut = open_[at]
                 del open_[at:]
         if tag in BLOCKS:
             block = "" if found["end"] else tag
-        runs.append(Run([], key, block, never(), tag in BLOCKS or tag == "br", marked()))
+        runs.append(Run([], key, block, never() or shut, tag in BLOCKS or tag == "br", marked()))
         if tag == "br":
             runs[-1] = Run([" "], place(), block, never(), False, marked())
     text(page[last:])
@@ -113,18 +117,22 @@ def page_runs(page: str) -> list[Run]:
 
 @dataclass
 class Weights:
-    """Scores of a word by place or block, and of a tag; learned from labelled pages."""
+    """Scores of a word by place or block, and of a tag; learned from labelled pages.
+
+    Tags of running text start out nearly free, so that a page is read without any labelled one.
+    """
 
     place: dict[str, float] = field(default_factory=dict)
     block: dict[str, float] = field(default_factory=dict)
-    tag: dict[str, float] = field(default_factory=dict)
+    tag: dict[str, float] = field(default_factory=lambda: dict.fromkeys(RUNNING, -0.02))
     unseen_word: float = 0.3
     unseen_tag: float = -0.5
 
     def of(self, run: Run) -> float:
+        # An aside or a script between two paragraphs does not part them.
+        if run.never and (run.words or run.inside):
+            return 0.0
         if run.words:
-            if run.never:
-                return 0.0
             each = self.place.get(run.place, self.block.get(run.block, self.unseen_word))
             return each * sum(1 for w in run.words if w != " ")
         return self.tag.get(run.place, self.unseen_tag)

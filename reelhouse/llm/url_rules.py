@@ -81,9 +81,11 @@ def judge_urls(
     sizes = rules.agg(
         F.collect_set(F.size(F.split("host", r"\."))).alias("label_counts"),
         F.collect_set(F.length("path")).alias("path_lengths"),
+    ).first()
+    label_counts, path_lengths = (
+        F.array(*map(F.lit, sorted(found))).cast("array<int>")
+        for found in (sizes.label_counts, sizes.path_lengths)
     )
-    label_counts = F.array(*map(F.lit, sorted(sizes.first().label_counts)))
-    path_lengths = F.array(*map(F.lit, sorted(sizes.first().path_lengths)))
 
     expressions = (
         places.withColumn("host_part", F.explode(_host_suffixes(F.col("host"), label_counts)))
