@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import lru_cache
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.work_folder import fresh_folder, name_work_folder
 from reelhouse import fixed_values as fixed
 from reelhouse.functions import events as event_fn
 from reelhouse.operators import event_windows, quality
 from reelhouse.operators.dedup import repeated_keys
 from reelhouse.plans import bronze, gold, insights, live, recommender, replicas, silver
 from reelhouse.plans.lakehouse import Lakehouse
-from reelhouse.session import new_work_path
 from reelhouse.sources import csv_files, event_log
 from reelhouse.sources.sample_views import SampleViews
 from reelhouse.streaming import jobs
@@ -43,6 +43,7 @@ def _query(build: Callable[[SampleViews], DataFrame]) -> Callable:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        name_work_folder(spark)
         return build(SampleViews(spark, folder))
 
     _QUERIES[build.__name__] = run
@@ -60,31 +61,30 @@ def _genres_as_text(df: DataFrame) -> DataFrame:
 # -- stored tables -------------------------------------------------------
 
 
-@lru_cache(maxsize=8)
-def _stored(spark: SparkSession, folder: str) -> Lakehouse:
-    """The pipeline's raw and cleaned tables, built from CSV files once per folder."""
-    views = SampleViews(spark, folder)
-    files = new_work_path(spark, "input")
-    csv_files.write_csv(views.ratings_raw(), f"{files}/ratings")
-    csv_files.write_csv(views.movies_raw(), f"{files}/movies")
-    csv_files.write_csv(views.tags_raw(), f"{files}/tags")
-    house = Lakehouse(spark, new_work_path(spark, "lakehouse"))
-    input_rows = house.ingest(
-        csv_files.read_ratings(spark, f"{files}/ratings"),
-        csv_files.read_movies(spark, f"{files}/movies"),
-        csv_files.read_tags(spark, f"{files}/tags"),
-        CUTOFF_YEAR,
-    )
-    house.check_raw(input_rows)
-    house.refine()
-    house.check_cleaned()
-    house.aggregate()
+def _stored(v: SampleViews, query: str, steps: str = "ingest") -> Lakehouse:
+    """The pipeline's tables from CSV files, built anew for each call up to a step."""
+    work = fresh_folder(v.spark, query)
+    csv_files.write_csv(v.ratings_raw(), f"{work}/ratings")
+    csv_files.write_csv(v.movies_raw(), f"{work}/movies")
+    csv_files.write_csv(v.tags_raw(), f"{work}/tags")
+    house = Lakehouse(v.spark, f"{work}/lakehouse")
+    for _ in range(2 if steps == "twice" else 1):
+        house.ingest(
+            csv_files.read_ratings(v.spark, f"{work}/ratings"),
+            csv_files.read_movies(v.spark, f"{work}/movies"),
+            csv_files.read_tags(v.spark, f"{work}/tags"),
+            CUTOFF_YEAR,
+        )
+        if steps != "ingest":
+            house.refine()
+        if steps in ("aggregate", "twice"):
+            house.aggregate()
     return house
 
 
 @_query
 def bronze_append_total(v: SampleViews) -> DataFrame:
-    house = _stored(v.spark, v.folder)
+    house = _stored(v, "bronze_append_total")
     tables = {
         "ratings": house.bronze_ratings,
         "movies": house.bronze_movies,
@@ -101,17 +101,23 @@ def bronze_append_total(v: SampleViews) -> DataFrame:
 
 @_query
 def snapshot_log(v: SampleViews) -> DataFrame:
-    log = _stored(v.spark, v.folder).bronze_ratings.snapshots()
+    log = _stored(v, "snapshot_log").bronze_ratings.snapshots()
     return log.select("seq", "operation", "batch_id", "added_rows", "total_rows")
 
 
 @_query
 def bronze_as_of(v: SampleViews) -> DataFrame:
-    table = _stored(v.spark, v.folder).bronze_ratings
+    table = _stored(v, "bronze_as_of").bronze_ratings
     # Commit 1 clears the table, 2 and 3 are the two batches.
     return table.as_of(2).select("userId", "movieId", "rating", "timestamp", "batch_id")
 
 
+@_query
+def bronze_as_of_now(v: SampleViews) -> DataFrame:
+    """Raw ratings after the first batch against now."""
+    return _stored(v, "bronze_as_of_now").bronze_ratings.then_and_now(2)
+
+
 @_query
 def bronze_batch_split(v: SampleViews) -> DataFrame:
     split = bronze.split_ratings(v.ratings_raw(), CUTOFF_YEAR)
@@ -125,14 +131,14 @@ def bronze_batch_split(v: SampleViews) -> DataFrame:
 
 @_query
 def batch_union_integrity(v: SampleViews) -> DataFrame:
-    raw = v.ratings_raw()
-    split = bronze.split_ratings(raw, CUTOFF_YEAR)
-    first = split.filter(F.col("batch_id") == fixed.FIRST_RATINGS_BATCH)
-    rest = split.filter(F.col("batch_id") != fixed.FIRST_RATINGS_BATCH)
+    """The stored batches together against the rows of the input."""
+    stored = _stored(v, "batch_union_integrity").bronze_ratings.read()
+    first = stored.filter(F.col("batch_id") == fixed.FIRST_RATINGS_BATCH)
+    rest = stored.filter(F.col("batch_id") != fixed.FIRST_RATINGS_BATCH)
     union = first.unionByName(rest).agg(
         F.count("*").alias("union_rows"), F.sum("rating").alias("union_stars")
     )
-    source = raw.agg(F.count("*").alias("input_rows")).scalar()
+    source = v.ratings_raw().agg(F.count("*").alias("input_rows")).scalar()
     return union.select(
         "union_rows",
         "union_stars",
@@ -141,70 +147,110 @@ def batch_union_integrity(v: SampleViews) -> DataFrame:
     )
 
 
+@_query
+def bronze_provenance(v: SampleViews) -> DataFrame:
+    """Batch and file columns of the stored raw ratings, and whether each has its time."""
+    stored = _stored(v, "bronze_provenance").bronze_ratings.read()
+    return stored.groupBy("batch_id").agg(
+        F.count("*").alias("ratings"),
+        F.count_if(F.col("source_file").contains("/ratings/")).alias("from_ratings_file"),
+        F.count("ingestion_timestamp").alias("timed"),
+    )
+
+
+@_query
+def rerun_row_counts(v: SampleViews) -> DataFrame:
+    """Rows of each stored table after the jobs ran twice, through the views' names."""
+    house = _stored(v, "rerun_row_counts", "twice")
+    house.register_views()
+    counts = [
+        v.spark.sql(f"select '{name}' as table_name, count(*) as row_count from {name}")
+        for name, table in house.tables().items()
+        if table.exists()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@_query
+def gold_presence(v: SampleViews) -> DataFrame:
+    """Whether recommendations are stored, before and after they are."""
+    house = _stored(v, "gold_presence")
+    before = house.gold_ready()
+    house.recommendations.overwrite(v.recommendations())
+    row = f"values ({before}, {house.gold_ready()}) as t(before, after)"
+    return v.spark.sql(f"select * from {row}")
+
+
 @_query
 def stored_ratings_enriched(v: SampleViews) -> DataFrame:
-    return _genres_as_text(_stored(v.spark, v.folder).ratings.read())
+    return _genres_as_text(_stored(v, "stored_ratings_enriched", "refine").ratings.read())
 
 
 @_query
 def stored_tags_clean(v: SampleViews) -> DataFrame:
-    return _stored(v.spark, v.folder).tags.read()
+    return _stored(v, "stored_tags_clean", "refine").tags.read()
 
 
 @_query
 def stored_genre_decade_stats(v: SampleViews) -> DataFrame:
-    return _stored(v.spark, v.folder).genre_decade.read()
+    return _stored(v, "stored_genre_decade_stats", "aggregate").genre_decade.read()
 
 
 @_query
 def stored_rating_distribution(v: SampleViews) -> DataFrame:
-    return _stored(v.spark, v.folder).distribution.read()
+    return _stored(v, "stored_rating_distribution", "aggregate").distribution.read()
 
 
 @_query
 def reco_csv_import(v: SampleViews) -> DataFrame:
-    path = new_work_path(v.spark, "recommendations-csv")
+    path = fresh_folder(v.spark, "reco_csv_import")
     csv_files.write_csv(v.recommendations(), path)
     return csv_files.read_recommendations(v.spark, path)
 
 
-@lru_cache(maxsize=8)
-def _served(spark: SparkSession, folder: str) -> replicas.ServingTables:
+def _served(v: SampleViews, query: str) -> replicas.ServingTables:
     """The serving copies, loaded twice: the last load must be there once."""
-    views = SampleViews(spark, folder)
-    serving = replicas.ServingTables(spark, new_work_path(spark, "serving"))
+    serving = replicas.ServingTables(v.spark, fresh_folder(v.spark, query))
     for _ in range(2):
-        serving.reload_recommendations(views.recommendation_scores())
-        serving.reload_movies(views.movies_raw(), serving_rows(serving))
-        serving.reload_activity(_activity(views), MIRROR_ROWS)
+        if query == "replica_genre_activity":
+            serving.reload_activity(_activity(v), MIRROR_ROWS)
+            continue
+        serving.reload_recommendations(v.recommendation_scores())
+        if query == "replica_dim_movie":
+            serving.reload_movies(v.movies_raw(), serving_rows(serving))
     return serving
 
 
+def _items(documents: DataFrame) -> DataFrame:
+    """A row for each nested item, with its place over all pages."""
+    place = (F.col("page") * replicas.PAGE_ITEMS + F.col("pos")).cast("int").alias("pos")
+    opened = documents.select("user_id", "page", F.posexplode("items").alias("pos", "item"))
+    return opened.select("user_id", place, "item.movie_id", "item.predicted_score")
+
+
 def serving_rows(serving: replicas.ServingTables) -> DataFrame:
     return serving.recommendations.read().withColumnRenamed("movie_id", "movieId")
 
 
 @_query
 def replica_recommendations(v: SampleViews) -> DataFrame:
-    return _served(v.spark, v.folder).recommendations.read()
+    return _served(v, "replica_recommendations").recommendations.read()
 
 
 @_query
 def replica_documents(v: SampleViews) -> DataFrame:
-    documents = _served(v.spark, v.folder).documents.read()
-    return documents.select("user_id", F.posexplode("items").alias("pos", "item")).select(
-        "user_id", "pos", "item.movie_id", "item.predicted_score"
-    )
+    documents = _served(v, "replica_documents").documents.read()
+    return _items(documents)
 
 
 @_query
 def replica_dim_movie(v: SampleViews) -> DataFrame:
-    return _served(v.spark, v.folder).movies.read()
+    return _served(v, "replica_dim_movie").movies.read()
 
 
 @_query
 def replica_genre_activity(v: SampleViews) -> DataFrame:
-    return _served(v.spark, v.folder).activity.read()
+    return _served(v, "replica_genre_activity").activity.read()
 
 
 # -- cleaned layer -------------------------------------------------------
@@ -232,9 +278,19 @@ def silver_enriched(v: SampleViews) -> DataFrame:
 
 @_query
 def dq_report(v: SampleViews) -> DataFrame:
-    raw = v.ratings_raw()
-    split = bronze.split_ratings(raw, CUTOFF_YEAR)
-    return quality.layer_report(raw, split, v.ratings_enriched())
+    house = _stored(v, "dq_report", "refine")
+    return house.raw_report(v.ratings_raw().count()).unionByName(house.cleaned_report())
+
+
+@_query
+def dq_report_of_bad_rows(v: SampleViews) -> DataFrame:
+    """The same checks over rows that break them."""
+    stored = v.ratings_raw().withColumn("rating", F.col("rating") * 1.5)
+    keyless = F.when(F.col("userId") % 7 != 0, F.col("userId"))
+    cleaned = v.ratings_clean().withColumn("userId", keyless)
+    return quality.stored_report(stored, v.ratings_raw().count() + 7).unionByName(
+        quality.bad_row_counts(cleaned, {"silver_null_key": quality.null_rating_key()})
+    )
 
 
 # -- aggregate layer -----------------------------------------------------
@@ -250,6 +306,27 @@ def rating_distribution(v: SampleViews) -> DataFrame:
     return gold.rating_distribution(v.ratings_enriched())
 
 
+@_query
+def genre_decade_sorted(v: SampleViews) -> DataFrame:
+    """The stored statistics in reading order, with each row's place."""
+    rows = _stored(v, "genre_decade_sorted", "aggregate").genre_decade_in_order()
+    return _placed(rows, "genre", "decade")
+
+
+@_query
+def distribution_sorted(v: SampleViews) -> DataFrame:
+    rows = _stored(v, "distribution_sorted", "aggregate").distribution_in_order()
+    return _placed(rows, "rating", "total")
+
+
+def _placed(rows: DataFrame, *columns: str) -> DataFrame:
+    """Place of each of a report's few rows, as they come."""
+    read = [tuple(r[c] for c in columns) + (i,) for i, r in enumerate(rows.collect())]
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in columns)
+    return rows.sparkSession.createDataFrame(read, f"{schema}, place int")
+
+
 @_query
 def movie_lookup(v: SampleViews) -> DataFrame:
     return gold.movie_lookup(v.ratings_enriched())
@@ -272,8 +349,39 @@ def train_sample(v: SampleViews) -> DataFrame:
 
 @_query
 def als_recommendations(v: SampleViews) -> DataFrame:
+    """Recommendations from the training sample, as each trained user's list."""
     model = recommender.train(recommender.training_sample(v.ratings_enriched()))
-    return gold.enrich_recommendations(recommender.top_scores(model), v.movies_clean())
+    rows = gold.enrich_recommendations(recommender.top_scores(model), v.movies_clean())
+    return rows.groupBy("userId").agg(
+        F.count("*").alias("recommendations"), F.count_distinct("movieId").alias("movies")
+    )
+
+
+@_query
+def als_scores_exact(v: SampleViews) -> DataFrame:
+    """Recommended scores that differ from the product of the model's factors."""
+    model = recommender.train(recommender.training_sample(v.ratings_enriched()))
+    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("u"))
+    movies = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("m"))
+    product = F.aggregate(
+        F.zip_with("u", "m", lambda x, y: x.cast("double") * y.cast("double")),
+        F.lit(0.0),
+        lambda total, x: total + x,
+    )
+    scored = recommender.top_scores(model).join(users, "userId").join(movies, "movieId")
+    off = F.abs(F.col("predicted_score") - product) > 1e-3
+    return scored.agg(F.count_if(F.coalesce(off, F.lit(True))).alias("mismatches"))
+
+
+@_query
+def als_repeats(v: SampleViews) -> DataFrame:
+    """Picks that a second training on the same sample does not give again."""
+    sample = recommender.training_sample(v.ratings_enriched())
+    first, again = (
+        recommender.top_scores(recommender.train(sample)).select("userId", "movieId")
+        for _ in range(2)
+    )
+    return first.exceptAll(again).agg(F.count("*").alias("changed"))
 
 
 @_query
@@ -346,9 +454,7 @@ def user_recs_join_nested(v: SampleViews) -> DataFrame:
 @_query
 def user_reco_docs(v: SampleViews) -> DataFrame:
     documents = replicas.user_documents(v.recommendation_scores())
-    return documents.select("user_id", F.posexplode("items").alias("pos", "item")).select(
-        "user_id", "pos", "item.movie_id", "item.predicted_score"
-    )
+    return _items(documents)
 
 
 @_query
@@ -412,6 +518,11 @@ def trending_tumbling(v: SampleViews) -> DataFrame:
     return event_windows.trending(v.platform_events())
 
 
+@_query
+def trending_tumbling_direct(v: SampleViews) -> DataFrame:
+    return event_windows.trending(v.platform_events(), DAY, fold=False)
+
+
 @_query
 def trending_tumbling_1d(v: SampleViews) -> DataFrame:
     return _trending(v)
@@ -507,47 +618,57 @@ def monitor_counts(v: SampleViews) -> DataFrame:
 # -- streams: messages in, closed windows out ----------------------------
 
 
-@lru_cache(maxsize=8)
-def _message_files(spark: SparkSession, folder: str) -> str:
-    path = new_work_path(spark, "messages")
-    event_log.write_message_files(SampleViews(spark, folder).platform_events(), path)
-    return path
-
-
-def _streamed(v: SampleViews, start: Callable, result: str, **arguments) -> DataFrame:
-    messages = event_log.read_message_files(v.spark, _message_files(v.spark, v.folder))
-    work = new_work_path(v.spark, "stream")
-    query = start(
+def _streamed(v: SampleViews, query: str, start: Callable, result: str, **arguments) -> DataFrame:
+    work = fresh_folder(v.spark, query)
+    event_log.write_message_files(v.platform_events(), f"{work}/messages")
+    messages = event_log.read_message_files(v.spark, f"{work}/messages")
+    running = start(
         messages, f"{work}/out", f"{work}/checkpoints", until_caught_up=True, **arguments
     )
-    query.awaitTermination()
-    return v.spark.read.parquet(f"{work}/out/{result}")
+    running.awaitTermination()
+    return jobs.read_results(v.spark, f"{work}/out", result)
 
 
 @_query
 def stream_trending(v: SampleViews) -> DataFrame:
     return _streamed(
-        v, jobs.start_trending, "trending_movies", window_seconds=DAY
-    ).drop("computed_at")
+        v, "stream_trending", jobs.start_trending, "trending_movies", window_seconds=DAY
+    ).drop("computed_at", "window_date")
 
 
 @_query
 def stream_genre_activity(v: SampleViews) -> DataFrame:
     return _streamed(
         v,
+        "stream_genre_activity",
         jobs.start_genre_activity,
         "genre_activity",
         window_seconds=DAY,
         slide_seconds=SIX_HOURS,
-    ).drop("computed_at")
+    ).drop("computed_at", "window_date")
 
 
 @_query
 def stream_rating_bursts(v: SampleViews) -> DataFrame:
     return _streamed(
         v,
+        "stream_rating_bursts",
         jobs.start_rating_bursts,
         "anomaly_alerts",
         window_seconds=DAY,
         threshold=BURST_OVER,
-    ).drop("detected_at")
+    ).drop("detected_at", "detected_date")
+
+
+@_query
+def stream_stamps(v: SampleViews) -> DataFrame:
+    """Streamed windows without the time of writing, or under another date than their own."""
+    rows = _streamed(
+        v, "stream_stamps", jobs.start_trending, "trending_movies", window_seconds=DAY
+    )
+    elsewhere = F.col("window_date") != F.to_date("window_end")
+    return rows.agg(
+        F.count("*").alias("windows"),
+        F.count_if(F.col("computed_at").isNull()).alias("unstamped"),
+        F.count_if(elsewhere).alias("misplaced"),
+    )

@@ -13,3 +13,12 @@ def name_work_folder(spark: SparkSession) -> None:
         return
     if spark.sparkContext.master.startswith("local["):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checks-"))
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application for one query's files; what an earlier call left goes."""
+    root = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    folder = f"{root}/checks-{spark.sparkContext.applicationId}/{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return folder

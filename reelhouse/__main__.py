@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from reelhouse import fixed_values as fixed
+from reelhouse.plans import insights
 from reelhouse.plans.lakehouse import Lakehouse
 from reelhouse.plans.replicas import ServingTables
 from reelhouse.session import build_session, shuffle_partitions_for
@@ -32,7 +33,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
             house.refine()
             house.check_cleaned()
         elif step == "recommend":
-            house.recommend()
+            house.recommend(args.sample_fraction, args.seed, args.als_blocks)
         else:
             house.aggregate()
 
@@ -44,8 +45,38 @@ def serve(spark: SparkSession, args: argparse.Namespace) -> None:
     serving.reload_recommendations(recommendations)
     serving.reload_movies(house.bronze_movies.read(), recommendations)
     if args.windows:
-        activity = spark.read.parquet(f"{args.windows}/genre_activity")
-        serving.reload_activity(activity)
+        activity = jobs.read_results(spark, args.windows, "genre_activity")
+        serving.reload_activity(activity.drop("computed_at", "window_date"))
+
+
+REPORTS = {
+    "user-recommendations": lambda house, args: insights.user_recommendations(
+        house.recommendations.read(), house.movies.read(), args.user_id, args.limit
+    ),
+    "most-recommended": lambda house, args: insights.most_recommended_movies(
+        house.recommendations.read(), house.movies.read(), args.limit
+    ),
+    "top-genre-by-decade": lambda house, args: insights.top_genre_by_decade(
+        house.genre_decade.read(), args.min_ratings
+    ),
+    "prediction-diversity": lambda house, args: insights.prediction_diversity(
+        house.recommendations.read(), args.limit
+    ),
+    "rating-percentages": lambda house, args: insights.rating_percentages(
+        house.distribution.read()
+    ),
+    "novelty-vs-classic": lambda house, args: insights.novelty_vs_classic(
+        house.recommendations.read(), house.movies.read()
+    ),
+}
+
+
+def report(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Store the rows of one business report as Parquet."""
+    if args.name == "user-recommendations" and args.user_id is None:
+        raise SystemExit("user-recommendations needs --user-id")
+    rows = REPORTS[args.name](Lakehouse(spark, args.lake), args)
+    rows.write.mode("overwrite").parquet(args.out)
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -59,6 +90,8 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         ),
         args.out,
         args.checkpoints,
+        args.burst_window_seconds,
+        args.burst_threshold,
     )
     spark.streams.awaitAnyTermination()
 
@@ -73,6 +106,9 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--input-gb", type=float, help="sizes the shuffles")
     job.add_argument("--lake", required=True)
     job.add_argument("--cutoff-year", type=int, default=fixed.BATCH_CUTOFF_YEAR)
+    job.add_argument("--sample-fraction", type=float, default=fixed.SAMPLE_FRACTION)
+    job.add_argument("--seed", type=int, default=fixed.SAMPLE_SEED)
+    job.add_argument("--als-blocks", type=int, default=fixed.ALS_BLOCKS)
     job.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
     job.set_defaults(run=batch)
 
@@ -88,7 +124,21 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--messages-per-trigger", type=int)
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoints", required=True)
+    job.add_argument("--burst-window-seconds", type=int, default=fixed.BURST_WINDOW_SECONDS)
+    job.add_argument("--burst-threshold", type=int, default=fixed.BURST_THRESHOLD)
+    job.add_argument(
+        "--shuffle-partitions", type=int, help="kept by a checkpoint from its first start on"
+    )
     job.set_defaults(run=stream)
+
+    job = commands.add_parser("report", help=report.__doc__)
+    job.add_argument("name", choices=sorted(REPORTS))
+    job.add_argument("--lake", required=True)
+    job.add_argument("--out", required=True)
+    job.add_argument("--user-id", type=int)
+    job.add_argument("--limit", type=int, default=10)
+    job.add_argument("--min-ratings", type=int, default=fixed.TOP_GENRE_MIN_RATINGS)
+    job.set_defaults(run=report)
     return parser
 
 
@@ -99,6 +149,8 @@ def main(arguments: list[str] | None = None) -> None:
         cores = spark.sparkContext.defaultParallelism
         partitions = shuffle_partitions_for(int(args.input_gb * 2**30), cores)
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    if getattr(args, "shuffle_partitions", None):
+        spark.conf.set("spark.sql.shuffle.partitions", args.shuffle_partitions)
     args.run(spark, args)
 
 

@@ -25,6 +25,8 @@ SAMPLE_SEED = 42
 ALS_MAX_ITER = 3
 ALS_REG_PARAM = 0.1
 ALS_RANK = 10
+# Factor blocks: initial factors are drawn per block, so another number gives another model.
+ALS_BLOCKS = 10
 RECOMMENDATIONS_PER_USER = 10
 
 # Report labels and thresholds.

@@ -33,13 +33,5 @@ def has_text(tag: Column) -> Column:
     return tag.isNotNull() & (F.length(F.trim(tag)) > 0)
 
 
-def exact_score(score: Column) -> Column:
-    """Score as a decimal, so sums do not depend on the order tasks finish in.
-
-    Stored scores carry four decimals, which this keeps without loss.
-    """
-    return score.cast("decimal(12,4)")
-
-
 def rounded_mean(total: Column, rows: Column, digits: int = 3) -> Column:
     return F.round(total.cast("double") / rows, digits)

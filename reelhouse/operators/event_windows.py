@@ -1,7 +1,7 @@
 """Event-time window results, for static tables and for streams.
 
 Each function takes events with ``event_ts`` and returns one row per window and
-key. On a stream the caller sets the watermark first (see ``streaming.jobs``).
+key. Events without a time after the epoch count nowhere. On a stream the caller sets the watermark first (see ``streaming.jobs``).
 
 On static tables the counts are additive, so they are first folded into small
 panes and only the folded rows are expanded, exploded or re-grouped. Streams
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
 from reelhouse.functions.alerts import burst_message
-from reelhouse.functions.events import genres_or_unknown, title_or_default
+from reelhouse.functions.events import genres_or_unknown, is_valid_time, title_or_default
 
 
 def _window(time: str, size: int, slide: int | None = None) -> Column:
@@ -32,19 +32,26 @@ def _bounds() -> list[Column]:
     ]
 
 
+def _timed(events: DataFrame) -> DataFrame:
+    return events.filter(is_valid_time(F.col("event_ts")))
+
+
 def trending(
     events: DataFrame,
     window_seconds: int = fixed.TRENDING_WINDOW_SECONDS,
     slide_seconds: int | None = None,
+    fold: bool = True,
 ) -> DataFrame:
     """Events of any type per movie and window, with the first title seen.
 
-    Windows tumble unless ``slide_seconds`` is given.
+    Windows tumble unless ``slide_seconds`` is given. ``fold`` gives the same rows
+    either way: folding pays where a pane holds many events of a movie, and costs a
+    step where it holds about one. Streams are never folded.
     """
-    known = events.filter(F.col("movie_id").isNotNull())
+    known = _timed(events).filter(F.col("movie_id").isNotNull())
     has_title = F.col("movie_title") != ""
     first = F.min(F.when(has_title, F.struct("event_ts", "movie_title"))).alias("first")
-    if events.isStreaming:
+    if events.isStreaming or not fold:
         window = _window("event_ts", window_seconds, slide_seconds)
         totals = known.groupBy(window, "movie_id").agg(
             F.count("*").alias("rating_count"), first
@@ -79,10 +86,11 @@ def genre_activity(
     window_seconds: int = fixed.GENRE_WINDOW_SECONDS,
     slide_seconds: int = fixed.GENRE_SLIDE_SECONDS,
 ) -> DataFrame:
-    """Events per genre and sliding window; an event counts once per genre it has."""
-    known = events.filter(
-        F.col("movie_id").isNotNull() & F.col("user_id").isNotNull()
-    ).withColumn("genres", genres_or_unknown(F.col("genres")))
+    """Events per genre and sliding window; an event counts once per genre it has.
+
+    Neither user nor movie is needed for that.
+    """
+    known = _timed(events).withColumn("genres", genres_or_unknown(F.col("genres")))
     if events.isStreaming:
         counts = (
             known.select(
@@ -179,7 +187,7 @@ def _folded_sessions(ratings: DataFrame, gap_seconds: int) -> DataFrame:
 
 def _ratings(events: DataFrame) -> DataFrame:
     is_rating = F.col("event_type") == fixed.RATING_EVENT
-    return events.filter(is_rating & F.col("user_id").isNotNull())
+    return _timed(events).filter(is_rating & F.col("user_id").isNotNull())
 
 
 def _alerts(counts: DataFrame, start: Column, end: Column, threshold: int) -> DataFrame:

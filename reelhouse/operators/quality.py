@@ -16,31 +16,20 @@ class QualityError(RuntimeError):
 def bad_row_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """(check, bad_rows, ok) with the rows for which each condition holds."""
     counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
-    return _report(counts, list(checks))
+    return report_of(counts)
 
 
-def _report(one_row: DataFrame, names: list[str]) -> DataFrame:
+def report_of(one_row: DataFrame) -> DataFrame:
+    """(check, bad_rows, ok) from one row with a count for each check."""
     pairs = F.array(
         *[
             F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("bad_rows"))
-            for n in names
+            for n in one_row.columns
         ]
     )
     return one_row.select(F.inline(pairs)).withColumn("ok", F.col("bad_rows") == 0)
 
 
-def missing_rows(stored: DataFrame, expected: DataFrame | int, name: str) -> DataFrame:
-    """Difference between the rows stored and the rows expected, or their number."""
-    if isinstance(expected, DataFrame):
-        size = expected.agg(F.count("*").alias("expected")).scalar()
-    else:
-        size = F.lit(expected)
-    one_row = stored.agg(F.count("*").alias("stored")).select(
-        F.abs(F.col("stored") - size).alias(name)
-    )
-    return _report(one_row, [name])
-
-
 def rating_out_of_range() -> Column:
     rating = F.col("rating")
     return (rating < fixed.MIN_RATING) | (rating > fixed.MAX_RATING)
@@ -50,19 +39,19 @@ def null_rating_key() -> Column:
     return F.col("userId").isNull() | F.col("movieId").isNull()
 
 
-def layer_report(source: DataFrame, bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Row integrity, rating range and key checks over the stored layers."""
-    return (
-        missing_rows(bronze, source, "bronze_rows_equal_input")
-        .unionByName(
-            bad_row_counts(bronze, {"bronze_rating_out_of_range": rating_out_of_range()})
+def stored_report(stored: DataFrame, expected_rows: int) -> DataFrame:
+    """Whether stored ratings are as many as expected, and in range, in one pass."""
+    missing = F.abs(F.count("*") - F.lit(expected_rows))
+    return report_of(
+        stored.agg(
+            missing.alias("bronze_rows_equal_input"),
+            F.count_if(rating_out_of_range()).alias("bronze_rating_out_of_range"),
         )
-        .unionByName(bad_row_counts(silver, {"silver_null_key": null_rating_key()}))
     )
 
 
 def event_report(events: DataFrame) -> DataFrame:
-    """Events that the window results leave out, by reason."""
+    """Events that all, the trending or the rating windows leave out, by reason."""
     return bad_row_counts(
         events,
         {

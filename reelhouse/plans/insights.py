@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
-from reelhouse.functions.ratings import exact_score, rounded_mean
 from reelhouse.operators.dedup import first_per_key
 from reelhouse.operators.lookups import left_lookup, left_lookup_few
 
@@ -49,15 +48,7 @@ def most_recommended_movies(
         recommendations.groupBy("movieId")
         .agg(
             F.count("*").alias("times_recommended"),
-            F.sum(exact_score(F.col("predicted_score"))).alias("score"),
-            F.count("predicted_score").alias("scored"),
-        )
-        .select(
-            "movieId",
-            "times_recommended",
-            rounded_mean(F.col("score"), F.nullif("scored", F.lit(0))).alias(
-                "avg_predicted_score"
-            ),
+            F.round(F.avg("predicted_score"), 3).alias("avg_predicted_score"),
         )
         .orderBy(F.desc("times_recommended"), F.desc("avg_predicted_score"), "movieId")
         .limit(limit)
@@ -100,7 +91,7 @@ def prediction_diversity(recommendations: DataFrame, limit: int = 10) -> DataFra
     return (
         recommendations.groupBy(F.col("userId").alias("user_id"))
         .agg(
-            F.round(F.avg(exact_score(score)), 3).cast("double").alias("avg_prediction"),
+            F.round(F.avg(score), 3).alias("avg_prediction"),
             F.round(F.stddev_samp(score), 3).alias("stddev_prediction"),
             F.round(F.max(score) - F.min(score), 3).alias("score_range"),
         )
@@ -129,18 +120,17 @@ def novelty_vs_classic(recommendations: DataFrame, movies: DataFrame) -> DataFra
     """
     per_movie = recommendations.groupBy("movieId").agg(
         F.count("*").alias("n"),
-        F.sum(exact_score(F.col("predicted_score"))).alias("score"),
+        F.sum("predicted_score").alias("score"),
         F.count("predicted_score").alias("scored"),
     )
+    mean = F.sum("score") / F.nullif(F.sum("scored"), F.lit(0))
     label = F.when(F.col("is_recent"), fixed.RECENT_LABEL).otherwise(fixed.CLASSIC_LABEL)
     return (
         left_lookup(per_movie, movies.select("movieId", "is_recent"), "movieId")
         .groupBy("is_recent")
         .agg(
             F.sum("n").alias("total_recommendations"),
-            rounded_mean(F.sum("score"), F.nullif(F.sum("scored"), F.lit(0))).alias(
-                "avg_predicted_score"
-            ),
+            F.round(mean, 3).alias("avg_predicted_score"),
         )
         .select(label.alias("category"), "total_recommendations", "avg_predicted_score")
     )
@@ -157,10 +147,7 @@ def user_score_summary(
     )
     score = F.col("predicted_score")
     return shown.agg(
-        (
-            F.sum(exact_score(score)).cast("double")
-            / F.nullif(F.count(score), F.lit(0))
-        ).alias("avg_predicted_score"),
+        F.avg(score).alias("avg_predicted_score"),
         F.max(score).alias("max_predicted_score"),
     )
 

@@ -88,23 +88,28 @@ class Lakehouse:
 
     def check_raw(self, input_rows: int) -> None:
         """Fail unless every input rating is stored, in range, in two commits or more."""
-        stored = self.bronze_ratings.read()
-        commits = self.bronze_ratings.snapshots().agg(
-            F.greatest(F.lit(2) - F.count("*"), F.lit(0)).alias("bad_rows")
+        quality.require_ok(self.raw_report(input_rows))
+
+    def raw_report(self, input_rows: int) -> DataFrame:
+        """The checks of the stored raw ratings, in one pass over them.
+
+        Only appends since the ratings were last cleared count as commits.
+        """
+        log = self.bronze_ratings.snapshots()
+        cleared = log.filter("operation <> 'append'").agg(F.max("seq")).scalar()
+        appends = log.filter(
+            (F.col("operation") == "append") & (F.col("seq") > F.coalesce(cleared, F.lit(0)))
         )
-        report = quality.missing_rows(stored, input_rows, "bronze_rows_equal_input")
-        report = report.unionByName(
-            quality.bad_row_counts(
-                stored, {"bronze_rating_out_of_range": quality.rating_out_of_range()}
-            )
-        ).unionByName(
-            commits.select(
-                F.lit("bronze_has_two_commits").alias("check"),
-                "bad_rows",
-                (F.col("bad_rows") == 0).alias("ok"),
-            )
+        missing = F.greatest(F.lit(2) - F.count("*"), F.lit(0))
+        return quality.stored_report(self.bronze_ratings.read(), input_rows).unionByName(
+            quality.report_of(appends.agg(missing.alias("bronze_has_two_commits")))
+        )
+
+    def cleaned_report(self) -> DataFrame:
+        """The checks of the stored cleaned ratings."""
+        return quality.bad_row_counts(
+            self.ratings.read(), {"silver_null_key": quality.null_rating_key()}
         )
-        quality.require_ok(report)
 
     # -- cleaned ---------------------------------------------------------
 
@@ -127,11 +132,7 @@ class Lakehouse:
         self.ratings.overwrite(silver.enrich_ratings(ratings, movies), spread=not small)
 
     def check_cleaned(self) -> None:
-        quality.require_ok(
-            quality.bad_row_counts(
-                self.ratings.read(), {"silver_null_key": quality.null_rating_key()}
-            )
-        )
+        quality.require_ok(self.cleaned_report())
 
     # -- aggregated ------------------------------------------------------
 
@@ -141,13 +142,29 @@ class Lakehouse:
     def store_distribution(self) -> None:
         self.distribution.overwrite(gold.rating_distribution(self.ratings.read()))
 
+    def genre_decade_in_order(self) -> DataFrame:
+        return self.genre_decade.read().orderBy("genre", "decade")
+
+    def distribution_in_order(self) -> DataFrame:
+        return self.distribution.read().orderBy("rating")
+
     def aggregate(self) -> None:
         self.store_genre_decade()
         self.store_distribution()
 
-    def recommend(self) -> None:
-        """Train on the sample and store the top movies of each trained user."""
-        model = recommender.train(recommender.training_sample(self.ratings.read()))
+    def recommend(
+        self,
+        fraction: float = fixed.SAMPLE_FRACTION,
+        seed: int = fixed.SAMPLE_SEED,
+        blocks: int = fixed.ALS_BLOCKS,
+    ) -> None:
+        """Train on a sample and store the top movies of each trained user.
+
+        ``fraction`` of the ratings is drawn with ``seed``, which the model starts
+        from as well; ``blocks`` are the model's factor blocks.
+        """
+        sample = recommender.training_sample(self.ratings.read(), fraction, seed)
+        model = recommender.train(sample, seed, blocks)
         scores = gold.enrich_recommendations(
             recommender.top_scores(model), self.movies.read()
         )
@@ -163,9 +180,12 @@ class Lakehouse:
         movies: DataFrame,
         tags: DataFrame,
         cutoff_year: int = fixed.BATCH_CUTOFF_YEAR,
+        fraction: float = fixed.SAMPLE_FRACTION,
+        seed: int = fixed.SAMPLE_SEED,
+        blocks: int = fixed.ALS_BLOCKS,
     ) -> None:
         self.check_raw(self.ingest(ratings, movies, tags, cutoff_year))
         self.refine()
         self.check_cleaned()
-        self.recommend()
+        self.recommend(fraction, seed, blocks)
         self.aggregate()

@@ -1,6 +1,8 @@
 """Operational reports over the window result tables.
 
-Reports that depend on the current time take it as a zone-aware argument.
+Reports that depend on the current time take it as a zone-aware argument. Results
+that are stored by date (``window_date``, ``detected_date``) are read from the dates
+that a report needs; tables without those columns give the same rows.
 """
 
 from __future__ import annotations
@@ -26,15 +28,29 @@ def _minutes_before(now: datetime, minutes: int) -> Column:
     return F.lit(now) - F.make_dt_interval(mins=F.lit(minutes))
 
 
+def _newest_dates(windows: DataFrame, dates: int) -> DataFrame:
+    """Windows of the newest ``dates`` dates, if they are stored by date.
+
+    A date holds one window end or more, so n dates hold the newest n ends.
+    """
+    if "window_date" not in windows.columns:
+        return windows
+    newest = (
+        windows.select("window_date").distinct().orderBy(F.desc("window_date")).limit(dates)
+    )
+    return windows.filter(F.col("window_date") >= newest.agg(F.min("window_date")).scalar())
+
+
 def trending_top_k(trending: DataFrame, k: int = 10) -> DataFrame:
     """Busiest movies of the latest window; empty when there is no window yet.
 
     The latest end is a scalar subquery, which Spark hands to the scan of a
     stored table as a pushed filter.
     """
-    latest = trending.agg(F.max("window_end")).scalar()
+    newest = _newest_dates(trending, 1)
+    latest = newest.agg(F.max("window_end")).scalar()
     return (
-        trending.filter(F.col("window_end") == latest)
+        newest.filter(F.col("window_end") == latest)
         .orderBy(F.desc("rating_count"), "movie_id")
         .limit(k)
     )
@@ -46,13 +62,14 @@ def most_active_genres(activity: DataFrame, last_n_windows: int = 30) -> DataFra
     Sliding windows overlap, so one event adds to several of them: the total is
     a score of activity, not a number of events.
     """
+    newest = _newest_dates(activity, last_n_windows)
     ends = (
-        activity.select("window_end")
+        newest.select("window_end")
         .distinct()
         .orderBy(F.desc("window_end"))
         .limit(last_n_windows)
     )
-    recent = rows_with_few_keys(activity, ends, "window_end", last_n_windows)
+    recent = rows_with_few_keys(newest, ends, "window_end", last_n_windows)
     return (
         recent.groupBy("genre")
         .agg(F.sum("event_count").alias("total_events"))
@@ -91,8 +108,10 @@ def alerts_since(
     alerts: DataFrame, now: datetime, minutes: int = 30, limit: int = 15
 ) -> DataFrame:
     """Newest alerts detected in the last ``minutes``."""
-    recent = alerts.filter(F.col("detected_at") >= _minutes_before(now, minutes))
-    return _newest(recent, limit)
+    since = _minutes_before(now, minutes)
+    if "detected_date" in alerts.columns:
+        alerts = alerts.filter(F.col("detected_date") >= F.to_date(since))
+    return _newest(alerts.filter(F.col("detected_at") >= since), limit)
 
 
 def alerts_for_user(alerts: DataFrame, user_id: int, limit: int = 50) -> DataFrame:
@@ -111,8 +130,8 @@ def alert_ages(alerts: DataFrame, now: datetime) -> DataFrame:
 
 
 def user_document(documents: DataFrame, user_id: int) -> DataFrame:
-    """The one nested row of a user."""
-    return documents.filter(F.col("user_id") == user_id)
+    """A user's nested rows, the page with the best recommendations first."""
+    return documents.filter(F.col("user_id") == user_id).orderBy("page")
 
 
 def monitor_counts(

@@ -20,26 +20,25 @@ def training_sample(
     """A repeatable share of the ratings, without replacement.
 
     Membership is a hash of the rating's own key. Unlike ``DataFrame.sample`` it
-    does not change with the partitioning, nor when a lost task is run again.
+    does not change with the partitioning, nor when a lost task is run again. MD5,
+    so that any other engine can draw the same rows.
     """
-    bucket = F.pmod(
-        F.xxhash64(F.lit(seed), "userId", "movieId", "timestamp"), F.lit(HASH_BUCKETS)
-    )
+    key = F.concat_ws(":", F.lit(seed), "userId", "movieId", "timestamp")
+    digits = F.substring(F.md5(key.cast("binary")), 1, 8)
+    bucket = F.conv(digits, 16, 10).cast("bigint") % HASH_BUCKETS
     chosen = enriched.filter(bucket < int(round(fraction * HASH_BUCKETS)))
     return chosen.select("userId", "movieId", "rating")
 
 
 def train(
-    sample: DataFrame, seed: int = fixed.SAMPLE_SEED, blocks: int | None = None
+    sample: DataFrame, seed: int = fixed.SAMPLE_SEED, blocks: int = fixed.ALS_BLOCKS
 ) -> ALSModel:
     """Explicit-feedback ALS.
 
-    ``blocks`` defaults to the cluster's parallelism, so factor blocks shrink as
-    executors are added.
+    The model depends on ``blocks``, so it is an argument and never taken from the
+    cluster. Raise it for samples whose factor blocks outgrow a task.
     """
-    spark = sample.sparkSession
-    ensure_checkpoint_dir(spark)
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    ensure_checkpoint_dir(sample.sparkSession)
     als = ALS(
         maxIter=fixed.ALS_MAX_ITER,
         regParam=fixed.ALS_REG_PARAM,
@@ -58,14 +57,24 @@ def train(
 
 
 def top_scores(
-    model: ALSModel, per_user: int = fixed.RECOMMENDATIONS_PER_USER
+    model: ALSModel,
+    per_user: int = fixed.RECOMMENDATIONS_PER_USER,
+    users: DataFrame | None = None,
 ) -> DataFrame:
-    """The best movies of every trained user, one row each, score to 4 decimals."""
+    """The best movies of every trained user, one row each, score to 4 decimals.
+
+    MLlib scores each trained user against each trained movie, block by block: the
+    work is users x movies x rank. Only each block's best go on. ``users`` (userId)
+    scores those users alone, for incremental runs.
+    """
     # Widen before rounding: rounding a float and then widening leaves noise.
     score = F.round(F.col("pick.rating").cast("double"), 4)
+    if users is None:
+        picks = model.recommendForAllUsers(per_user)
+    else:
+        picks = model.recommendForUserSubset(users, per_user)
     return (
-        model.recommendForAllUsers(per_user)
-        .select("userId", F.explode("recommendations").alias("pick"))
+        picks.select("userId", F.explode("recommendations").alias("pick"))
         .select(
             "userId",
             F.col("pick.movieId").alias("movieId"),

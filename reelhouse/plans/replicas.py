@@ -2,37 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.operators.quality import QualityError
 from reelhouse.plans.gold import recommended_movies
+from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources.lake import LakeTable
 
 
-# A nested row is built in one task. The recommender emits ten movies per user.
-MAX_DOCUMENT_ITEMS = 10_000
+# Items of one nested row. A user with more has further rows.
+PAGE_ITEMS = 1_000
 
 
-def user_documents(recommendations: DataFrame) -> DataFrame:
-    """One row per user with the user's recommendations nested, best first.
+def user_documents(recommendations: DataFrame, page_items: int = PAGE_ITEMS) -> DataFrame:
+    """A user's recommendations nested, best first, in pages of ``page_items``.
 
-    A list holds what the recommender emits for one user, a fixed top-n. For
-    input from elsewhere, ``require_nestable`` checks the bound first.
+    Scores that are missing come last, equal ones go by movie. Page 0 holds the best,
+    and a user of any size is kept whole, with a bounded number of items a row.
     """
-    # Negated score: an ascending sort of the structs gives the best first.
-    item = F.struct(
-        (-F.col("predicted_score")).alias("worst"),
+    best_first = Window.partitionBy("userId").orderBy(
+        F.desc_nulls_last("predicted_score"), "movieId"
+    )
+    placed = recommendations.select(
+        F.col("userId").alias("user_id"),
+        (F.row_number().over(best_first) - 1).alias("place"),
         F.col("movieId").alias("movie_id"),
         "predicted_score",
     )
-    ordered = F.sort_array(F.collect_list(item))
-    return recommendations.groupBy(F.col("userId").alias("user_id")).agg(
-        F.transform(
-            ordered, lambda i: F.struct(i["movie_id"].alias("movie_id"),
-                                        i["predicted_score"].alias("predicted_score"))
-        ).alias("items")
+    items = F.sort_array(F.collect_list(F.struct("place", "movie_id", "predicted_score")))
+    page = F.floor(F.col("place") / page_items).cast("int").alias("page")
+    return placed.groupBy("user_id", page).agg(
+        F.transform(items, lambda i: i.dropFields("place")).alias("items")
     )
 
 
@@ -46,18 +48,12 @@ def for_point_reads(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(key).sortWithinPartitions(key)
 
 
-def require_nestable(flat: DataFrame, max_items: int = MAX_DOCUMENT_ITEMS) -> None:
-    """Fail on a repeated (user, movie), or on a user too large for one row."""
-    per_key = flat.groupBy("user_id", "movie_id").agg(F.count("*").alias("copies"))
-    per_user = per_key.groupBy("user_id").agg(
-        F.max("copies").alias("copies"), F.sum("copies").alias("items")
-    )
-    worst = per_user.agg(F.max("copies").alias("copies"), F.max("items").alias("items"))
-    copies, items = worst.first()
-    if (copies or 0) > 1:
-        raise QualityError(f"a repeated (user_id, movie_id) occurs {copies} times")
-    if (items or 0) > max_items:
-        raise QualityError(f"a user has {items} recommendations, more than {max_items}")
+def require_unique(flat: DataFrame) -> None:
+    """Fail on a repeated (user, movie)."""
+    copies = flat.groupBy("user_id", "movie_id").agg(F.count("*").alias("copies"))
+    most = copies.agg(F.max("copies")).first()[0]
+    if (most or 0) > 1:
+        raise QualityError(f"a repeated (user_id, movie_id) occurs {most} times")
 
 
 class ServingTables:
@@ -75,16 +71,16 @@ class ServingTables:
         self.activity = table("genre_activity_mirror", schemas.GENRE_ACTIVITY)
 
     def reload_recommendations(self, recommendations: DataFrame) -> None:
-        """Replace the flat and the nested copy, after a check of their keys."""
-        flat = recommendations.select(
-            F.col("userId").alias("user_id"),
-            F.col("movieId").alias("movie_id"),
-            "predicted_score",
-        )
-        require_nestable(flat)
+        """Replace the flat and the nested copy, after a check of their keys.
+
+        The input is computed once, into the shared checkpoint folder.
+        """
+        ensure_checkpoint_dir(recommendations.sparkSession)
+        scores = recommendations.select("userId", "movieId", "predicted_score").checkpoint()
+        flat = scores.withColumnsRenamed({"userId": "user_id", "movieId": "movie_id"})
+        require_unique(flat)
         self.recommendations.overwrite(for_point_reads(flat, "user_id"))
-        nested = user_documents(recommendations)
-        self.documents.overwrite(for_point_reads(nested, "user_id"))
+        self.documents.overwrite(for_point_reads(user_documents(scores), "user_id"))
 
     def reload_movies(self, movies: DataFrame, recommendations: DataFrame) -> None:
         self.movies.overwrite(recommended_movies(movies, recommendations))

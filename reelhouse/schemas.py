@@ -61,7 +61,7 @@ GOLD_RATING_DISTRIBUTION = _struct(rating=DOUBLE, total=LONG)
 
 USER_RECOMMENDATIONS = _struct(user_id=INT, movie_id=INT, predicted_score=DOUBLE)
 USER_DOCUMENTS = _struct(
-    user_id=INT, items=T.ArrayType(_struct(movie_id=INT, predicted_score=DOUBLE))
+    user_id=INT, page=INT, items=T.ArrayType(_struct(movie_id=INT, predicted_score=DOUBLE))
 )
 DIM_MOVIE = _struct(movie_id=INT, title=STRING, genres=STRING)
 GENRE_ACTIVITY = _struct(

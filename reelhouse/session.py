@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+# Blocks number map tasks times reduce tasks: about 1 GB each keeps that product, and the
+# driver's table of it, near 1e10 at 100 TB. Adaptive execution splits and merges from there.
+BYTES_PER_SHUFFLE_PARTITION = 1024**3
 
 ENGINE_SETTINGS = {
     # Results never depend on the host's zone.
@@ -19,6 +20,8 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Fewer map tasks; files of less than this are read together.
+    "spark.sql.files.maxPartitionBytes": "512m",
     # A side is broadcast only when its size is known to be below this.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
@@ -39,7 +42,7 @@ ENGINE_SETTINGS = {
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Shuffle partitions such that each holds about 128 MB, and no core idles."""
+    """Shuffle partitions such that each holds about 1 GB, and no core idles."""
     return max(cores, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION))
 
 
@@ -66,18 +69,11 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master may go without that setting; it gets a scratch folder.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="reelhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:

@@ -191,6 +191,14 @@ class LakeTable:
             raise ValueError(f"{self.path} has no version {seq}")
         return self._read(known)
 
+    def then_and_now(self, seq: int) -> DataFrame:
+        """Rows right after commit ``seq``, rows now, and the difference."""
+        rows_then = self.as_of(seq).agg(F.count("*").alias("n")).scalar()
+        rows_now = self.read().agg(F.count("*").alias("rows_now"))
+        return rows_now.select(
+            rows_then.alias("rows_then"), "rows_now", (F.col("rows_now") - rows_then).alias("added")
+        )
+
     def _read(self, log: DataFrame) -> DataFrame:
         """Rows of the commits since the last reset, by folder: no other is listed.
 

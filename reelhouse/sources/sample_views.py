@@ -67,7 +67,10 @@ class SampleViews:
         return self._sold_items().select("userId", "movieId", tag.alias("tag"), "timestamp")
 
     def platform_events(self) -> DataFrame:
-        """User events; movies that have no row give no title and no genres."""
+        """User events; movies that have no row give no title and no genres.
+
+        Some lack their user, movie or time, and some are from before 1970.
+        """
         kinds = F.create_map(
             *[
                 F.lit(x)
@@ -80,14 +83,17 @@ class SampleViews:
                 for x in pair
             ]
         )
+        odd = lambda n: F.col("event_id") % n == 1
+        time = F.col("ts").cast("timestamp")
+        past = time - F.expr("interval 60 years")
         events = self._table("events").select(
             F.col("event_id").cast("string").alias("event_id"),
             F.coalesce(
                 F.try_element_at(kinds, F.col("event_type")), F.lit("play_stop")
             ).alias("event_type"),
-            "user_id",
-            F.get_json_object("props", "$.k").cast("bigint").alias("movie_id"),
-            F.col("ts").cast("timestamp").alias("event_ts"),
+            F.when(~odd(97), F.col("user_id")).alias("user_id"),
+            F.when(~odd(89), F.get_json_object("props", "$.k").cast("bigint")).alias("movie_id"),
+            F.when(~odd(83), F.when(odd(79), past).otherwise(time)).alias("event_ts"),
             "value",
         )
         movies = self.movies_raw().select(
@@ -122,7 +128,7 @@ class SampleViews:
         best = top_per_key(
             seen.withColumn("mix", mix), ["userId"], [F.desc("mix"), F.asc("movieId")], 10
         )
-        score = F.lit(1.0) + F.col("mix") / F.lit(1000.0)
+        score = F.lit(1.0) + F.col("mix") / F.lit(1237.0)
         return best.select("userId", "movieId", score.alias("predicted_score"))
 
     def recommendations(self) -> DataFrame:

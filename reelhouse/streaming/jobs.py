@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -22,6 +22,22 @@ from reelhouse.functions.events import parse_wire
 from reelhouse.operators import event_windows
 
 
+RESULTS = {
+    "trending_movies": "window_start timestamp, window_end timestamp, movie_id bigint,"
+    " movie_title string, rating_count bigint, computed_at timestamp, window_date date",
+    "genre_activity": "window_start timestamp, window_end timestamp, genre string,"
+    " event_count bigint, computed_at timestamp, window_date date",
+    "anomaly_alerts": "user_id bigint, session_start timestamp, session_end timestamp,"
+    " event_count bigint, alert_type string, threshold int, message string,"
+    " detected_at timestamp, detected_date date",
+}
+
+
+def read_results(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A stream's stored windows; no rows before the first one has closed."""
+    return spark.read.schema(RESULTS[name]).parquet(f"{out}/{name}")
+
+
 def timed_events(messages: DataFrame) -> DataFrame:
     """Parsed, valid events with the watermark the windows close on."""
     delay = f"{fixed.WATERMARK_SECONDS} seconds"
@@ -34,16 +50,21 @@ def start_append(
     checkpoint: str,
     stamp: str = "computed_at",
     until_caught_up: bool = False,
+    date: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Append closed windows to Parquet files, stamped with the time of writing.
 
-    ``until_caught_up`` processes what is there and stops; otherwise the query
+    ``date`` names the partition column and the time it is the date of, so that
+    readers open the newest dates only. ``until_caught_up`` processes what is there and stops; otherwise the query
     keeps running and checkpoints on the fixed interval.
     """
+    results = results.withColumn(stamp, F.current_timestamp())
+    if date:
+        results = results.withColumn(date[0], F.to_date(date[1]))
     writer = (
-        results.withColumn(stamp, F.current_timestamp())
-        .writeStream.format("parquet")
+        results.writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy(*(date or ())[:1])
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
@@ -70,6 +91,7 @@ def start_trending(
         f"{out}/trending_movies",
         f"{checkpoints}/trending_movies",
         until_caught_up=until_caught_up,
+        date=("window_date", "window_end"),
     )
 
 
@@ -89,6 +111,7 @@ def start_genre_activity(
         f"{out}/genre_activity",
         f"{checkpoints}/genre_activity",
         until_caught_up=until_caught_up,
+        date=("window_date", "window_end"),
     )
 
 
@@ -109,14 +132,22 @@ def start_rating_bursts(
         f"{checkpoints}/anomaly_alerts",
         stamp="detected_at",
         until_caught_up=until_caught_up,
+        date=("detected_date", "detected_at"),
     )
 
 
 def start_all(
-    new_source: Callable[[], DataFrame], out: str, checkpoints: str
+    new_source: Callable[[], DataFrame],
+    out: str,
+    checkpoints: str,
+    burst_window_seconds: int = fixed.BURST_WINDOW_SECONDS,
+    burst_threshold: int = fixed.BURST_THRESHOLD,
 ) -> list[StreamingQuery]:
     """The three result streams side by side, each reading the source itself."""
     return [
-        start(new_source(), out, checkpoints)
-        for start in (start_trending, start_genre_activity, start_rating_bursts)
+        start_trending(new_source(), out, checkpoints),
+        start_genre_activity(new_source(), out, checkpoints),
+        start_rating_bursts(
+            new_source(), out, checkpoints, burst_window_seconds, burst_threshold
+        ),
     ]

@@ -4,12 +4,12 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
+from checks.oracle import all_sql
+from checks.registry import all_queries
 from tests.conftest import SAMPLE_FOLDER
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
-# A hash sample and a trained model have no SQL counterpart.
-WITHOUT_SQL = {"train_sample", "als_recommendations"}
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +17,9 @@ def duck():
     return connect(SAMPLE_FOLDER)
 
 
-def test_every_query_but_the_model_ones_has_sql():
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -1,10 +1,12 @@
 """Sampling, training and scoring."""
 
+import inspect
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse import fixed_values as fixed
 from reelhouse.plans import recommender
 from tests.conftest import rows_of
 
@@ -27,6 +29,20 @@ def test_sample_is_repeatable_and_close_to_its_share(ratings):
     assert recommender.training_sample(ratings, fraction=1.0).count() == ratings.count()
 
 
+def test_model_does_not_depend_on_the_cluster(ratings):
+    assert inspect.signature(recommender.train).parameters["blocks"].default == fixed.ALS_BLOCKS == 10
+    assert "defaultParallelism" not in inspect.getsource(recommender)
+
+
+def test_scores_of_given_users(ratings):
+    sample = recommender.training_sample(ratings)
+    model = recommender.train(sample)
+    some = sample.select("userId").distinct().orderBy("userId").limit(3)
+    everyone = set(rows_of(recommender.top_scores(model)))
+    found = rows_of(recommender.top_scores(model, users=some))
+    assert len(found) == 30 and set(found) <= everyone
+
+
 def test_top_scores(ratings):
     sample = recommender.training_sample(ratings)
     scores = recommender.top_scores(recommender.train(sample))

@@ -88,6 +88,16 @@ def test_documents_list_best_first(spark):
     assert docs.schema["items"].dataType.elementType.names == ["movie_id", "predicted_score"]
 
 
+def test_documents_of_a_large_user_come_in_pages(spark):
+    rows = spark.range(10_001).selectExpr(
+        "1 as userId", "cast(id as int) as movieId", "if(id = 7, null, id / 7) as predicted_score"
+    )
+    pages = live.user_document(replicas.user_documents(rows), 1).collect()
+    assert [(p.page, len(p["items"])) for p in pages] == [(n, 1000) for n in range(10)] + [(10, 1)]
+    movies = [i.movie_id for p in pages for i in p["items"]]
+    assert movies[0] == 10_000 and movies[-1] == 7 and len(set(movies)) == 10_001
+
+
 def windows(spark, rows):
     return spark.createDataFrame(
         rows, "window_end timestamp, movie_id bigint, rating_count bigint"
