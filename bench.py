@@ -20,6 +20,7 @@ from checks import registry  # noqa: E402
 from reelhouse.operators import event_windows  # noqa: E402
 from reelhouse.plans import gold, insights, live, replicas  # noqa: E402
 from reelhouse.plans.lakehouse import Lakehouse  # noqa: E402
+from checks.work_folder import name_work_folder  # noqa: E402
 from reelhouse.session import build_session, new_work_path  # noqa: E402
 from reelhouse.sources import csv_files, event_log  # noqa: E402
 from reelhouse.sources.sample_views import SampleViews  # noqa: E402
@@ -122,6 +123,11 @@ def report_times(spark, house: Lakehouse, files: str) -> dict[str, float]:
         "report_most_active_genres": lambda: consume(live.most_active_genres(activity)),
         "store_user_documents": store_documents,
         "window_trending": lambda: consume(event_windows.trending(events)),
+        "window_trending_direct": lambda: consume(event_windows.trending(events, fold=False)),
+        "window_trending_1d": lambda: consume(event_windows.trending(events, registry.DAY)),
+        "window_trending_1d_direct": lambda: consume(
+            event_windows.trending(events, registry.DAY, fold=False)
+        ),
         "window_genre_activity": lambda: consume(event_windows.genre_activity(events)),
         "window_rating_bursts": lambda: consume(event_windows.rating_bursts(events)),
         "stream_trending": lambda: stream(spark, files, jobs.start_trending),
@@ -158,6 +164,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     views = SampleViews(spark, FOLDER)
+    name_work_folder(spark)
     files = new_work_path(spark, "bench-input")
     write_inputs(views, files)
     house, queries = pipeline_times(spark, files)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import CUTOFF_YEAR
 from reelhouse.plans.lakehouse import Lakehouse
+from checks.work_folder import name_work_folder
 from reelhouse.session import build_session, new_work_path
 from reelhouse.sources import csv_files
 from reelhouse.sources.sample_views import SampleViews
@@ -56,6 +57,7 @@ def main(folder: str, copies: int) -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    name_work_folder(spark)
     views, files = SampleViews(spark, folder), new_work_path(spark, "scale-input")
     csv_files.write_csv(_ratings(views, copies).repartition(64), f"{files}/ratings")
     csv_files.write_csv(_movies(views), f"{files}/movies")
