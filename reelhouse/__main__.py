@@ -11,7 +11,7 @@ from reelhouse.plans import insights
 from reelhouse.plans.lakehouse import Lakehouse
 from reelhouse.plans.replicas import ServingTables
 from reelhouse.session import build_session, shuffle_partitions_for
-from reelhouse.sources import csv_files, event_log
+from reelhouse.sources import csv_files, event_log, external
 from reelhouse.streaming import jobs
 
 STEPS = ("ingest", "refine", "recommend", "aggregate")
@@ -47,6 +47,20 @@ def serve(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.windows:
         activity = jobs.read_results(spark, args.windows, "genre_activity")
         serving.reload_activity(activity.drop("computed_at", "window_date"))
+    if args.jdbc_url:
+        properties = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
+        for table, rows in (
+            ("gold.user_recommendations", serving.recommendations),
+            ("gold.dim_movie", serving.movies),
+        ):
+            external.reload_jdbc(rows.read(), args.jdbc_url, table, properties)
+    if args.documents_uri:
+        external.reload_collection(
+            serving.documents.read(),
+            args.documents_uri,
+            args.documents_database,
+            "gold_user_recommendations",
+        )
 
 
 REPORTS = {
@@ -116,6 +130,10 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--lake", required=True)
     job.add_argument("--serving", required=True)
     job.add_argument("--windows", help="folder of the streams' results")
+    job.add_argument("--jdbc-url", help="copy the flat tables to this database as well")
+    job.add_argument("--jdbc-driver", help="class of the database's driver")
+    job.add_argument("--documents-uri", help="copy the nested rows to this store as well")
+    job.add_argument("--documents-database", default="reelhouse")
     job.set_defaults(run=serve)
 
     job = commands.add_parser("stream", help=stream.__doc__)

@@ -32,17 +32,6 @@ def read_topic(
     return reader.load()
 
 
-def write_topic(events: DataFrame, servers: str, topic: str) -> None:
-    """Publish events keyed by user, so one user's events stay in order."""
-    (
-        to_wire(events)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .save()
-    )
-
-
 def write_message_files(events: DataFrame, path: str) -> None:
     to_wire(events).write.mode("append").parquet(path)
 

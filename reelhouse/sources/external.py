@@ -1,27 +1,23 @@
-"""Databases and table catalogs, through whichever connector is installed."""
+"""Databases, through whichever connector is installed."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def append_to_catalog(df: DataFrame, table: str) -> None:
-    """Append to a catalog table by column name (e.g. an Iceberg catalog's)."""
-    df.writeTo(table).append()
-
-
-def read_version(spark: SparkSession, table: str, version: str) -> DataFrame:
-    """A catalog table as of one of its versions."""
-    return spark.read.option("versionAsOf", version).table(table)
+from pyspark.sql import DataFrame
 
 
 def reload_jdbc(
-    df: DataFrame, url: str, table: str, properties: dict[str, str], batch_rows: int = 5000
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: dict[str, str],
+    batch_rows: int = 5000,
+    connections: int = 8,
 ) -> None:
     """Replace a relational table's rows, keeping its definition and indexes."""
     (
         df.write.format("jdbc")
         .options(url=url, dbtable=table, batchsize=batch_rows, **properties)
+        .option("numPartitions", connections)
         .option("truncate", True)
         .mode("overwrite")
         .save()
