@@ -1,13 +1,15 @@
 """Physical plans: what must, and what must not, be in them."""
 
 import re
+from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.registry import all_queries
 from reelhouse.functions import events as event_fn
 from reelhouse.operators import event_windows
-from reelhouse.plans import gold, insights, silver
+from reelhouse.plans import gold, insights, live, silver
 from tests.conftest import SAMPLE_FOLDER, plan_of
 
 # These run jobs and return what they stored: their plan is a scan. Scoring in als_ compares
@@ -71,3 +73,30 @@ def test_large_dimension_is_not_broadcast(spark, sample):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_live_reports_read_only_the_dates_they_need(spark, tmp_path):
+    ends = [datetime(2024, 1, d, h, tzinfo=timezone.utc) for d in range(1, 7) for h in (1, 2)]
+    rows = [(end, end, m, f"m{m}", m, "g", 1) for end in ends for m in range(5)]
+    schema = (
+        "window_end timestamp, detected_at timestamp, movie_id long, movie_title string,"
+        " rating_count long, genre string, event_count long"
+    )
+    dated = spark.createDataFrame(rows, schema).withColumns(
+        {"window_date": F.to_date("window_end"), "detected_date": F.to_date("detected_at")}
+    )
+    dated = dated.withColumns({"session_start": F.col("detected_at"), "user_id": F.col("movie_id")})
+    for date in ("window_date", "detected_date"):
+        dated.write.partitionBy(date).parquet(f"{tmp_path}/{date}")
+    windows, alerts = (spark.read.parquet(f"{tmp_path}/{d}") for d in ("window_date", "detected_date"))
+    reports = (
+        (live.trending_top_k(windows), live.trending_top_k(dated.drop("window_date"))),
+        (live.most_active_genres(windows, 3), live.most_active_genres(dated.drop("window_date"), 3)),
+        (live.alerts_since(alerts, ends[-1], 60), live.alerts_since(dated.drop("detected_date"), ends[-1], 60)),
+    )
+    for stored, plain in reports:
+        assert re.search(r"PartitionFilters: \[isnotnull\(\w+_date#\d+\), \(\w+_date#\d+ >=", plan_of(stored))
+        columns = [c for c in plain.columns if not c.endswith("_date")]
+        assert sorted(map(repr, stored.select(columns).collect())) == sorted(
+            map(repr, plain.select(columns).collect())
+        )
