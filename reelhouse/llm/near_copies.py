@@ -2,7 +2,8 @@
 
 SimHash links (``covering_simhash``) give candidates. At five words and a similarity of 0.8, most
 pairs differ in more bits than a covering family can afford, so banded minimum hashes add the
-others. Every candidate pair is checked on the whole shingle sets.
+others: first pairs with a bucket's best connected rows, then all that are still in different
+groups. Every candidate pair is checked on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -19,10 +20,14 @@ from reelhouse.session import ensure_checkpoint_dir
 
 BANDS = 25
 ROWS_PER_BAND = 4
-#: Partners of each row of a bucket: its best connected rows.
+#: Rows of a bucket that all its rows are paired with first.
 HUBS = 4
+#: Rows of a bucket that are compared with as many others under one key.
+TILE_ROWS = 512
 #: At similarity 0.8 a pair shares ten bands on average, and fewer than three once in 4,000 pairs.
 SHARED_BANDS = 3
+#: Bits of a text's odd sketch, in longs.
+SKETCH_LONGS = 16
 BATCH_ROWS = 1_024
 HASH_CHUNK = 4_096
 
@@ -43,39 +48,61 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array([xxhash.xxh64_intdigest(r.tobytes()) for r in rows], np.uint64).view(np.int64).tolist()
 
 
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Each bit: is the number of shingles that fall on it odd? ``hashes`` are distinct.
+
+    The bits in which two sketches differ are at most as many as the shingles that only one text has.
+    """
+    bits = 64 * SKETCH_LONGS
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, copy (128 bits of the lower-cased words), fp, bands of every row with an id."""
+    """doc_id, copy (128 bits of the lower-cased words), fp, bands of every row with an id.
+
+    ``kinds`` is the number of different shingles, ``odd`` their odd sketch.
+    """
     fields = [("doc_id", pa.int64()), ("copy", pa.binary()), ("fp", pa.int64())]
-    out = pa.schema([*fields, ("bands", pa.list_(pa.int64()))])
+    longs = pa.list_(pa.int64())
+    out = pa.schema([*fields, ("bands", longs), ("kinds", pa.int64()), ("odd", longs)])
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                copies, fps, bands = [], [], []
+                copies, fps, bands, kinds, odd = [], [], [], [], []
                 for text in part.column(1).to_pylist():
                     hashes = shingle_hashes(text, words)
                     raw = (text or "").encode("utf-8", "surrogatepass").lower()
                     copies.append(xxhash.xxh3_128_digest(b" ".join(raw.split())))
                     fps.append(simhash(hashes))
-                    bands.append(band_keys(hashes))
+                    different = np.unique(hashes)
+                    bands.append(band_keys(different))
+                    kinds.append(len(different))
+                    odd.append(odd_sketch(different))
                 made = [pa.array(copies), pa.array(np.array(fps, np.uint64).view(np.int64))]
-                made.append(pa.array(bands, out[3].type))
+                made += [pa.array(bands, longs), pa.array(kinds, pa.int64()), pa.array(odd, longs)]
                 yield pa.record_batch([part.column(0), *made], schema=out)
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, copy binary, fp long, bands array<long>")
-
+    columns = "doc_id long, copy binary, fp long, bands array<long>, kinds long, odd array<long>"
+    return rows.mapInArrow(run, columns)
 
-def _band_pairs(texts: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of texts that share bands.
 
-    Inside a bucket each row is paired with the HUBS rows that meet most others in all their
-    buckets, not with all. The source of a group of copies meets more of them than any copy does.
-    """
+def _shared_buckets(texts: DataFrame) -> DataFrame:
+    """(band, key, rep, met) of each bucket with ``met`` texts, at least two."""
     buckets = texts.select("rep", F.posexplode("bands").alias("band", "key"))
     sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("met")).where("met > 1")
-    shared = buckets.join(sizes, ["band", "key"]).checkpoint()
+    return buckets.join(sizes, ["band", "key"])
+
+
+def _hub_pairs(shared: DataFrame) -> DataFrame:
+    """First candidate pairs (a, b): those of a bucket's rows with its HUBS best connected rows.
+
+    They meet most others in all their buckets. The source of a group of copies meets more of them
+    than any copy does, so most groups come together here; ``_open_pairs`` finds what is left.
+    """
     known = shared.groupBy("rep").agg(F.sum("met").alias("met_in_all"))
     order = "row_number() over (partition by band, key order by met_in_all desc, rep)"
     hubs = shared.join(known, "rep").withColumn("place", F.expr(order)).where(F.col("place") <= HUBS)
@@ -86,6 +113,56 @@ def _band_pairs(texts: DataFrame) -> DataFrame:
     return counted.where(F.col("bands") >= SHARED_BANDS).select("a", "b")
 
 
+def _open_pairs(
+    shared: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float
+) -> DataFrame:
+    """All pairs (a, b) that share SHARED_BANDS bands or more and are not in one group of ``roots``.
+
+    Rows of a bucket that are in one group already need no more links. The rest is compared in
+    tiles: all rows of the bucket against those outside its largest group. Both are dealt by hash to
+    parts of about TILE_ROWS, so a large bucket is spread over many keys. A pair whose sketches
+    rule the similarity out is dropped in the join; any other comes out once, of the first bucket
+    that it shares.
+    """
+    rooted = shared.join(roots, shared["rep"] == roots["node"], "left")
+    rooted = rooted.select("band", "key", "rep", F.coalesce("root", "rep").alias("root"))
+    groups = rooted.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "root"))
+    buckets = groups.groupBy("band", "key").agg(largest.alias("main"), F.sum("n").alias("met"))
+    buckets = buckets.where("met > main.n").select(
+        "band",
+        "key",
+        F.col("main.root").alias("main"),
+        F.ceil(F.col("met") / TILE_ROWS).alias("left_tiles"),
+        F.ceil((F.col("met") - F.col("main.n")) / TILE_ROWS).alias("right_tiles"),
+    )
+    rows = rooted.join(buckets, ["band", "key"]).join(texts.drop("fp"), "rep")
+
+    def side(name: str, own: str, other: str) -> DataFrame:
+        """Every row in its own tile, once for each tile of the other side."""
+        dealt = F.pmod(F.xxhash64("rep"), F.col(f"{own}_tiles")).alias(f"{own}_tile")
+        copies = F.explode(F.sequence(F.lit(0), F.col(f"{other}_tiles") - 1)).alias(f"{other}_tile")
+        columns = [F.col(c).alias(f"{name}_{c}") for c in ("rep", "root", "bands", "kinds", "odd")]
+        return rows.select("band", "key", "main", dealt, copies, *columns)
+
+    right = side("b", "right", "left").where("b_root <> main").drop("main")
+    met = side("a", "left", "right").join(right, ["band", "key", "left_tile", "right_tile"])
+    # Sets of a shingles in all, d of them in one set only, have a similarity of (a - d) / (a + d).
+    differing = [
+        F.bit_count(F.col("a_odd")[i].bitwiseXOR(F.col("b_odd")[i])) for i in range(SKETCH_LONGS)
+    ]
+    most_differing = (F.col("a_kinds") + F.col("b_kinds")) * (1 - similarity) / (1 + similarity)
+    equal = F.zip_with("a_bands", "b_bands", lambda x, y: x == y)
+    found = met.where(
+        (F.col("a_root") != F.col("b_root"))
+        & ((F.col("a_root") == F.col("main")) | (F.col("a_root") < F.col("b_root")))
+        & (sum(differing) <= most_differing + 1e-6)
+        & (F.array_position(equal, True) == F.col("band") + 1)
+        & (F.size(F.filter(equal, lambda x: x)) >= SHARED_BANDS)
+    )
+    return found.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
+
+
 def _simhash_pairs(texts: DataFrame, radius: int) -> DataFrame:
     """Candidate pairs of texts whose fingerprints are linked or equal."""
     first = texts.groupBy("fp").agg(F.min("rep").alias("first"))
@@ -140,14 +217,16 @@ def drop_near_copies(
     """
     ensure_checkpoint_dir(docs.sparkSession)
     marked = sketches(docs, words).checkpoint()
-    texts = marked.groupBy("copy").agg(
-        F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("bands").alias("bands")
-    )
+    of_text = [F.first(c).alias(c) for c in ("fp", "bands", "kinds", "odd")]
+    texts = marked.groupBy("copy").agg(F.min("doc_id").alias("rep"), *of_text)
     # A doc_id that repeats may stand for several texts; it links them.
-    texts = texts.groupBy("rep").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
-    texts = texts.checkpoint()
-    pairs = _band_pairs(texts).union(_simhash_pairs(texts, radius)).distinct().checkpoint()
-    links = _similar(pairs, docs, words, similarity)
+    texts = texts.groupBy("rep").agg(*of_text).checkpoint()
+    shared = _shared_buckets(texts).checkpoint()
+    pairs = _hub_pairs(shared).union(_simhash_pairs(texts, radius)).distinct().checkpoint()
+    links = _similar(pairs, docs, words, similarity).checkpoint()
+    left_open = _open_pairs(shared, texts, components(links), similarity)
+    left_open = left_open.join(pairs, ["a", "b"], "left_anti").checkpoint()
+    links = links.union(_similar(left_open, docs, words, similarity))
     dropped = components(links).select(F.col("node").alias("rep"))
     kept = texts.select("rep").join(dropped, "rep", "left_anti").withColumnRenamed("rep", "_kept_id")
     repeats = marked.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()

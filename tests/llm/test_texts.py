@@ -166,7 +166,10 @@ def test_components_of_paths_and_stars(spark):
     assert components(edges.limit(0)).count() == 0
 
 
-def test_one_of_each_group_of_near_copies_stays(spark):
+@pytest.mark.parametrize("hubs, tile_rows", [(near_copies.HUBS, near_copies.TILE_ROWS), (1, 3)])
+def test_one_of_each_group_of_near_copies_stays(spark, monkeypatch, hubs, tile_rows):
+    monkeypatch.setattr(near_copies, "HUBS", hubs)
+    monkeypatch.setattr(near_copies, "TILE_ROWS", tile_rows)
     rng = np.random.default_rng(9)
     words = [f"w{i}" for i in range(5000)]
     sources = [rng.choice(words, 150).tolist() for _ in range(20)]
@@ -201,6 +204,35 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert near_copies.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_open_pairs_are_all_pairs_outside_one_group(spark, monkeypatch):
+    """Rows of one bucket in three groups: every pair across groups that can be similar, once."""
+    monkeypatch.setattr(near_copies, "TILE_ROWS", 4)
+    rng = np.random.default_rng(4)
+    common = rng.integers(1, 1 << 62, 300).astype(np.uint64)
+    sets = [np.unique(np.r_[common, rng.integers(1, 1 << 62, n % 70).astype(np.uint64)]) for n in range(0, 600, 17)]
+    sets += [rng.integers(1, 1 << 62, 300).astype(np.uint64) for _ in range(5)]
+    rows = [
+        (n, [1, 2, 3, n, 7 if n % 2 else -n], len(s), near_copies.odd_sketch(s).tolist())
+        for n, s in enumerate(sets)
+    ]
+    texts = spark.createDataFrame(rows, "rep long, bands array<long>, kinds long, odd array<long>")
+    texts = texts.withColumn("fp", F.lit(0))
+    root = {n: 0 if n < 20 else 20 if n < 26 else n for n in range(len(sets))}
+    roots = spark.createDataFrame([(n, r) for n, r in root.items() if n != r], "node long, root long")
+    shared = near_copies._shared_buckets(texts)
+    found = rows_of(near_copies._open_pairs(shared, texts, roots, 0.8).select("a", "b"))
+    assert len(found) == len(set(found))
+    similar = set()
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[i + 1 :], i + 1):
+            both = len(np.intersect1d(x, y))
+            if root[i] != root[j] and both >= 0.8 * (len(x) + len(y) - both):
+                similar.add((i, j))
+    assert similar <= {tuple(p) for p in found}
+    assert all(root[a] != root[b] and a < b for a, b in found)
+    assert not any(b >= len(sets) - 5 for _, b in found)
+
+
 # -- language and quality -------------------------------------------------
 
 
