@@ -106,7 +106,8 @@ def _hub_pairs(shared: DataFrame) -> DataFrame:
     known = shared.groupBy("rep").agg(F.sum("met").alias("met_in_all"))
     order = "row_number() over (partition by band, key order by met_in_all desc, rep)"
     hubs = shared.join(known, "rep").withColumn("place", F.expr(order)).where(F.col("place") <= HUBS)
-    hubs = hubs.select("band", "key", F.col("rep").alias("hub"))
+    # Stored, so that the next join is one of plain shuffles, whose large buckets Spark can split.
+    hubs = hubs.select("band", "key", F.col("rep").alias("hub")).checkpoint()
     met = shared.join(hubs, ["band", "key"]).where("rep <> hub")
     pairs = met.select("band", F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
     counted = pairs.groupBy("a", "b").agg(F.countDistinct("band").alias("bands"))
