@@ -233,6 +233,25 @@ def test_open_pairs_are_all_pairs_outside_one_group(spark, monkeypatch):
     assert not any(b >= len(sets) - 5 for _, b in found)
 
 
+def test_one_common_band_is_enough(spark):
+    """Isolated similar pairs with one, two and three bands in common all come out of the second pass."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for pair, common in enumerate((1, 2, 3, 0)):
+        whole = np.unique(rng.integers(1, 1 << 62, 400).astype(np.uint64))
+        for n in (0, 1):
+            node = 2 * pair + n
+            bands = [10 * pair + b if b >= 5 - common else 100 + 10 * node + b for b in range(5)]
+            part = whole[n * 20 : n * 20 + 380]
+            rows.append((node, bands, len(part), near_copies.odd_sketch(part).tolist()))
+    texts = spark.createDataFrame(rows, "rep long, bands array<long>, kinds long, odd array<long>")
+    texts = texts.withColumn("fp", F.lit(0))
+    roots = spark.createDataFrame([], "node long, root long")
+    shared = near_copies._shared_buckets(texts)
+    found = rows_of(near_copies._open_pairs(shared, texts, roots, 0.8).select("a", "b"))
+    assert sorted(found) == [(0, 1), (2, 3), (4, 5)]
+
+
 # -- language and quality -------------------------------------------------
 
 
