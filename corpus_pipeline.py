@@ -28,13 +28,16 @@ def _filtered(docs: DataFrame, added: tuple[str, ...], judge, keep) -> DataFrame
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: a null text, or one without a letter."""
+    """Drop documents in no language: a null text, or one without a letter.
+
+    Every other document stays, also if no row names a language to learn, or one is named ``und``.
+    """
     prototypes = hd_language.learn(docs.where(~hd_language.held_out(F.col("doc_id"))))
     return _filtered(
         docs,
-        ("lang_pred", "score"),
-        lambda rows: hd_language.identify(rows, prototypes),
-        F.col("lang_pred") != hd_language.UNKNOWN,
+        ("lang_pred", "score", "lettered"),
+        lambda rows: hd_language.identify(rows, prototypes, lettered=True),
+        F.col("lettered"),
     )
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 DIMENSIONS = 1_024
 GAP = 32
@@ -159,8 +159,16 @@ def learn(docs: DataFrame, rows_per_language: int = 10_000) -> Prototypes:
     return Prototypes(names, vectors)
 
 
-def predict(texts: list[str], prototypes: Prototypes) -> tuple[list[str], np.ndarray]:
+def has_letters(texts: list[str]) -> np.ndarray:
+    """Has each text a letter?"""
+    return np.array([bool(_letters()[np.unique(_symbols(t))].any()) for t in texts], bool)
+
+
+def predict(
+    texts: list[str], prototypes: Prototypes, lettered: np.ndarray | None = None
+) -> tuple[list[str], np.ndarray]:
     """Language and cosine, not below 0, of each text; ``und`` and 0 without a letter."""
+    lettered = has_letters(texts) if lettered is None else lettered
     made = bundles(texts)
     lengths = np.sqrt((made**2).sum(axis=1))
     if not prototypes.languages:
@@ -169,20 +177,21 @@ def predict(texts: list[str], prototypes: Prototypes) -> tuple[list[str], np.nda
     unit = prototypes.vectors / np.where(norms > 0, norms, 1)[:, None]
     cosines = made @ unit.T / np.where(lengths > 0, lengths, 1)[:, None]
     best = cosines.argmax(axis=1)
-    lettered = np.array([bool(_letters()[np.unique(_symbols(t))].any()) for t in texts], bool)
     names = [prototypes.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
     score = np.clip(cosines[np.arange(len(texts)), best], 0, 1)
     return names, np.where(lettered, score, 0.0)
 
 
-def identify(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
+def identify(docs: DataFrame, prototypes: Prototypes, lettered: bool = False) -> DataFrame:
     """All columns of ``docs`` but lang_pred and score, and those two for each whole text.
 
     A null text, or one without a letter, gets ``und`` and 0, as does every text if no language was
-    learned; equal cosines go to the first language by name. Repeated rows stay.
+    learned; equal cosines go to the first language by name. Repeated rows stay. With ``lettered``, a
+    third column of that name says whether the text has a letter.
     """
-    fields = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    added += [StructField("lettered", BooleanType())] if lettered else []
+    fields = [f for f in docs.schema if f.name not in [a.name for a in added]]
     schema = StructType([*fields, *added])
     names, out = [f.name for f in fields], to_arrow_schema(schema)
 
@@ -191,8 +200,10 @@ def identify(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
                 texts = [t or "" for t in part.column(names.index("text")).to_pylist()]
-                langs, scores = predict(texts, prototypes)
+                letters = has_letters(texts)
+                langs, scores = predict(texts, prototypes, letters)
                 columns = [*part.columns, pa.array(langs, pa.string()), pa.array(scores)]
+                columns += [pa.array(letters)] if lettered else []
                 yield pa.record_batch(
                     [c.cast(f.type) for c, f in zip(columns, out)], schema=out
                 )

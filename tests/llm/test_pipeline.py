@@ -93,3 +93,17 @@ def test_run_on_an_empty_table(spark, tmp_path):
         rows = spark.read.parquet(f"{SAMPLE_FOLDER}/{table}.parquet").limit(0)
         rows.write.parquet(f"{tmp_path}/{table}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("lang", ["cast(null as string)", "'und'", "case when crc32(binary(string(doc_id))) % 4 = 2 then lang end"])
+def test_language_stage_keeps_all_lettered_texts(spark, lang):
+    docs = spark.read.parquet(f"{SAMPLE_FOLDER}/documents.parquet").limit(60).selectExpr(
+        "doc_id", "text", f"{lang} as lang", "source", "n_chars", "7 as lettered"
+    )
+    odd = docs.limit(3).selectExpr(
+        "-1L - doc_id as doc_id", "element_at(array('12 !!', '', null), int(doc_id % 3) + 1) as text",
+        "lang", "source", "n_chars", "lettered",
+    )
+    found = corpus_pipeline.identify_language(spark, docs.union(odd), SAMPLE_FOLDER)
+    assert found.columns == docs.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, docs.collect()))

@@ -274,6 +274,14 @@ def test_language_of_odd_texts(spark):
     assert hd_language.identify(docs.limit(0), nothing).count() == 0
 
 
+def test_letters_are_marked_without_any_language(spark):
+    docs = docs_of(spark, ["some words", None, "", "12 !?", "漢"], ["und", None, None, "und", None])
+    for given in (docs, docs.limit(0)):
+        found = hd_language.identify(docs, hd_language.learn(given), lettered=True).collect()
+        assert {r.doc_id: r.lettered for r in found} == {0: True, 1: False, 2: False, 3: False, 4: True}
+        assert {r.lang_pred for r in found} == {"und"}
+
+
 def test_bundles_add_up_n_grams():
     out = hd_language.bundles(["abc", "", "Ab c"])
     v = {c: hd_language._letter_vector(ord(c)).astype(int) for c in " abc"}
