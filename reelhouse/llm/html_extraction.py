@@ -12,7 +12,7 @@ import html
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +44,20 @@ NEVER_NAMES = set(
     " disqus reply replies share sharing social related newsletter subscribe footer masthead widget"
     " toolbar pagination contentinfo complementary".split()
 )
+#: Words of readers, which may well be most of a page.
+REPLIES = set("comment comments disqus reply replies".split())
+#: ``has-sidebar`` and ``no-comments`` tell of an element beside or inside this one.
+STATES = set("has have no not with without hide show is".split())
+
+
+def never_names(named: str) -> set[str]:
+    """Names of NEVER_NAMES that a lower-case class, id or role has whole or as its last word."""
+    found = set()
+    for name in named.split():
+        words = [w for w in WORDS.findall(name) if not w.isdigit()]
+        if words and words[-1] in NEVER_NAMES and words[0] not in STATES:
+            found.add(words[-1])
+    return found
 
 
 @dataclass(frozen=True)
@@ -64,7 +78,9 @@ class Run:
 def page_runs(page: str) -> list[Run]:
     """The page as runs in order. Unclosed and stray tags are put up with."""
     runs: list[Run] = []
-    open_: list[tuple[str, str, bool]] = []  # container, its key, whether it holds no main text
+    # Container, its key, whether its tag or one around it rules main text out, its names that do, its first run.
+    open_: list[tuple[str, str, bool, set[str], int]] = []
+    spans: list[tuple[str, int, int, set[str]]] = []  # tag, first run, end and names of closed ones
     block, last = "", 0
 
     def text(chunk: str) -> None:
@@ -79,7 +95,13 @@ def page_runs(page: str) -> list[Run]:
 
     place = lambda: open_[-1][1] if open_ else ""
     never = lambda: bool(open_) and open_[-1][2]
-    marked = lambda: any(tag in ("article", "main") for tag, _, _ in open_)
+    marked = lambda: any(e[0] in ("article", "main") for e in open_)
+
+    def close(at: int, end: int) -> None:
+        for tag, _, bad, names, first in open_[at:]:
+            if not bad and (names or tag in ("article", "main")):
+                spans.append((tag, first, end, names))
+        del open_[at:]
 
     for found in TOKEN.finditer(page):
         text(page[last : found.start()])
@@ -95,23 +117,48 @@ def page_runs(page: str) -> list[Run]:
             names = WORDS.findall(named)
             key = ".".join([tag, *names[:2]])
             if tag in CONTAINERS or tag in NEVER:
-                bad = tag in NEVER or bool(NEVER_NAMES.intersection(names)) and tag != "body"
-                bad = bad or tag == "header" and not marked()
-                if tag in VOID or found["rest"].rstrip().endswith("/"):
-                    bad = False
-                else:
-                    open_.append((tag, key, never() or bad))
+                bad = tag in NEVER or tag == "header" and not marked()
+                if tag not in VOID and not found["rest"].rstrip().endswith("/"):
+                    out = never_names(named) if tag != "body" else set()
+                    open_.append((tag, key, never() or bad, out, len(runs)))
         elif tag in CONTAINERS or tag in NEVER:
             at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
             if at is not None:
-                _, key, shut = open_[at]
-                del open_[at:]
+                _, key, shut, *_ = open_[at]
+                close(at + 1, len(runs))
+                close(at, len(runs) + 1)
         if tag in BLOCKS:
             block = "" if found["end"] else tag
         runs.append(Run([], key, block, never() or shut, tag in BLOCKS or tag == "br", marked()))
         if tag == "br":
             runs[-1] = Run([" "], place(), block, never(), False, marked())
     text(page[last:])
+    close(0, len(runs))
+    return _without_named(runs, spans) if any(names for *_, names in spans) else runs
+
+
+def _without_named(runs: list[Run], spans: list[tuple[str, int, int, set[str]]]) -> list[Run]:
+    """``runs`` with ``never`` set in the spans (tag, first run, end, names) that their names rule out.
+
+    Names do not rule out what holds the page's longest article or main element. On a page with
+    neither they do not rule out what holds most of its words either, but for those of readers.
+    """
+    words = [0]
+    for run in runs:
+        words.append(words[-1] + (0 if run.never else sum(1 for w in run.words if w != " ")))
+    held = lambda span: words[span[2]] - words[span[1]]
+    mains = [s for s in spans if s[0] in ("article", "main") and not REPLIES & s[3] and held(s)]
+    # The first and outermost of equals.
+    longest = max(mains, key=lambda s: (held(s), -s[1]), default=None)
+    runs = list(runs)
+    for span in spans:
+        _, first, end, names = span
+        if longest:
+            kept = first <= longest[1] and longest[2] <= end
+        else:
+            kept = 2 * held(span) > words[-1] and not REPLIES & names
+        if names and not kept:
+            runs[first:end] = [r if r.never else replace(r, never=True) for r in runs[first:end]]
     return runs
 
 

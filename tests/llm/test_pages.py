@@ -102,3 +102,32 @@ def test_best_region():
     assert html_extraction.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html_extraction.best_region([-1, -2]) == (0, 0)
     assert html_extraction.best_region([]) == (0, 0)
+
+
+STORY = "<h1>A title of words</h1>" + "<p>Some words of a long story here.</p>" * 20
+NAV = '<nav><a href="/">Home page</a></nav>'
+SIDE = '<div class="left-sidebar"><p>Popular: more and more</p></div>'
+READERS = '<div id="comments" class="comments-area">%s</div>' % ("<p>I like this story a lot.</p>" * 60)
+
+
+@pytest.mark.parametrize("named", [
+    "class='site-content has-sidebar'", "class='content no-sidebar'", "class='page-content social-share-on'",
+    "class='container related-wrapper'", "class='content right-sidebar'", "class=widget", "id='main' class='social'",
+])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_names_of_wrappers_leave_the_text_in(weights, named, tag):
+    expected = "A title of words\n" + "\n".join(["Some words of a long story here."] * 20)
+    page = f"<body>{NAV}<div {named}><{tag}>{STORY}</{tag}>{SIDE}</div><footer>us</footer></body>"
+    for scores in (weights, html_extraction.Weights()):
+        assert html_extraction.extract_text(page, scores) == expected
+
+
+def test_names_still_rule_out_what_is_beside_the_text(weights):
+    expected = "A title of words\n" + "\n".join(["Some words of a long story here."] * 20)
+    teaser = "<div class='related'><article><p>Read this other story</p></article></div>"
+    replies = READERS.replace("<p>", "<article class='comment'><p>").replace("</p>", "</p></article>")
+    for beside in (SIDE, READERS, teaser, replies):
+        page = f"<body>{NAV}<div class='has-comments'><article>{STORY}</article>{beside}</div></body>"
+        assert html_extraction.extract_text(page, weights) == expected
+    bare = f"<body>{NAV}<div class='content'>{STORY}</div>{READERS}{SIDE}</body>"
+    assert html_extraction.extract_text(bare, weights) == expected
