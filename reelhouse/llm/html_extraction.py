@@ -28,6 +28,7 @@ TOKEN = re.compile(
 )
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORDS = re.compile(r"[^\W_]+")
+LABEL = re.compile(r"<article[\s>]", re.IGNORECASE)
 
 # Elements by role, and names that mark an element as no main text.
 CONTAINERS = set("article main section div aside nav header footer form ul ol table body".split())
@@ -35,6 +36,7 @@ BLOCKS = CONTAINERS | set(
     "p h1 h2 h3 h4 h5 h6 li dl dt dd blockquote pre figure figcaption address hr"
     " thead tbody tfoot tr td th caption fieldset details summary html head".split()
 )
+ARTICLES = ("article", "main")
 NEVER = set("nav footer aside form head button select dialog menu".split())
 RUNNING = tuple("p h1 h2 h3 h4 h5 h6 blockquote b i em strong span br sup sub code q".split())
 VOID = set("br hr img input meta link area base col embed source track wbr".split())
@@ -64,7 +66,7 @@ def never_names(named: str) -> set[str]:
 class Run:
     """Words with their place, or a tag.
 
-    ``never``: in an element that holds no main text; ``inside``: in an article or main element.
+    ``never``: in an element that holds no main text; ``inside``: in an element that labels it.
     """
 
     words: list[str]
@@ -75,8 +77,8 @@ class Run:
     inside: bool
 
 
-def page_runs(page: str) -> list[Run]:
-    """The page as runs in order. Unclosed and stray tags are put up with."""
+def page_runs(page: str, labels: tuple[str, ...] = ARTICLES) -> list[Run]:
+    """The page as runs in order, ``inside`` those elements. Unclosed and stray tags are put up with."""
     runs: list[Run] = []
     # Container, its key, whether its tag or one around it rules main text out, its names that do, its first run.
     open_: list[tuple[str, str, bool, set[str], int]] = []
@@ -95,11 +97,11 @@ def page_runs(page: str) -> list[Run]:
 
     place = lambda: open_[-1][1] if open_ else ""
     never = lambda: bool(open_) and open_[-1][2]
-    marked = lambda: any(e[0] in ("article", "main") for e in open_)
+    marked = lambda: any(e[0] in labels for e in open_)
 
     def close(at: int, end: int) -> None:
         for tag, _, bad, names, first in open_[at:]:
-            if not bad and (names or tag in ("article", "main")):
+            if not bad and (names or tag in ARTICLES):
                 spans.append((tag, first, end, names))
         del open_[at:]
 
@@ -117,7 +119,7 @@ def page_runs(page: str) -> list[Run]:
             names = WORDS.findall(named)
             key = ".".join([tag, *names[:2]])
             if tag in CONTAINERS or tag in NEVER:
-                bad = tag in NEVER or tag == "header" and not marked()
+                bad = tag in NEVER or tag == "header" and not any(e[0] in ARTICLES for e in open_)
                 if tag not in VOID and not found["rest"].rstrip().endswith("/"):
                     out = never_names(named) if tag != "body" else set()
                     open_.append((tag, key, never() or bad, out, len(runs)))
@@ -147,7 +149,7 @@ def _without_named(runs: list[Run], spans: list[tuple[str, int, int, set[str]]])
     for run in runs:
         words.append(words[-1] + (0 if run.never else sum(1 for w in run.words if w != " ")))
     held = lambda span: words[span[2]] - words[span[1]]
-    mains = [s for s in spans if s[0] in ("article", "main") and not REPLIES & s[3] and held(s)]
+    mains = [s for s in spans if s[0] in ARTICLES and not REPLIES & s[3] and held(s)]
     # The first and outermost of equals.
     longest = max(mains, key=lambda s: (held(s), -s[1]), default=None)
     runs = list(runs)
@@ -215,24 +217,27 @@ def extract_text(page: str | None, weights: Weights) -> str:
 
 
 def learn_weights(pages: DataFrame, max_pages: int = 2_000) -> Weights:
-    """Weights from pages that label their content themselves, by one article or main element.
+    """Weights from pages that label their content themselves: by their one article element, which may
+    be in a main element, or by one main element.
 
-    At most about ``max_pages`` pages are used, drawn by a hash of the URL and page id at a rate set
-    by the count of all; the tables that reach the driver are bounded by that sample. Null pages and
-    pages without the label teach nothing; without any, fixed scores are used.
+    At most about ``max_pages`` of these pages are used, drawn by a hash of the URL and page id at a
+    rate set by the count of all of them; the tables that reach the driver are bounded by that sample.
+    Null pages and pages without the label teach nothing; without any, fixed scores are used.
     """
-    rows = pages.where("html is not null").select(
-        "html", F.xxhash64("url", "page_id").alias("draw")
+    articles, mains = (
+        F.regexp_count("html", F.lit(rf"(?i)<{tag}[\s>]")) for tag in ("article", "main")
     )
-    total = rows.count()
-    sample = rows.where(F.pmod("draw", F.lit(max(total, 1))) < max_pages).select("html")
-    labelled = sample.where(F.regexp_count("html", F.lit(r"(?i)<(article|main)[\s>]")) == 1)
+    labelled = pages.where((articles == 1) & (mains <= 1) | (articles == 0) & (mains == 1))
+    total = labelled.count()
+    draw = F.pmod(F.xxhash64("url", "page_id"), F.lit(max(total, 1)))
+    sample = labelled.where(draw < max_pages).select("html")
 
     def count(batches):
         found: Counter = Counter()
         for batch in batches:
             for page in batch.column(0).to_pylist():
-                for run in page_runs(page):
+                one = "article" if LABEL.search(page) else "main"
+                for run in page_runs(page, (one,)):
                     n = sum(1 for w in run.words if w != " ")
                     if n:
                         found["place", run.place, run.inside and not run.never] += n
@@ -246,7 +251,7 @@ def learn_weights(pages: DataFrame, max_pages: int = 2_000) -> Weights:
             names=["kind", "name", "inside", "n"],
         )
 
-    counted = labelled.mapInArrow(count, "kind string, name string, inside boolean, n long")
+    counted = sample.mapInArrow(count, "kind string, name string, inside boolean, n long")
     totals = counted.groupBy("kind", "name").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("within"),
         F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("without"),

@@ -131,3 +131,15 @@ def test_names_still_rule_out_what_is_beside_the_text(weights):
         assert html_extraction.extract_text(page, weights) == expected
     bare = f"<body>{NAV}<div class='content'>{STORY}</div>{READERS}{SIDE}</body>"
     assert html_extraction.extract_text(bare, weights) == expected
+
+
+def test_weights_do_not_depend_on_unlabelled_pages(spark):
+    """Labelled pages that are one in a hundred teach the same as by themselves; nested ones teach too."""
+    page = f"<body>{NAV}<main>{SIDE}<article>{STORY}</article></main></body>"
+    rows = [(i, f"http://a.b/{i}", page if i % 100 == 0 else f"<div>{i}</div>") for i in range(2000)]
+    every = spark.createDataFrame(rows, "page_id long, url string, html string")
+    own = html_extraction.learn_weights(every.where("page_id % 100 = 0"), max_pages=20)
+    assert own != html_extraction.Weights()
+    assert html_extraction.learn_weights(every, max_pages=20) == own
+    # The label is the article, not the main element around it.
+    assert own.tag["main"] < own.tag["article"]
