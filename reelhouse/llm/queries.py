@@ -14,11 +14,14 @@ from reelhouse.llm import (
     covering_simhash,
     hash_tree_shards,
     hd_language,
+    heap_counts,
     html_extraction,
     int8_neighbours,
+    pivot_clusters,
     segment_search,
     url_rules,
     vector_packing,
+    word_runs,
 )
 
 SHARDS = 24
@@ -212,3 +215,86 @@ def op10_hd_language(spark: SparkSession, folder: str) -> DataFrame:
     return hd_language.identify(docs, prototypes).select(
         "doc_id", hd_language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+@_query
+def op11_pivot_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector of 64 components in one of 8 clusters, by bounds from a pivot table."""
+    return pivot_clusters.cluster_vectors(read(spark, folder, "embeddings"), clusters=8, rounds=10)
+
+
+def _cluster_sql(clusters: int = 8, rounds: int = 10, components: int = 64) -> str:
+    """The rounds one after the other; ``moved<n>`` holds the centroids after round n."""
+    steps = [
+        f"""whole as materialized (
+        select row_number() over () as row, vec_id,
+               list_transform(embedding, lambda x: cast(floor(1024 * x::double) as bigint)) as v
+        from embeddings
+        where len(embedding) = {components}
+          and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    )""",
+        f"""moved0 as materialized (
+        select cast(row_number() over (order by sha256('3:' || vec_id), v) - 1 as integer) as cluster, v
+        from whole qualify cluster < {clusters}
+    )""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""near{n} as materialized (
+        select row, arg_min(cluster, (d, cluster)) as cluster, min(d) as distance
+        from (
+            select row, c.cluster, cast(list_sum(list_transform(list_zip(w.v, c.v),
+                   lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as bigint) as d
+            from whole w cross join moved{n} c
+        ) group by row
+    )""")
+        if n < rounds:
+            steps.append(f"""moved{n + 1} as materialized (
+        select cluster, coalesce(m.v, o.v) as v from moved{n} o left join (
+            select cluster, list(floor_of order by place) as v from (
+                select cluster, place, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as floor_of
+                from (
+                    select cluster, unnest(w.v) as x, unnest(range(1, {components + 1})) as place
+                    from near{n} join whole w using (row)
+                ) group by cluster, place
+            ) group by cluster
+        ) m using (cluster)
+    )""")
+    return f"""
+    with {", ".join(steps)}
+    select vec_id, cluster, distance,
+           cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+           cast(sum(distance) over () as bigint) as inertia,
+           sha256(array_to_string(c.v, ',')) as centroid_sha256
+    from near{rounds} join whole using (row) join moved{rounds} c using (cluster)
+"""
+
+
+_SQL["op11_pivot_clusters"] = _cluster_sql()
+
+
+@_query
+def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's runs of repeated words, the longest of them, and the text without repeats."""
+    docs = word_runs.with_repeats(read(spark, folder, "documents"))
+    digest = lambda name: F.sha2(F.col(name), 256)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(""))
+    found = word_runs.find_document_runs(docs, shortest=12)
+    found = found.withColumns({"lines": lines, "best": word_runs.longest("runs")})
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        digest("lines").alias("runs_sha256"),
+        digest("collapsed").alias("collapsed_sha256"),
+    )
+
+
+@_query
+def op13_heap_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's number of byte-level tokens, by merging pairs from a heap."""
+    definition = public_tokenizers.path("byte_bpe_50k.json")
+    return heap_counts.count_tokens(read(spark, folder, "documents"), definition, limit=512)

@@ -19,7 +19,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def _groups(docs):
