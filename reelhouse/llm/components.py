@@ -8,18 +8,27 @@ from pyspark.sql import functions as F
 from reelhouse.session import ensure_checkpoint_dir
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """``side`` of a join, with a merge of shuffled rows asked for.
+
+    Many small joins follow each other here. As broadcasts, each would build its table in the driver,
+    whose memory they share.
+    """
+    return side.hint("merge")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
-    linked = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
+    linked = both.where("b > a").join(shuffled(least), "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
     return linked.distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("root"))
-    smaller = edges.join(least, "a").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
+    smaller = edges.join(shuffled(least), "a").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
     return smaller.union(least.select("a", F.col("root").alias("b"))).distinct()
 
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.components import components
+from reelhouse.llm.components import components, shuffled
 from reelhouse.session import ensure_checkpoint_dir
 
 BITS = 64
@@ -251,7 +251,7 @@ def near_duplicates(
     marked = fingerprints(docs, words, seed).checkpoint()
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(near_links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+    rooted = distinct.join(shuffled(roots), distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

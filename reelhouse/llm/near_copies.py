@@ -8,13 +8,15 @@ groups and have any band in common. Every candidate pair is checked on the whole
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.components import components
+from reelhouse.llm.components import components, shuffled
 from reelhouse.llm.covering_simhash import near_links, shingle_hashes, simhash
 from reelhouse.session import ensure_checkpoint_dir
 
@@ -23,13 +25,14 @@ ROWS_PER_BAND = 4
 #: Rows of a bucket that all its rows are paired with first.
 HUBS = 4
 #: Rows of a bucket that are compared with as many others under one key.
-TILE_ROWS = 512
+TILE_ROWS = 2_048
 #: Bands that a first pair has in common at least. At similarity 0.8 a pair shares ten on average and
 #: fewer than three once in 3,235 pairs, which the second pass finds.
 SHARED_BANDS = 3
 #: Bits of a text's odd sketch, in longs.
 SKETCH_LONGS = 16
 BATCH_ROWS = 1_024
+WHITE_SPACE = r"[\x20\x09-\x0D]+"
 HASH_CHUNK = 4_096
 
 _draw = np.random.Generator(np.random.Philox(key=7))
@@ -59,8 +62,15 @@ def odd_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of the words of a text, A-Z lower-cased; a null text has none."""
+    lower = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
+    spaced = F.btrim(F.regexp_replace(lower, WHITE_SPACE, " "), F.lit(" "))
+    return F.unhex(F.md5(spaced.cast("binary")))
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, copy (128 bits of the lower-cased words), fp, bands of every row with an id.
+    """doc_id, copy (``text_key``), fp, bands of every row with an id.
 
     ``kinds`` is the number of different shingles, ``odd`` their odd sketch.
     """
@@ -72,30 +82,43 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                copies, fps, bands, kinds, odd = [], [], [], [], []
-                for text in part.column(1).to_pylist():
+                fps, bands, kinds, odd = [], [], [], []
+                for text in part.column(2).to_pylist():
                     hashes = shingle_hashes(text, words)
-                    raw = (text or "").encode("utf-8", "surrogatepass").lower()
-                    copies.append(xxhash.xxh3_128_digest(b" ".join(raw.split())))
                     fps.append(simhash(hashes))
                     different = np.unique(hashes)
                     bands.append(band_keys(different))
                     kinds.append(len(different))
                     odd.append(odd_sketch(different))
-                made = [pa.array(copies), pa.array(np.array(fps, np.uint64).view(np.int64))]
+                made = [part.column(1).cast(pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64))]
                 made += [pa.array(bands, longs), pa.array(kinds, pa.int64()), pa.array(odd, longs)]
                 yield pa.record_batch([part.column(0), *made], schema=out)
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     columns = "doc_id long, copy binary, fp long, bands array<long>, kinds long, odd array<long>"
-    return rows.mapInArrow(run, columns)
+    return _keyed(docs).mapInArrow(run, columns)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, copy, text) of every row with an id."""
+    rows = docs.where("doc_id is not null")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("copy"), "text")
+
+
+def _distinct_texts(marked: DataFrame) -> DataFrame:
+    """One row for each text, with its least doc_id and a number of its own, ``rep``.
+
+    The number is drawn while the rows are stored, so no later step can see another one.
+    """
+    of_text = [F.first(c).alias(c) for c in ("fp", "bands", "kinds", "odd")]
+    texts = marked.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), *of_text)
+    return texts.withColumn("rep", F.monotonically_increasing_id()).checkpoint()
 
 
 def _shared_buckets(texts: DataFrame) -> DataFrame:
     """(band, key, rep, met) of each bucket with ``met`` texts, at least two."""
     buckets = texts.select("rep", F.posexplode("bands").alias("band", "key"))
     sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("met")).where("met > 1")
-    return buckets.join(sizes, ["band", "key"])
+    return buckets.join(shuffled(sizes), ["band", "key"])
 
 
 def _hub_pairs(shared: DataFrame) -> DataFrame:
@@ -106,9 +129,9 @@ def _hub_pairs(shared: DataFrame) -> DataFrame:
     """
     known = shared.groupBy("rep").agg(F.sum("met").alias("met_in_all"))
     order = "row_number() over (partition by band, key order by met_in_all desc, rep)"
-    hubs = shared.join(known, "rep").withColumn("place", F.expr(order)).where(F.col("place") <= HUBS)
+    hubs = shared.join(shuffled(known), "rep").withColumn("place", F.expr(order)).where(F.col("place") <= HUBS)
     hubs = hubs.select("band", "key", F.col("rep").alias("hub"))
-    met = shared.join(hubs, ["band", "key"]).where("rep <> hub")
+    met = shared.join(shuffled(hubs), ["band", "key"]).where("rep <> hub")
     pairs = met.select("band", F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
     counted = pairs.groupBy("a", "b").agg(F.countDistinct("band").alias("bands"))
     return counted.where(F.col("bands") >= SHARED_BANDS).select("a", "b")
@@ -121,11 +144,10 @@ def _open_pairs(
 
     Rows of a bucket that are in one group already need no more links. The rest is compared in
     tiles: all rows of the bucket against those outside its largest group. Both are dealt by hash to
-    parts of about TILE_ROWS, so a large bucket is spread over many keys. A pair whose sketches
-    rule the similarity out is dropped in the join; any other comes out once, of the first bucket
-    that it shares.
+    parts of about TILE_ROWS, so a large bucket is spread over many keys. Only rows of such buckets
+    get their sketches. A pair whose sizes or sketches rule the similarity out is dropped in the join.
     """
-    rooted = shared.join(roots, shared["rep"] == roots["node"], "left")
+    rooted = shared.join(shuffled(roots), shared["rep"] == roots["node"], "left")
     rooted = rooted.select("band", "key", "rep", F.coalesce("root", "rep").alias("root"))
     groups = rooted.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
     largest = F.max(F.struct("n", "root"))
@@ -137,48 +159,52 @@ def _open_pairs(
         F.ceil(F.col("met") / TILE_ROWS).alias("left_tiles"),
         F.ceil((F.col("met") - F.col("main.n")) / TILE_ROWS).alias("right_tiles"),
     )
-    rows = rooted.join(buckets, ["band", "key"]).join(texts.drop("fp"), "rep")
+    open_rows = rooted.join(shuffled(buckets), ["band", "key"]).checkpoint()
+    rows = open_rows.join(shuffled(texts.select("rep", "kinds", "odd")), "rep")
 
     def side(name: str, own: str, other: str) -> DataFrame:
         """Every row in its own tile, once for each tile of the other side."""
         dealt = F.pmod(F.xxhash64("rep"), F.col(f"{own}_tiles")).alias(f"{own}_tile")
         copies = F.explode(F.sequence(F.lit(0), F.col(f"{other}_tiles") - 1)).alias(f"{other}_tile")
-        columns = [F.col(c).alias(f"{name}_{c}") for c in ("rep", "root", "bands", "kinds", "odd")]
+        columns = [F.col(c).alias(f"{name}_{c}") for c in ("rep", "root", "kinds", "odd")]
         return rows.select("band", "key", "main", dealt, copies, *columns)
 
     right = side("b", "right", "left").where("b_root <> main").drop("main")
-    met = side("a", "left", "right").join(right, ["band", "key", "left_tile", "right_tile"])
+    met = side("a", "left", "right").join(shuffled(right), ["band", "key", "left_tile", "right_tile"])
     # Sets of a shingles in all, d of them in one set only, have a similarity of (a - d) / (a + d).
     differing = [
         F.bit_count(F.col("a_odd")[i].bitwiseXOR(F.col("b_odd")[i])) for i in range(SKETCH_LONGS)
     ]
     most_differing = (F.col("a_kinds") + F.col("b_kinds")) * (1 - similarity) / (1 + similarity)
-    equal = F.zip_with("a_bands", "b_bands", lambda x, y: x == y)
     found = met.where(
         (F.col("a_root") != F.col("b_root"))
         & ((F.col("a_root") == F.col("main")) | (F.col("a_root") < F.col("b_root")))
+        & (F.least("a_kinds", "b_kinds") >= F.greatest("a_kinds", "b_kinds") * similarity - 1e-6)
         & (sum(differing) <= most_differing + 1e-6)
-        & (F.array_position(equal, True) == F.col("band") + 1)
     )
-    return found.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
+    pairs = found.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
+    return pairs.distinct()
 
 
 def _simhash_pairs(texts: DataFrame, radius: int) -> DataFrame:
     """Candidate pairs of texts whose fingerprints are linked or equal."""
     first = texts.groupBy("fp").agg(F.min("rep").alias("first"))
-    equal = texts.join(first, "fp").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    equal = texts.join(shuffled(first), "fp").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     links = near_links(first.select("fp"), radius)
     ends = [first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_rep")) for c in "ab"]
-    linked = links.join(ends[0], "a").join(ends[1], "b")
+    linked = links.join(shuffled(ends[0]), "a").join(shuffled(ends[1]), "b")
     far = linked.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
     return equal.where("a <> b").union(far)
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+def _similar(
+    pairs: DataFrame, docs: DataFrame, texts: DataFrame, words: int, similarity: float
+) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of at least ``similarity``."""
-    needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "rep")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    texts = texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"])
+    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "rep")
+    needed = texts.select("rep", "doc_id", "copy").join(shuffled(ends), "rep", "left_semi")
+    # A row that is there several times gives its set once.
+    rows = _keyed(docs).join(needed, ["doc_id", "copy"]).select("rep", "text")
     kinds = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def shingle(batches):
@@ -186,9 +212,9 @@ def _similar(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -
             sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(sets, kinds[1].type)], schema=kinds)
 
-    sets = texts.mapInArrow(shingle, "rep long, shingles array<long>").checkpoint()
+    sets = rows.mapInArrow(shingle, "rep long, shingles array<long>").dropDuplicates(["rep"]).checkpoint()
     sides = [sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab"]
-    sized = pairs.join(sides[0], "a").join(sides[1], "b")
+    sized = pairs.join(shuffled(sides[0]), "a").join(shuffled(sides[1]), "b")
     # The sizes alone rule some pairs out.
     least, most = (f(F.size("a_set"), F.size("b_set")) for f in (F.least, F.greatest))
     possible = sized.where(least >= F.lit(similarity) * most)
@@ -205,6 +231,30 @@ def _similar(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -
     return possible.mapInArrow(check, "a long, b long")
 
 
+def _losers(links: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rep`` of every linked text but the one of each group with the least doc_id, then key."""
+    found = components(links)
+    roots = found.select(F.col("root").alias("node"), "root").distinct()
+    members = found.union(roots).withColumnRenamed("node", "rep")
+    named = members.join(shuffled(texts.select("rep", "doc_id", "copy")), "rep")
+    by_id = F.struct("doc_id", "copy", "rep")
+    first = named.groupBy("root").agg(F.min(by_id).alias("first")).select(F.col("first.rep").alias("rep"))
+    return members.select("rep").join(shuffled(first), "rep", "left_anti")
+
+
+def _rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, copy) of ``kept``, where ids repeat.
+
+    Of rows with the same id and words the first by the hash of all columns is taken.
+    """
+    wanted = kept.select(F.col("doc_id").alias("near copies kept id"), F.col("copy").alias("near copies kept key"))
+    keyed = docs.withColumns({"near copies key": text_key(F.col("text")), "near copies order": F.xxhash64(F.to_json(F.struct("*")))})
+    same = (F.col("doc_id") == F.col("near copies kept id")) & (F.col("near copies key") == F.col("near copies kept key"))
+    place = F.expr("row_number() over (partition by doc_id, `near copies key` order by `near copies order`)")
+    rows = keyed.join(wanted, same, "left_semi").withColumn("near copies place", place).where("`near copies place` = 1")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def drop_near_copies(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 3
 ) -> DataFrame:
@@ -213,23 +263,24 @@ def drop_near_copies(
     Texts link if they are the same but for A-Z and white space, or if their sets of ``words``-word
     shingles have a Jaccard similarity of at least ``similarity``; groups are what links connect.
     Null, empty and wordless texts are copies of each other. Rows without doc_id take no part and
-    stay. Of rows that repeat a doc_id one stays. Other columns are neither read nor changed.
+    stay. An id that repeats with another text links nothing: its texts are grouped each by itself,
+    and each group keeps a row. Of a group's texts with one smallest doc_id the one with the smallest
+    key stays, of repeated rows one. Other columns are neither read nor changed.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     marked = sketches(docs, words).checkpoint()
-    of_text = [F.first(c).alias(c) for c in ("fp", "bands", "kinds", "odd")]
-    texts = marked.groupBy("copy").agg(F.min("doc_id").alias("rep"), *of_text)
-    # A doc_id that repeats may stand for several texts; it links them.
-    texts = texts.groupBy("rep").agg(*of_text).checkpoint()
+    texts = _distinct_texts(marked)
     shared = _shared_buckets(texts).checkpoint()
     pairs = _hub_pairs(shared).union(_simhash_pairs(texts, radius)).distinct().checkpoint()
-    links = _similar(pairs, docs, words, similarity).checkpoint()
+    links = _similar(pairs, docs, texts, words, similarity).checkpoint()
     left_open = _open_pairs(shared, texts, components(links), similarity)
-    left_open = left_open.join(pairs, ["a", "b"], "left_anti").checkpoint()
-    links = links.union(_similar(left_open, docs, words, similarity))
-    dropped = components(links).select(F.col("node").alias("rep"))
-    kept = texts.select("rep").join(dropped, "rep", "left_anti").withColumnRenamed("rep", "_kept_id")
+    left_open = left_open.join(shuffled(pairs), ["a", "b"], "left_anti").checkpoint()
+    links = links.union(_similar(left_open, docs, texts, words, similarity)).checkpoint()
+    kept = texts.select("rep", "doc_id", "copy").join(shuffled(_losers(links, texts)), "rep", "left_anti")
     repeats = marked.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
-    rows = rows.dropDuplicates(["doc_id"]) if repeats else rows
+    if repeats:
+        rows = _rows_of(docs, kept)
+    else:
+        kept = kept.select(F.col("doc_id").alias("_kept_id"))
+        rows = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
     return rows.unionByName(docs.where("doc_id is null"))
