@@ -30,41 +30,68 @@ def segment_features(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack([parts.mean(axis=2), parts.std(axis=2)]) * np.sqrt(width)
 
 
+LONGEST = (1 << 63) - 1
+
+
+def whole_type(q: np.ndarray, c: np.ndarray) -> type:
+    """The narrowest type in which all products of whole numbers are exact."""
+    largest = [int(np.abs(side).max(initial=0)) for side in (q, c)]
+    most = q.shape[1] * largest[0] * largest[1]
+    return float if most < 1 << 53 else np.int64 if most <= LONGEST else object
+
+
+def _as_whole(vectors: np.ndarray, kind: type) -> np.ndarray:
+    if kind is object:
+        return np.array([[int(x) for x in row] for row in vectors], object)
+    return vectors.astype(kind)
+
+
 def _products(q: np.ndarray, c: np.ndarray, qi: np.ndarray, ci: np.ndarray) -> np.ndarray:
-    parts = [
-        np.einsum("ij,ij->i", q[qi[at : at + PAIR_CHUNK]], c[ci[at : at + PAIR_CHUNK]])
-        for at in range(0, len(qi), PAIR_CHUNK)
-    ]
-    return np.concatenate(parts) if parts else np.empty(0)
+    """Exact products as longs; those beyond are the largest or least long."""
+    parts = []
+    for at in range(0, len(qi), PAIR_CHUNK):
+        pair = q[qi[at : at + PAIR_CHUNK]], c[ci[at : at + PAIR_CHUNK]]
+        if q.dtype == object:
+            exact = (pair[0] * pair[1]).sum(axis=1)
+            parts.append(np.array([min(max(int(x), -LONGEST), LONGEST) for x in exact], np.int64))
+        else:
+            parts.append(np.einsum("ij,ij->i", *pair).astype(np.int64))
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
 def search_tile(query_ids, q, ids, c, k, levels=LEVELS):
     """The best ``k`` pairs of each query with the exact products of whole-number vectors."""
     query_features = [segment_features(q, s) for s in levels]
     features = [segment_features(c, s) for s in levels]
+    kind = whole_type(q, c)
+    whole_q, whole_c = _as_whole(q, kind), _as_whole(c, kind)
+    # Rounding of a bound is a share of the product of both lengths.
+    lengths = [np.sqrt((side**2).sum(axis=1)) for side in (q, c)]
     found = []
     for at in range(0, len(q), QUERY_CHUNK):
         chunk = slice(at, min(at + QUERY_CHUNK, len(q)))
         rows = np.arange(chunk.start, chunk.stop)
         own = query_ids[chunk, None] == ids[None, :]
         bound = query_features[0][chunk] @ features[0].T
-        bound[own] = -1e300
+        slack = 1e-12 * lengths[0][chunk, None] * lengths[1][None, :]
+        bound[own] = -np.inf
         # The k candidates with the highest coarse bounds give a first threshold.
         n = min(k, len(ids))
         seeds = np.argpartition(-bound, n - 1, axis=1)[:, :n]
-        seeded = _products(q, c, np.repeat(rows, n), seeds.ravel()).reshape(-1, n)
+        seeded = _products(whole_q, whole_c, np.repeat(rows, n), seeds.ravel()).reshape(-1, n)
+        seeded = seeded.astype(float)
         seeded[np.take_along_axis(own, seeds, axis=1)] = -np.inf
         least = seeded.min(axis=1) if n == k else np.full(len(rows), -np.inf)
-        # Products are whole numbers: half a unit, and a share of large bounds, cover rounding.
-        floor = (least - 0.5 - 1e-9 * np.abs(np.where(np.isfinite(least), least, 0)))[:, None]
-        alive = (bound + 1e-9 * np.abs(bound) >= floor) & ~own
+        # Products are whole numbers: half a unit covers small ones.
+        floor = (least - 0.5 - 1e-12 * np.abs(np.where(np.isfinite(least), least, 0)))[:, None]
+        alive = (bound + slack >= floor) & ~own
         for query_level, level in zip(query_features[1:], features[1:]):
             columns = np.flatnonzero(alive.any(axis=0))
             finer = query_level[chunk] @ level[columns].T
-            alive[:, columns] &= finer + 1e-9 * np.abs(finer) >= floor
+            alive[:, columns] &= finer + slack[:, columns] >= floor
         qi, ci = np.nonzero(alive)
         qi += at
-        score = np.rint(_products(q, c, qi, ci))
+        score = _products(whole_q, whole_c, qi, ci)
         keep = best_per_query(qi, ci, score, ids, k)
         found.append((qi[keep], ci[keep], score[keep]))
     return tuple(np.concatenate(parts) for parts in zip(*found))
@@ -77,8 +104,8 @@ def exact_top_k(
 
     ``rows`` has vec_id and embedding; a component x counts as floor(scale * x), x as double.
     Unusable rows and repeated ids are settled by ``finite_vectors``. Vectors of unequal length
-    are compared on the components that both have. Products are exact up to 2**53. No usable
-    vector, or none but the query's own: no rows.
+    are compared on the components that both have. Products are exact; one that is no long counts
+    as the largest or least one. No usable vector, or none but the query's own: no rows.
     """
     whole = finite_vectors(rows).withColumn(
         "vec", F.transform("vec", lambda x: F.floor(x.cast("double") * scale).cast("double"))

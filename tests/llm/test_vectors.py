@@ -61,6 +61,23 @@ def test_exact_top_k_equals_all_pairs(spark, blocks):
     assert sorted(rows_of(found)) == all_pairs(vectors, 20, 10, 1024)
 
 
+@pytest.mark.parametrize("size", [1e4, 1e5, 1e6, 1e9, 1e18])
+def test_products_beyond_53_bits_are_exact(spark, size):
+    """Components whose products need Python's numbers; beyond a long, the ends of long count."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, [float(np.float32(x)) for x in rng.normal(0, size, 16)]) for i in range(60)]
+    found = segment_search.exact_top_k(table(spark, vectors), F.col("vec_id") % 20 == 0, 10)
+    whole = {i: [min(math.floor(1024 * x), (1 << 63)) for x in v] for i, v in vectors}
+    whole = {i: [max(x, -(1 << 63)) for x in v] for i, v in whole.items()}
+    most = (1 << 63) - 1
+    expected = []
+    for q in range(0, 60, 20):
+        product = lambda c: sum(a * b for a, b in zip(whole[q], whole[c]))  # noqa: B023, E731
+        scored = sorted((-min(max(product(c), -most), most), c) for c in whole if c != q)
+        expected += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scored[:10])]
+    assert sorted(rows_of(found)) == expected
+
+
 @pytest.mark.parametrize("blocks", [{}, {"block_rows": 40, "block_queries": 7}])
 def test_neighbours_equal_all_pairs(spark, blocks):
     vectors = sample(2)
