@@ -213,10 +213,12 @@ def pack(
 ) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, length, any others).
 
-    Pieces are dealt by hash to groups of about ``group_documents`` of the ``documents`` documents,
-    and each group is packed by itself, at the cost of at most a few part-filled sequences a group.
-    Only a document's last piece can be shorter than a whole sequence, so ``documents`` bounds the
-    pieces that take a search.
+    Pieces are dealt to groups of about ``group_documents`` of the ``documents`` documents, and each
+    group is packed by itself, at the cost of at most a few part-filled sequences a group. The deal
+    is by a hash of the piece's position in the input, so no id, null or repeated row makes a large
+    group; the input must be a scan, whose tasks give the same rows in the same order again. Only a
+    document's last piece can be shorter than a whole sequence, so ``documents`` bounds the pieces
+    that take a search.
     """
     groups = max(1, -(-documents // group_documents))
     fields = [f for f in pieces.schema if f.name not in ("sequence_id", "offset")]
@@ -236,6 +238,6 @@ def pack(
         columns = [*(table[n] for n in names), pa.array(sequence + (group << 40)), pa.array(offset)]
         return pa.table([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
 
-    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups))
+    group = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups))
     dealt = pieces.select(*names, group.alias("pack_group"))
     return dealt.groupBy("pack_group").applyInArrow(pack_group, schema)

@@ -103,13 +103,28 @@ def test_a_piece_above_the_limit_is_refused():
         packing.best_fit(np.array([41]), packing.Capacities(tokens=40))
 
 
-def _brute_shard(doc_id, tree):
-    best = []
-    for (_, _, shard), weight in tree.items():
-        seed = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
-        draw = xxhash.xxh64_intdigest(struct.pack("<q", shard), seed)
-        best.append((-math.log(((draw >> 11) + 0.5) / 2**53) / weight, shard))
-    return min(best)[1]
+def _plain_descent(doc_id, tree):
+    """Region, rack and shard, one draw after the other."""
+
+    def drawn(level, weights):
+        def arrival(node):
+            h = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+            for value in (level, node):
+                h = xxhash.xxh64_intdigest(struct.pack("<q", value), h)
+            return -math.log(((h >> 11) + 0.5) / 2**53) / weights[node]
+
+        return min(sorted(weights), key=arrival)
+
+    def below(*path):
+        out = defaultdict(float)
+        for nodes, weight in tree.items():
+            if nodes[: len(path)] == path:
+                out[nodes[len(path)]] += weight
+        return out
+
+    region = drawn(0, below())
+    rack = drawn(1, below(region))
+    return region, rack, drawn(2, below(region, rack))
 
 
 def test_shards_slots_and_growth(spark):
@@ -122,7 +137,8 @@ def test_shards_slots_and_growth(spark):
     for r in rows:
         raw = (texts[r.doc_id] or "").encode()
         assert (r.size, r.text_crc32, r.law) == (len(raw) + 8, zlib.crc32(raw), "key")
-        assert r.shard == _brute_shard(r.doc_id, tree) and r.grown_shard in (r.shard, 24)
+        assert (r.region, r.rack, r.shard) == _plain_descent(r.doc_id, tree)
+        assert r.grown_shard == _plain_descent(r.doc_id, grown)[2] and r.grown_shard in (r.shard, 24)
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert 0.02 < sum(r.grown_shard == 24 for r in rows) / len(rows) < 0.07
@@ -136,12 +152,36 @@ def test_slots_over_many_buckets_and_repeated_rows(spark):
         assert sorted(r.slot for r in found if r.shard == s) == list(range(200))
 
 
-def test_only_the_changed_subtree_moves(spark):
+def test_null_and_repeated_ids_and_no_rows(spark):
+    docs = documents(spark, ["a", None, "", "b" * 9]).selectExpr("cast(null as long) as doc_id", "text", "lang", "shard")
+    tree, grown = shards.even_tree(24), shards.even_tree(25)
+    rows = shards.shard_documents(docs.union(docs), tree, grown).collect()
+    assert {(r.region, r.rack, r.shard) for r in rows} == {_plain_descent(None, tree)}
+    assert sorted(r.slot for r in rows) == list(range(8)) and sorted({r["size"] for r in rows}) == [8, 9, 17]
+    assert shards.shard_documents(docs.limit(0), tree, grown).count() == 0
+
+
+def test_slots_of_one_hot_id_are_spread(spark):
+    rows = spark.range(0, 6000, 1, 6).selectExpr("7L as doc_id", "8L as size", "1L as text_crc32", "0 as shard")
+    found = shards.number_slots(rows, 6000, 1, rows_per_bucket=500)
+    assert sorted(r.slot for r in found.collect()) == list(range(6000))
+
+
+def test_only_changed_subtrees_move(spark):
+    """One heavier shard draws rows into its own region, rack and shard; no other subtree changes inside."""
     tree = {(g, r, 4 * g + 2 * r + s): 1.0 + s for g in range(2) for r in range(2) for s in range(2)}
     heavier = tree | {(1, 1, 6): 3.0}
     ids = spark.range(4000)
-    both = ids.select(*[shards.descend(F.col("id"), t)["shard"].alias(n) for n, t in (("a", tree), ("b", heavier))])
-    moved = both.where("a <> b").collect()
-    assert moved and all(r.b == 6 for r in moved)
-    shares = {r.a: r["count"] / 4000 for r in both.groupBy("a").count().collect()}
-    assert all(abs(shares[s] - w / 12) < 0.03 for (_, _, s), w in tree.items())
+    both = shards.descend(ids, "id", tree, ("g", "r", "s"))
+    rows = shards.descend(both, "id", heavier, ("g2", "r2", "s2")).collect()
+    assert any(r.s != r.s2 for r in rows)
+    for r in rows:
+        if r.g != r.g2:
+            assert r.g2 == 1
+        elif r.r != r.r2:
+            assert (r.g2, r.r2) == (1, 1)
+        elif r.s != r.s2:
+            assert r.s2 == 6
+    for column, share in (("s", tree), ("s2", heavier)):
+        for (_, _, shard), weight in share.items():
+            assert abs(sum(r[column] == shard for r in rows) / 4000 - weight / sum(share.values())) < 0.03
