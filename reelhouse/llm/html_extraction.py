@@ -12,20 +12,22 @@ import html
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 256
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<[!?/][^>]*(?:>|\Z)",
-    re.DOTALL | re.IGNORECASE,
-)
+#: Elements whose content is no markup.
+RAW = set("script style noscript template textarea title iframe svg".split())
+OPENING = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: A raw element's name may also end at a mark that other names hold.
+RAW_NAME = re.compile(rf"<({'|'.join(sorted(RAW))})\b", re.IGNORECASE)
+RAW_END = {name: re.compile(rf"</{name}\s*+>", re.IGNORECASE) for name in RAW}
+QUOTE_OR_END = re.compile(r"[>\"']")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORDS = re.compile(r"[^\W_]+")
 LABEL = re.compile(r"<article[\s>]", re.IGNORECASE)
@@ -62,6 +64,86 @@ def never_names(named: str) -> set[str]:
     return found
 
 
+@dataclass(slots=True)
+class Token:
+    """A comment, raw element or tag from ``start`` to ``stop``; only a tag has a ``tag``."""
+
+    start: int
+    stop: int
+    raw: str = ""
+    tag: str = ""
+    end: bool = False
+    rest: str = ""
+
+
+class TagEnds:
+    """Finds the ``>`` of tags outside quotes, in time linear in the page for all tags together.
+
+    What follows a place outside quotes is the same for whichever tag got there, so it is kept for
+    each quote or ``>`` met. A quote that is never closed leaves a tag without an end.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.first = (0, -1)  # the first mark at or after every place of this span
+        self.known: dict[int, int] = {}
+
+    def _first_mark(self, at: int) -> int:
+        begin, mark = self.first
+        if not begin <= at <= mark:
+            found = QUOTE_OR_END.search(self.page, at)
+            mark = found.start() if found else len(self.page)
+            self.first = (at, mark)
+        return mark
+
+    def after(self, at: int) -> int:
+        """The place of the tag's ``>`` from ``at`` on, or -1."""
+        page, met = self.page, []
+        mark, out = self._first_mark(at), -1
+        while mark < len(page):
+            if mark in self.known:
+                out = self.known[mark]
+                break
+            met.append(mark)
+            if page[mark] == ">":
+                out = mark
+                break
+            close = page.find(page[mark], mark + 1)
+            if close < 0:
+                break
+            found = QUOTE_OR_END.search(page, close + 1)
+            mark = found.start() if found else len(page)
+        if len(met) > 1 or out < 0:
+            self.known.update(dict.fromkeys(met, out))
+        return out
+
+
+def tokens(page: str) -> Iterator[Token]:
+    """Comments, raw elements and tags in page order; what is between them is text."""
+    ends, at, size = TagEnds(page), 0, len(page)
+    last_end = page.rfind(">")
+    while (start := page.find("<", at)) >= 0:
+        token = None
+        if page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            token = Token(start, size if stop < 0 else stop + 3)
+        elif start < last_end and (raw := RAW_NAME.match(page, start)):
+            name = raw[1].lower()
+            close = RAW_END[name].search(page, page.find(">", raw.end()) + 1)
+            token = Token(start, close.end() if close else size, raw=name)
+        elif start < last_end and (opening := OPENING.match(page, start)):
+            stop = ends.after(opening.end())
+            if stop >= 0:
+                rest = page[opening.end() : stop]
+                token = Token(start, stop + 1, "", opening[2].lower(), bool(opening[1]), rest)
+        if token is None and page[start + 1 : start + 2] in ("!", "?", "/"):
+            stop = page.find(">", start + 2) if start < last_end else -1
+            token = Token(start, size if stop < 0 else stop + 1)
+        at = token.stop if token else start + 1
+        if token:
+            yield token
+
+
 @dataclass(frozen=True)
 class Run:
     """Words with their place, or a tag.
@@ -78,11 +160,15 @@ class Run:
 
 
 def page_runs(page: str, labels: tuple[str, ...] = ARTICLES) -> list[Run]:
-    """The page as runs in order, ``inside`` those elements. Unclosed and stray tags are put up with."""
+    """The page as runs in order, ``inside`` those elements. Unclosed and stray tags are put up with.
+
+    Every step takes a time that does not grow with the page or with how deep elements are nested.
+    """
     runs: list[Run] = []
     # Container, its key, whether its tag or one around it rules main text out, its names that do, its first run.
     open_: list[tuple[str, str, bool, set[str], int]] = []
     spans: list[tuple[str, int, int, set[str]]] = []  # tag, first run, end and names of closed ones
+    within: Counter = Counter()  # open elements by tag
     block, last = "", 0
 
     def text(chunk: str) -> None:
@@ -97,45 +183,49 @@ def page_runs(page: str, labels: tuple[str, ...] = ARTICLES) -> list[Run]:
 
     place = lambda: open_[-1][1] if open_ else ""
     never = lambda: bool(open_) and open_[-1][2]
-    marked = lambda: any(e[0] in labels for e in open_)
-
-    def close(at: int, end: int) -> None:
-        for tag, _, bad, names, first in open_[at:]:
-            if not bad and (names or tag in ARTICLES):
-                spans.append((tag, first, end, names))
-        del open_[at:]
-
-    for found in TOKEN.finditer(page):
-        text(page[last : found.start()])
-        last = found.end()
-        tag = (found["tag"] or "").lower()
+    marked = lambda: any(within[tag] for tag in labels)
+
+    def close(end: int) -> tuple[str, str, bool, set[str], int]:
+        """Take the innermost element off."""
+        element = open_.pop()
+        tag, _, bad, names, first = element
+        within[tag] -= 1
+        if not bad and (names or tag in ARTICLES):
+            spans.append((tag, first, end, names))
+        return element
+
+    for found in tokens(page):
+        text(page[last : found.start])
+        last = found.stop
+        tag = found.tag
         if not tag:
-            if found["raw"]:
-                runs.append(Run([], found["raw"].lower(), block, True, False, marked()))
+            if found.raw:
+                runs.append(Run([], found.raw, block, True, False, marked()))
             continue
         key, shut = tag, False
-        if not found["end"]:
-            named = " ".join("".join(m) for m in NAMES.findall(found["rest"])).lower()
+        if not found.end:
+            named = " ".join("".join(m) for m in NAMES.findall(found.rest)).lower()
             names = WORDS.findall(named)
             key = ".".join([tag, *names[:2]])
             if tag in CONTAINERS or tag in NEVER:
-                bad = tag in NEVER or tag == "header" and not any(e[0] in ARTICLES for e in open_)
-                if tag not in VOID and not found["rest"].rstrip().endswith("/"):
+                bad = tag in NEVER or tag == "header" and not any(within[a] for a in ARTICLES)
+                if tag not in VOID and not found.rest.rstrip().endswith("/"):
                     out = never_names(named) if tag != "body" else set()
                     open_.append((tag, key, never() or bad, out, len(runs)))
-        elif tag in CONTAINERS or tag in NEVER:
-            at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
-            if at is not None:
-                _, key, shut, *_ = open_[at]
-                close(at + 1, len(runs))
-                close(at, len(runs) + 1)
+                    within[tag] += 1
+        elif within[tag]:
+            # Elements left open inside it end here as well.
+            while open_[-1][0] != tag:
+                close(len(runs))
+            _, key, shut, *_ = close(len(runs) + 1)
         if tag in BLOCKS:
-            block = "" if found["end"] else tag
+            block = "" if found.end else tag
         runs.append(Run([], key, block, never() or shut, tag in BLOCKS or tag == "br", marked()))
         if tag == "br":
             runs[-1] = Run([" "], place(), block, never(), False, marked())
     text(page[last:])
-    close(0, len(runs))
+    while open_:
+        close(len(runs))
     return _without_named(runs, spans) if any(names for *_, names in spans) else runs
 
 
@@ -152,7 +242,8 @@ def _without_named(runs: list[Run], spans: list[tuple[str, int, int, set[str]]])
     mains = [s for s in spans if s[0] in ARTICLES and not REPLIES & s[3] and held(s)]
     # The first and outermost of equals.
     longest = max(mains, key=lambda s: (held(s), -s[1]), default=None)
-    runs = list(runs)
+    # Where the spans that rule out begin and end; between, at least one is open.
+    change = [0] * (len(runs) + 1)
     for span in spans:
         _, first, end, names = span
         if longest:
@@ -160,8 +251,10 @@ def _without_named(runs: list[Run], spans: list[tuple[str, int, int, set[str]]])
         else:
             kept = 2 * held(span) > words[-1] and not REPLIES & names
         if names and not kept:
-            runs[first:end] = [r if r.never else replace(r, never=True) for r in runs[first:end]]
-    return runs
+            change[first] += 1
+            change[min(end, len(runs))] -= 1
+    ruled_out = accumulate(change)
+    return [replace(r, never=True) if out and not r.never else r for r, out in zip(runs, ruled_out)]
 
 
 @dataclass

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -98,6 +99,26 @@ def test_null_empty_broken_and_long_pages(spark, weights):
     assert fixed == html_extraction.Weights() and html_extraction.extract(df.limit(0), fixed).count() == 0
 
 
+@pytest.mark.parametrize("part", [
+    "<a ", '<a href="', "<a '\" ", '<a "x', "<div>", "<div class=ad>", "<section></div>", "<script ", "<", "</", "<!-",
+])
+def test_long_malformed_pages_take_linear_time(part):
+    """Two megabytes; a quadratic scan of any of them would take hours."""
+    for end in ("", ">", "'>"):
+        begin = time.perf_counter()
+        html_extraction.extract_text(part * (2_000_000 // len(part)) + end, html_extraction.Weights())
+        assert time.perf_counter() - begin < 40
+
+
+def test_tag_ends():
+    ends = lambda page: [(t.start, t.stop, t.tag, t.end) for t in html_extraction.tokens(page)]
+    assert ends("<a href='x>y'>z</a >") == [(0, 14, "a", False), (15, 20, "a", True)]
+    # The quote left open ends no tag; the next one is found all the same.
+    assert ends("<a href=\"x><b>") == [(11, 14, "b", False)]
+    assert ends("a < b <3 <p") == []
+    assert ends("<!x><!-- > -->?</>") == [(0, 4, "", False), (4, 14, "", False), (15, 18, "", False)]
+
+
 def test_best_region():
     assert html_extraction.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html_extraction.best_region([-1, -2]) == (0, 0)
