@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from checks.work_folder import fresh_folder, name_work_folder
 from reelhouse import fixed_values as fixed
 from reelhouse.functions import events as event_fn
-from reelhouse.operators import event_windows, quality
+from reelhouse.operators import event_windows, quality, watermarks
 from reelhouse.operators.dedup import repeated_keys
-from reelhouse.plans import bronze, gold, insights, live, recommender, replicas, silver
+from reelhouse.operators.pruned_products import top_products
+from reelhouse.plans import bronze, evaluation, gold, insights, live, recommender, replicas, silver
 from reelhouse.plans.lakehouse import Lakehouse
-from reelhouse.sources import csv_files, event_log
+from reelhouse.plans.partials import PartialTables
+from reelhouse.session import ensure_checkpoint_dir
+from reelhouse.sources import csv_files, event_log, message_segments
 from reelhouse.sources.sample_views import SampleViews
-from reelhouse.streaming import jobs
+from reelhouse.streaming import jobs, keyed_results
 
 # Arguments of the checked reports; the SQL side uses the same values.
 CUTOFF_YEAR = 1998
@@ -33,6 +36,9 @@ SINCE_MINUTES = 14 * 24 * 60
 MONITOR_MINUTES = 24 * 60
 LAST_ENDS = 10
 MIRROR_ROWS = 1_000
+TOP_PRODUCTS = 10
+ARRIVAL_ROWS_PER_PART = 1_500
+BATCHES = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -397,6 +403,84 @@ def als_coverage(v: SampleViews) -> DataFrame:
     )
 
 
+@_query
+def top_products_pruned(v: SampleViews) -> DataFrame:
+    """Each even vector's ten odd ones with the largest inner product, several chunks of them."""
+    vectors = v.vectors()
+    users, items = (vectors.filter(F.col("id") % 2 == n) for n in (0, 1))
+    lists = top_products(users, items, TOP_PRODUCTS, chunk_items=200)
+    picks = lists.select("user", F.posexplode(F.arrays_zip("items", "scores")).alias("pos", "pick"))
+    return picks.select(
+        "user", (F.col("pos") + 1).alias("rank"), F.col("pick.items").alias("item"), F.col("pick.scores").alias("score")
+    )
+
+
+@_query
+def als_top_exact(v: SampleViews) -> DataFrame:
+    """The lists' size, and how many of their scores MLlib's scan of all pairs beats."""
+    model = recommender.train(recommender.training_sample(v.ratings_enriched()))
+    lists = recommender.top_lists(model)
+    every = model.recommendForAllUsers(fixed.RECOMMENDATIONS_PER_USER)
+    both = lists.join(every, lists["user"] == every["userId"], "full")
+    # MLlib multiplies single-precision factors in single precision.
+    higher = F.zip_with(
+        "recommendations", "scores", lambda best, own: F.coalesce(best["rating"] > own * (1 + 1e-5) + 1e-6, F.lit(True))
+    )
+    return both.agg(
+        F.count("*").alias("users"),
+        F.sum(F.size("items")).alias("picks"),
+        F.sum(F.size(F.filter(higher, lambda x: x))).alias("beaten"),
+    )
+
+
+@_query
+def holdout_metrics(v: SampleViews) -> DataFrame:
+    """Errors and ranked metrics of the formula's lists on held-out ratings."""
+    _, held = evaluation.split(v.ratings_clean())
+    lists = v.recommendation_scores()
+    scored = held.join(lists, ["userId", "movieId"])
+    errors = evaluation.rating_errors(scored).select(F.struct("*")).scalar()
+    ranking = evaluation.ranking_quality(evaluation.user_quality(lists, held))
+    return ranking.withColumn("errors", errors).select("*", "errors.*").drop("errors")
+
+
+@_query
+def als_holdout(v: SampleViews) -> DataFrame:
+    """A model of the kept ratings on the held-out ones: what can be said of any model."""
+    report = evaluation.holdout_report(v.ratings_clean())
+    share = lambda c: F.col(c).between(0, 1)
+    return report.select(
+        "kept_ratings",
+        "held_ratings",
+        "scored_ratings",
+        "judged_users",
+        (share("precision") & share("recall") & share("ndcg")).alias("valid_shares"),
+        ((F.col("rmse") >= F.col("mae")) & (F.col("mae") >= 0)).alias("valid_errors"),
+    )
+
+
+def _batches(v: SampleViews, query: str) -> PartialTables:
+    """The partials of three batches, one of them loaded twice, first with other rows."""
+    tables = PartialTables(v.spark, fresh_folder(v.spark, query))
+    rows = v.ratings_enriched()
+    batch = lambda n: rows.filter(F.col("rating_year") % BATCHES == n)
+    tables.load(rows.filter("userId % 5 = 0"), "batch 1")
+    for n in range(BATCHES):
+        tables.load(batch(n), f"batch {n}")
+    tables.load(batch(2), "batch 2")
+    return tables
+
+
+@_query
+def gold_incremental(v: SampleViews) -> DataFrame:
+    return _batches(v, "gold_incremental").genre_decade_stats()
+
+
+@_query
+def distribution_incremental(v: SampleViews) -> DataFrame:
+    return _batches(v, "distribution_incremental").rating_distribution()
+
+
 # -- reports -------------------------------------------------------------
 
 
@@ -553,6 +637,30 @@ def anomaly_session(v: SampleViews) -> DataFrame:
     return event_windows.rating_sessions(v.platform_events(), DAY, BURST_OVER)
 
 
+def _arrived(v: SampleViews) -> DataFrame:
+    return watermarks.with_watermark(
+        v.event_arrivals(), ["arrived_at", "event_no"], rows_per_part=ARRIVAL_ROWS_PER_PART
+    )
+
+
+@_query
+def late_events(v: SampleViews) -> DataFrame:
+    """Events that came after the watermark had closed their daily window."""
+    return watermarks.late_events(_arrived(v), DAY).select(
+        "event_id", "event_ts", "arrived_at", "watermark", "window_start", "window_end"
+    )
+
+
+@_query
+def trending_without_late(v: SampleViews) -> DataFrame:
+    return watermarks.trending_in_time(_arrived(v), DAY)
+
+
+@_query
+def event_lateness(v: SampleViews) -> DataFrame:
+    return watermarks.lateness(_arrived(v), DAY)
+
+
 # -- operational reports -------------------------------------------------
 
 
@@ -672,3 +780,75 @@ def stream_stamps(v: SampleViews) -> DataFrame:
         F.count_if(F.col("computed_at").isNull()).alias("unstamped"),
         F.count_if(elsewhere).alias("misplaced"),
     )
+
+
+@_query
+def stream_replay(v: SampleViews) -> DataFrame:
+    """A log of three segments read up to the middle of one, then on from the checkpoint."""
+    work = fresh_folder(v.spark, "stream_replay")
+    events = v.platform_events()
+    for n in range(3):
+        message_segments.append_segment(events.filter(F.col("event_id").cast("long") % 3 == n), f"{work}/log")
+    half = message_segments.read_all_segments(v.spark, f"{work}/log").count() // 2
+    for up_to in (half, None):
+        messages = message_segments.read_segments(v.spark, f"{work}/log", up_to)
+        parsed = event_fn.parse_wire(messages)
+        jobs.start_append(
+            parsed, f"{work}/out", f"{work}/checkpoint", "stored_at", until_caught_up=True
+        ).awaitTermination()
+    return v.spark.read.parquet(f"{work}/out").select(
+        "event_id", "event_type", "user_id", "movie_id", "movie_title",
+        F.to_json("genres").alias("genres"), "event_ts", "rating",
+    )
+
+
+KEYS = ("window_start", "movie_id")
+
+
+@_query
+def stream_upsert(v: SampleViews) -> DataFrame:
+    """Windows by key, given while they are open, loaded twice from the start, and compacted."""
+    work = fresh_folder(v.spark, "stream_upsert")
+    log, out = f"{work}/log", f"{work}/out"
+    in_order = v.platform_events().repartitionByRange(4, "event_ts").sortWithinPartitions("event_ts")
+    message_segments.append_segment(in_order, log)
+    half = message_segments.read_all_segments(v.spark, log).count() // 2
+    for turn in range(2):
+        for up_to in (half, None):
+            messages = message_segments.read_segments(v.spark, log, up_to)
+            results = event_windows.trending(jobs.timed_events(messages), DAY)
+            keyed_results.start_keyed(
+                results, out, f"{work}/checkpoint{turn}", KEYS, until_caught_up=True
+            ).awaitTermination()
+    stored = v.spark.read.parquet(out)
+    keyed_results.compact(v.spark, out, keyed_results.dates_of(stored))
+    return v.spark.read.schema(stored.schema).parquet(out).drop("window_date")
+
+
+@_query
+def window_backfill(v: SampleViews) -> DataFrame:
+    """Windows stored without some events, then with those: only the windows they touch anew."""
+    work = fresh_folder(v.spark, "window_backfill")
+    ensure_checkpoint_dir(v.spark)
+    events = v.platform_events().withColumn("day", F.to_date("event_ts"))
+    events.write.partitionBy("day").parquet(f"{work}/events")
+    events = v.spark.read.parquet(f"{work}/events")
+    days = F.dayofmonth("day")
+    changed = events.filter((F.col("event_id").cast("long") % 7 == 3) & days.isin(3, 4, 20))
+    before = event_windows.trending(events.join(changed, "event_id", "left_anti"), DAY)
+    before = before.withColumn("window_date", F.to_date("window_end"))
+    keyed_results.replace_keys(before, f"{work}/out", KEYS)
+    keyed_results.backfill(v.spark, lambda dates: events.filter(F.col("day").isin(dates)), changed, f"{work}/out", DAY)
+    return v.spark.read.parquet(f"{work}/out").drop("window_date")
+
+
+@_query
+def stream_sessions(v: SampleViews) -> DataFrame:
+    return _streamed(
+        v,
+        "stream_sessions",
+        jobs.start_rating_sessions,
+        "session_alerts",
+        gap_seconds=DAY,
+        threshold=BURST_OVER,
+    ).drop("detected_at", "detected_date")

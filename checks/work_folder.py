@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from reelhouse.session import remove_path
+
 
 def name_work_folder(spark: SparkSession) -> None:
     """Name a folder for a local session that has none; a cluster names its own."""
@@ -19,6 +21,5 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     """A folder of this application for one query's files; what an earlier call left goes."""
     root = spark.conf.get("spark.checkpoint.dir").rstrip("/")
     folder = f"{root}/checks-{spark.sparkContext.applicationId}/{name}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_path(spark, folder)
     return folder

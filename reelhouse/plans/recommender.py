@@ -1,17 +1,24 @@
-"""Training and scoring of the recommender with MLlib's ALS."""
+"""Training of the recommender with MLlib's ALS, and exact top lists from its factors."""
 
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
+from reelhouse.operators.pruned_products import top_products
 from reelhouse.session import ensure_checkpoint_dir
 
 HASH_BUCKETS = 1_000_000
 
 
+def hash_bucket(key: Column) -> Column:
+    """One of HASH_BUCKETS by MD5, so that any other engine can draw the same rows."""
+    digits = F.substring(F.md5(key.cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint") % HASH_BUCKETS
+
+
 def training_sample(
     enriched: DataFrame,
     fraction: float = fixed.SAMPLE_FRACTION,
@@ -20,13 +27,10 @@ def training_sample(
     """A repeatable share of the ratings, without replacement.
 
     Membership is a hash of the rating's own key. Unlike ``DataFrame.sample`` it
-    does not change with the partitioning, nor when a lost task is run again. MD5,
-    so that any other engine can draw the same rows.
+    does not change with the partitioning, nor when a lost task is run again.
     """
     key = F.concat_ws(":", F.lit(seed), "userId", "movieId", "timestamp")
-    digits = F.substring(F.md5(key.cast("binary")), 1, 8)
-    bucket = F.conv(digits, 16, 10).cast("bigint") % HASH_BUCKETS
-    chosen = enriched.filter(bucket < int(round(fraction * HASH_BUCKETS)))
+    chosen = enriched.filter(hash_bucket(key) < int(round(fraction * HASH_BUCKETS)))
     return chosen.select("userId", "movieId", "rating")
 
 
@@ -56,6 +60,21 @@ def train(
     return als.fit(sample)
 
 
+def top_lists(
+    model: ALSModel, per_user: int = fixed.RECOMMENDATIONS_PER_USER, users: DataFrame | None = None
+) -> DataFrame:
+    """Each trained user's best movies: user, items, scores, multiplied.
+
+    Bounds on blocks of movies spare most of the users x movies products, and the lists are exact:
+    no movie outside one has a higher score. ``multiplied`` is the number of products a user took.
+    """
+    known, movies = (f.select("id", F.col("features").alias("vector")) for f in (model.userFactors, model.itemFactors))
+    if users is not None:
+        asked = users.select(F.col("userId").alias("id")).distinct()
+        known = known.join(asked, "id", "left_semi")
+    return top_products(known, movies, per_user)
+
+
 def top_scores(
     model: ALSModel,
     per_user: int = fixed.RECOMMENDATIONS_PER_USER,
@@ -63,21 +82,14 @@ def top_scores(
 ) -> DataFrame:
     """The best movies of every trained user, one row each, score to 4 decimals.
 
-    MLlib scores each trained user against each trained movie, block by block: the
-    work is users x movies x rank. Only each block's best go on. ``users`` (userId)
-    scores those users alone, for incremental runs.
+    Equal scores go to the smaller movie. ``users`` (userId) scores those users alone, for
+    incremental runs.
     """
-    # Widen before rounding: rounding a float and then widening leaves noise.
-    score = F.round(F.col("pick.rating").cast("double"), 4)
-    if users is None:
-        picks = model.recommendForAllUsers(per_user)
-    else:
-        picks = model.recommendForUserSubset(users, per_user)
-    return (
-        picks.select("userId", F.explode("recommendations").alias("pick"))
-        .select(
-            "userId",
-            F.col("pick.movieId").alias("movieId"),
-            score.alias("predicted_score"),
-        )
+    picks = top_lists(model, per_user, users).select(
+        "user", F.explode(F.arrays_zip("items", "scores")).alias("pick")
+    )
+    return picks.select(
+        F.col("user").cast("int").alias("userId"),
+        F.col("pick.items").cast("int").alias("movieId"),
+        F.round("pick.scores", 4).alias("predicted_score"),
     )

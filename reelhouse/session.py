@@ -26,6 +26,8 @@ ENGINE_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Checkpoint files go once nothing refers to their rows any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Reports with a huge limit sort in parallel instead of filling a heap in memory.
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
@@ -81,6 +83,12 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder wherever Spark can read it; nothing happens if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative MLlib jobs cut their lineage in the shared folder."""
     context = spark.sparkContext

@@ -108,6 +108,19 @@ class SampleViews:
             .drop("value")
         )
 
+    def event_arrivals(self) -> DataFrame:
+        """Events with the time they came at, up to three days after they happened."""
+        number = F.col("event_id").cast("bigint")
+        delay = F.make_dt_interval(secs=(number * 7919) % (3 * 86_400))
+        return self.platform_events().withColumns(
+            {"event_no": number, "arrived_at": F.col("event_ts") + delay}
+        )
+
+    def vectors(self) -> DataFrame:
+        """Finite vectors of one length: id, vector."""
+        rows = self._table("embeddings").filter(F.size("embedding") == 64)
+        return rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+
     # -- cleaned ---------------------------------------------------------
 
     def movies_clean(self) -> DataFrame:

@@ -31,6 +31,7 @@ RESULTS = {
     " event_count bigint, alert_type string, threshold int, message string,"
     " detected_at timestamp, detected_date date",
 }
+RESULTS["session_alerts"] = RESULTS["anomaly_alerts"]
 
 
 def read_results(spark: SparkSession, out: str, name: str) -> DataFrame:
@@ -136,6 +137,29 @@ def start_rating_bursts(
     )
 
 
+def start_rating_sessions(
+    messages: DataFrame,
+    out: str,
+    checkpoints: str,
+    gap_seconds: int = fixed.SESSION_GAP_SECONDS,
+    threshold: int = fixed.BURST_THRESHOLD,
+    until_caught_up: bool = False,
+) -> StreamingQuery:
+    """Alerts over sessions: each user's open session is kept and merged from batch to batch.
+
+    A session comes out once the watermark has passed its last rating by the gap.
+    """
+    results = event_windows.rating_sessions(timed_events(messages), gap_seconds, threshold)
+    return start_append(
+        results,
+        f"{out}/session_alerts",
+        f"{checkpoints}/session_alerts",
+        stamp="detected_at",
+        until_caught_up=until_caught_up,
+        date=("detected_date", "detected_at"),
+    )
+
+
 def start_all(
     new_source: Callable[[], DataFrame],
     out: str,
