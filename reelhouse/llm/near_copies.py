@@ -8,13 +8,13 @@ groups and have any band in common. Every candidate pair is checked on the whole
 
 from __future__ import annotations
 
-from string import ascii_lowercase, ascii_uppercase
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from reelhouse.llm.components import components, shuffled
 from reelhouse.llm.covering_simhash import near_links, shingle_hashes, simhash
@@ -32,7 +32,6 @@ SHARED_BANDS = 3
 #: Bits of a text's odd sketch, in longs.
 SKETCH_LONGS = 16
 BATCH_ROWS = 1_024
-WHITE_SPACE = r"[\x20\x09-\x0D]+"
 HASH_CHUNK = 4_096
 
 _draw = np.random.Generator(np.random.Philox(key=7))
@@ -62,11 +61,14 @@ def odd_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def text_key(text: Column) -> Column:
+def text_key(text: str | None) -> bytes:
     """128 bits of the words of a text, A-Z lower-cased; a null text has none."""
-    lower = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
-    spaced = F.btrim(F.regexp_replace(lower, WHITE_SPACE, " "), F.lit(" "))
-    return F.unhex(F.md5(spaced.cast("binary")))
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def _keys(texts: list[str | None]) -> pa.Array:
+    return pa.array(map(text_key, texts), pa.binary())
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -82,26 +84,26 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
+                texts = part.column(1).to_pylist()
                 fps, bands, kinds, odd = [], [], [], []
-                for text in part.column(2).to_pylist():
+                for text in texts:
                     hashes = shingle_hashes(text, words)
                     fps.append(simhash(hashes))
                     different = np.unique(hashes)
                     bands.append(band_keys(different))
                     kinds.append(len(different))
                     odd.append(odd_sketch(different))
-                made = [part.column(1).cast(pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64))]
+                made = [_keys(texts), pa.array(np.array(fps, np.uint64).view(np.int64))]
                 made += [pa.array(bands, longs), pa.array(kinds, pa.int64()), pa.array(odd, longs)]
                 yield pa.record_batch([part.column(0), *made], schema=out)
 
     columns = "doc_id long, copy binary, fp long, bands array<long>, kinds long, odd array<long>"
-    return _keyed(docs).mapInArrow(run, columns)
+    return _with_id(docs).mapInArrow(run, columns)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy, text) of every row with an id."""
-    rows = docs.where("doc_id is not null")
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("copy"), "text")
+def _with_id(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of every row with an id."""
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def _distinct_texts(marked: DataFrame) -> DataFrame:
@@ -203,16 +205,21 @@ def _similar(
     """The pairs whose shingle sets have a Jaccard similarity of at least ``similarity``."""
     ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "rep")
     needed = texts.select("rep", "doc_id", "copy").join(shuffled(ends), "rep", "left_semi")
-    # A row that is there several times gives its set once.
-    rows = _keyed(docs).join(needed, ["doc_id", "copy"]).select("rep", "text")
-    kinds = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    rows = _with_id(docs).join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    out = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def shingle(batches):
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(sets, kinds[1].type)], schema=kinds)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                texts = part.column(1).to_pylist()
+                sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts]
+                yield pa.record_batch([part.column(0), _keys(texts), pa.array(sets, out[2].type)], schema=out)
 
-    sets = rows.mapInArrow(shingle, "rep long, shingles array<long>").dropDuplicates(["rep"]).checkpoint()
+    made = rows.mapInArrow(shingle, "doc_id long, copy binary, shingles array<long>")
+    # A row that is there several times gives its set once.
+    sets = made.join(shuffled(needed), ["doc_id", "copy"]).select("rep", "shingles")
+    sets = sets.dropDuplicates(["rep"]).checkpoint()
     sides = [sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab"]
     sized = pairs.join(shuffled(sides[0]), "a").join(shuffled(sides[1]), "b")
     # The sizes alone rule some pairs out.
@@ -247,12 +254,25 @@ def _rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     Of rows with the same id and words the first by the hash of all columns is taken.
     """
-    wanted = kept.select(F.col("doc_id").alias("near copies kept id"), F.col("copy").alias("near copies kept key"))
-    keyed = docs.withColumns({"near copies key": text_key(F.col("text")), "near copies order": F.xxhash64(F.to_json(F.struct("*")))})
-    same = (F.col("doc_id") == F.col("near copies kept id")) & (F.col("near copies key") == F.col("near copies kept key"))
+    added = [StructField("near copies key", BinaryType()), StructField("near copies order", LongType())]
+    schema = StructType([*docs.schema, *added])
+    out = to_arrow_schema(schema)
+
+    def keyed(batches):
+        for batch in batches:
+            keys = _keys(batch.column("text").to_pylist())
+            columns = [*batch.columns[:-1], keys, batch.columns[-1]]
+            yield pa.record_batch([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    ids = kept.select(F.col("doc_id").alias("near copies id")).distinct()
+    rows = docs.join(ids, docs["doc_id"] == ids["near copies id"], "left_semi")
+    rows = rows.withColumn("near copies order", F.xxhash64(F.to_json(F.struct("*"))))
+    wanted = kept.select(F.col("doc_id").alias("near copies id"), F.col("copy").alias("near copies kept"))
+    same = (F.col("doc_id") == F.col("near copies id")) & (F.col("near copies key") == F.col("near copies kept"))
     place = F.expr("row_number() over (partition by doc_id, `near copies key` order by `near copies order`)")
-    rows = keyed.join(wanted, same, "left_semi").withColumn("near copies place", place).where("`near copies place` = 1")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = rows.mapInArrow(keyed, schema).join(wanted, same, "left_semi")
+    found = found.withColumn("near copies place", place).where("`near copies place` = 1")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(
