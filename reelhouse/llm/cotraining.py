@@ -1,10 +1,14 @@
 """Document quality by co-training two views.
 
-One view sees the words of a text (how they end, how they repeat), the other the record around
-them: source, language, length, lines, and which kinds of characters fill the page. Each round,
-each view's logistic model labels the pool documents that it is surest of, and the other view
-trains on them as well. Both are calibrated on labelled rows that neither was trained on, and the
-mean of their calibrated log-odds scores every document.
+The text view sees the words and characters of a document: how words end and repeat, which kinds of
+characters fill it, how far it compresses. The metadata view sees its record alone: language, source and
+recorded length. Each round, each view's logistic model scores all documents without a label, and passes
+those that it is surest of on to the other view, which trains on them as well. Both are calibrated on
+labelled rows that neither was trained on, in every round: a weak view is seldom sure. Given the label the views count as independent, so their
+calibrated log-odds are added, less those of the labels' own share.
+
+All documents are measured once and their features stored; a round reads these, and only the rows
+that it passes on reach the driver.
 """
 
 from __future__ import annotations
@@ -12,15 +16,19 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from reelhouse.session import new_work_path
+
 TAILS = 256
 FIELDS = 32
 BATCH_ROWS = 256
@@ -38,31 +46,13 @@ def _slot(name: str, slots: int, known: dict[str, int]) -> int:
 
 
 def text_features(text: str, known: dict[str, int]) -> np.ndarray:
-    """Shares of word endings (hashed), repeats, capitals, marks; variety of words."""
+    """Shares of word endings (hashed), repeats, capitals, marks; variety of words; characters and lines."""
     out = np.zeros(TAILS + 5)
-    words = text.split()
-    n = len(words)
-    if not n:
-        return out
-    for tail, count in Counter([w[-3:] for w in words]).items():
-        out[_slot(tail, TAILS, known)] += count / n
-    kinds = Counter(words)
-    out[TAILS] = sum(map(str.__eq__, words, words[1:])) / n
-    out[TAILS + 1] = sum(c for w, c in kinds.items() if len(w) > 1 and w.isupper()) / n
-    out[TAILS + 2] = sum(c for w, c in kinds.items() if not any(map(str.isalnum, w))) / n
-    out[TAILS + 3] = len(kinds) / n
-    out[TAILS + 4] = max(kinds.values()) / n
-    return out
-
-
-def metadata_features(text: str, lang, source, n_chars, known: dict[str, int]) -> np.ndarray:
-    """Source and language (hashed), length, lines, character kinds, how far the page compresses."""
     raw = text.encode("utf-8", "surrogatepass")
     size = max(len(raw), 1)
     counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256) / size
     lines = raw.count(b"\n") + 1
-    whole = [
-        math.log1p(max(n_chars, 0) if n_chars is not None else len(text)),
+    characters = [
         math.log1p(lines),
         math.log1p(size / lines),
         counts[ord("A") : ord("Z") + 1].sum(),
@@ -72,10 +62,28 @@ def metadata_features(text: str, lang, source, n_chars, known: dict[str, int]) -
         counts[ord(" ")],
         len(zlib.compress(raw, 1)) / size,
     ]
-    fields = np.zeros(2 * FIELDS)
-    fields[_slot(f"lang {lang}", FIELDS, known)] = 1
-    fields[FIELDS + _slot(f"source {source}", FIELDS, known)] = 1
-    return np.r_[whole, counts[MARKS], fields]
+    words = text.split()
+    n = len(words)
+    if n:
+        for tail, count in Counter([w[-3:] for w in words]).items():
+            out[_slot(tail, TAILS, known)] += count / n
+        kinds = Counter(words)
+        out[TAILS] = sum(map(str.__eq__, words, words[1:])) / n
+        out[TAILS + 1] = sum(c for w, c in kinds.items() if len(w) > 1 and w.isupper()) / n
+        out[TAILS + 2] = sum(c for w, c in kinds.items() if not any(map(str.isalnum, w))) / n
+        out[TAILS + 3] = len(kinds) / n
+        out[TAILS + 4] = max(kinds.values()) / n
+    return np.r_[out, characters, counts[MARKS]]
+
+
+def metadata_features(lang, source, n_chars, known: dict[str, int]) -> np.ndarray:
+    """Source and language (hashed), recorded length. Nothing of the text."""
+    out = np.zeros(2 + 2 * FIELDS)
+    out[0] = math.log1p(max(n_chars, 0)) if n_chars is not None else 0.0
+    out[1] = n_chars is None
+    out[2 + _slot(f"lang {lang}", FIELDS, known)] = 1
+    out[2 + FIELDS + _slot(f"source {source}", FIELDS, known)] = 1
+    return out
 
 
 @dataclass
@@ -136,114 +144,181 @@ class Logistic:
 
 @dataclass(frozen=True)
 class Model:
-    """The two calibrated views; None where the labels hold fewer than two classes."""
+    """The two calibrated views; None where the labels hold fewer than two classes.
+
+    ``prior`` is the log-odds of a good label.
+    """
 
     text: Logistic | None
     metadata: Logistic | None
+    prior: float = 0.0
 
+    def odds(self, text: np.ndarray, metadata: np.ndarray) -> list[np.ndarray]:
+        """Log-odds of the views, and of both together."""
+        own = [self.text.odds(text), self.metadata.odds(metadata)]
+        return [*own, sum(own) - self.prior]
 
-def co_train(
-    text: np.ndarray, metadata: np.ndarray, y: np.ndarray, rounds: int = 4, growth: int = 400
-) -> Model:
-    """Fit both views; ``y`` is 1, 0, or NaN for the pool.
 
-    A view passes on at most ``growth`` pool rows a round, with at least 95 % confidence, in the
-    classes' labelled proportions.
+def _text_view(texts: list[str | None], known: dict[str, int]) -> np.ndarray:
+    return np.array([text_features(t or "", known) for t in texts])
+
+
+def _metadata_view(records: list[list], known: dict[str, int]) -> np.ndarray:
+    return np.array([metadata_features(*r, known) for r in zip(*records)])
+
+
+def _parts(batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
+_RECORD = [("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
+_MEASURED = pa.schema([("doc_id", pa.int64()), ("given", pa.float64()), *_RECORD, ("text_view", pa.list_(pa.float64()))])
+_PASSED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("sure", pa.float64()), *_RECORD, _MEASURED[5]])
+#: Teacher, learner and label of what is passed on; views are 0 text, 1 metadata.
+KINDS = ((0, 1, 1), (0, 1, 0), (1, 0, 1), (1, 0, 0))
+
+
+def _measured(docs: DataFrame, given: DataFrame) -> DataFrame:
+    """Every document with an id, its label or null, its record and its text view, stored."""
+    rows = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        *[F.col(c).cast(k).alias(c) for c, k in (("lang", "string"), ("source", "string"), ("n_chars", "long"))],
+    )
+    rows = rows.join(given, "doc_id", "left").withColumn("given", F.col("given").cast("double"))
+
+    def measure(batches):
+        known: dict[str, int] = {}
+        for part in _parts(batches):
+            views = _text_view(part.column("text").to_pylist(), known)
+            columns = [part.column(n) for n in ("doc_id", "given", "lang", "source", "n_chars")]
+            yield pa.record_batch([*columns, pa.array(list(views), _MEASURED[5].type)], schema=_MEASURED)
+
+    spark = docs.sparkSession
+    folder = new_work_path(spark, "measured")
+    kinds = "doc_id long, given double, lang string, source string, n_chars long, text_view array<double>"
+    rows.mapInArrow(measure, kinds).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _views(rows: pa.Table | pa.RecordBatch, known: dict[str, int]) -> list[np.ndarray]:
+    """Both views of measured rows."""
+    text = np.stack([np.asarray(v.values) for v in rows["text_view"]]) if rows.num_rows else np.zeros((0, 0))
+    return [text, _metadata_view([rows[n].to_pylist() for n, _ in _RECORD], known)]
+
+
+def _surest(measured: DataFrame, models: list[Logistic], wanted: list[int], passed: list[set[int]], least: float) -> pa.Table:
+    """The ``wanted`` documents of each of KINDS that the teacher is surest of, for the learner.
+
+    ``least`` is the log-odds needed, ``passed`` holds the ids that each view has been given. Every task keeps its own best of each kind
+    first, and an id counts once.
     """
-    known = np.flatnonzero(~np.isnan(y))
-    if len(np.unique(y[known])) < 2:
-        return Model(None, None)
-    # Every fourth labelled row of each class calibrates and is never trained on.
-    held = np.concatenate([known[y[known] == c][3::4] for c in (0, 1)])
-    train = np.setdiff1d(known, held)
-    views = [text, metadata]
-    labels = [np.full(len(y), np.nan) for _ in views]
-    for own in labels:
-        own[train] = y[train]
-    pool = np.flatnonzero(np.isnan(y))
-    share = y[train].mean()
-    for _ in range(rounds):
-        models = [Logistic().fit(v[~np.isnan(l)], l[~np.isnan(l)]) for v, l in zip(views, labels)]
-        for teacher, learner in ((0, 1), (1, 0)):
-            free = pool[np.isnan(labels[learner][pool])]
-            odds = models[teacher].odds(views[teacher][free])
-            for label, part in ((1, share), (0, 1 - share)):
-                sure = odds if label else -odds
-                best = np.argsort(-sure, kind="stable")[: max(1, round(growth * part))]
-                best = best[sure[best] >= math.log(0.95 / 0.05)]
-                labels[learner][free[best]] = label
-    models = [Logistic().fit(v[~np.isnan(l)], l[~np.isnan(l)]) for v, l in zip(views, labels)]
-    for model, view in zip(models, views):
-        if len(held):
-            model.calibrate(view[held], y[held])
-    return Model(*models)
-
-
-def _features(rows, known) -> tuple[np.ndarray, np.ndarray]:
-    texts, langs, sources, sizes = rows
-    texts = [t or "" for t in texts]
-    text = np.array([text_features(t, known) for t in texts])
-    around = zip(texts, langs, sources, sizes)
-    return text, np.array([metadata_features(*r, known) for r in around])
+    def pick(batches):
+        best: list[dict[int, tuple]] = [{} for _ in KINDS]
+        known: dict[str, int] = {}
+        for part in _parts(batches):
+            ids = part.column("doc_id").to_pylist()
+            views = _views(part, known)
+            odds = [m.odds(v) for m, v in zip(models, views)]
+            records = None
+            for own, (teacher, learner, label), most in zip(best, KINDS, wanted):
+                sure = odds[teacher] if label else -odds[teacher]
+                rows = [n for n in np.flatnonzero(sure >= least).tolist() if ids[n] not in passed[learner]]
+                if not rows:
+                    continue
+                records = records or part.select([n for n, _ in _RECORD]).to_pylist()
+                for n in rows:
+                    entry = (float(sure[n]), *records[n].values(), views[0][n])
+                    if ids[n] not in own or own[ids[n]][0] < entry[0]:
+                        own[ids[n]] = entry
+                if len(own) > 2 * most:
+                    _cut(own, most)
+        for kind, (own, most) in enumerate(zip(best, wanted)):
+            _cut(own, most)
+            if own:
+                columns = list(zip(*own.values()))
+                made = [[kind] * len(own), list(own), *map(list, columns)]
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(made, _PASSED)], schema=_PASSED)
+
+    found = measured.where("given is null").mapInArrow(
+        pick, "kind int, doc_id long, sure double, lang string, source string, n_chars long, text_view array<double>"
+    )
+    entry = F.struct("sure", "lang", "source", "n_chars", "text_view")
+    single = found.groupBy("kind", "doc_id").agg(F.max(entry).alias("e")).select("kind", "doc_id", "e.*")
+    most = F.element_at(F.array(*map(F.lit, wanted)), F.col("kind") + 1)
+    place = F.expr("row_number() over (partition by kind order by sure desc, doc_id)")
+    chosen = single.withColumn("place", place).where(F.col("place") <= most)
+    return chosen.toArrow().sort_by([("kind", "ascending"), ("place", "ascending")])
+
+
+def _cut(own: dict[int, tuple], most: int) -> None:
+    """Leave the ``most`` surest; of equals the smaller id."""
+    kept = sorted(own.items(), key=lambda item: (-item[1][0], item[0]))[:most]
+    own.clear()
+    own.update(kept)
 
 
 def learn(
     docs: DataFrame,
     labels: DataFrame,
     max_labelled: int = 4_000,
-    max_pool: int = 4_000,
+    rounds: int = 4,
+    growth: int = 400,
+    confidence: float = 0.99,
     label: str = "quality",
 ) -> Model:
-    """Train on at most about ``max_labelled`` labelled documents and ``max_pool`` others.
+    """Train on at most about ``max_labelled`` labelled documents, and on all others by co-training.
 
-    Both samples are drawn by a hash of the id, at rates set by counts over whole tables; only
-    their features reach the driver. A null label is none; an id with several labels has the
-    least. Documents without an id are in neither sample.
+    The labelled ones are drawn by a hash of the id, at a rate set by a count of all labels. In each of
+    ``rounds`` each view scores all documents without a label, and passes on the ``growth`` it is surest
+    of, with a calibrated confidence of at least ``confidence``, in the classes' labelled proportions. A null label is none; an id
+    with several labels has the least. Documents without an id teach nothing; of rows that repeat one,
+    the surest counts. A labelled document that is not drawn is one without a label.
     """
     given = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     given = given.groupBy("doc_id").agg(F.min(label).alias("given"))
-    n_labelled, n_docs = given.count(), docs.count()
-    if not n_labelled or not n_docs:
+    n_labelled = given.count()
+    if not n_labelled:
         return Model(None, None)
-
-    def drawn(salt: int, most: int, of: int):
-        return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(of)) < most
-
     # At most about max_labelled rows of two numbers: bounded, whatever the tables' size.
-    sampled = F.broadcast(given.where(drawn(1, max_labelled, n_labelled)))
-    rows = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars"
-    )
-    rows = rows.join(sampled, "doc_id", "left")
-    rows = rows.where(F.col("given").isNotNull() | drawn(2, max_pool, n_docs))
-
-    kinds = "doc_id long, given double, text_view array<double>, metadata_view array<double>"
-    out = pa.schema(
-        [("doc_id", pa.int64()), ("given", pa.float64())]
-        + [(n, pa.list_(pa.float64())) for n in ("text_view", "metadata_view")]
-    )
-
-    def measure(batches):
-        known: dict[str, int] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(at, BATCH_ROWS)
-                views = _features([part.column(i).to_pylist() for i in range(1, 5)], known)
-                columns = [part.column(0), part.column(5)]
-                columns += [pa.array(list(v), pa.list_(pa.float64())) for v in views]
-                yield pa.record_batch(columns, schema=out)
-
-    measured = rows.withColumn("given", F.col("given").cast("double")).mapInArrow(measure, kinds)
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_labelled)) < max_labelled
+    measured = _measured(docs, F.broadcast(given.where(drawn)))
     # Copies of a row are one example, and the order is the same on any cluster.
-    table = measured.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
-    if not table.num_rows:
+    entry = F.struct("given", "lang", "source", "n_chars", "text_view")
+    known = measured.where("given is not null").groupBy("doc_id").agg(F.max(entry).alias("e"))
+    table = known.select("doc_id", "e.*").toArrow().sort_by("doc_id")
+    y = (table["given"].to_numpy() > 0).astype(float)
+    if len(np.unique(y)) < 2:
         return Model(None, None)
-    text, metadata = (
-        np.stack(table[n].combine_chunks().to_numpy(zero_copy_only=False))
-        for n in ("text_view", "metadata_view")
-    )
-    given = table["given"].to_numpy()
-    return co_train(text, metadata, np.where(np.isnan(given), np.nan, given > 0))
+    slots: dict[str, int] = {}
+    views = _views(table, slots)
+    # Every fourth labelled row of each class calibrates and is never trained on.
+    held = np.concatenate([np.flatnonzero(y == c)[3::4] for c in (0, 1)])
+    train = np.setdiff1d(np.arange(len(y)), held)
+    rows, targets = [v[train] for v in views], [y[train], y[train]]
+    passed: list[set[int]] = [set(), set()]
+    share = y[train].mean()
+    wanted = [max(1, round(growth * (share if label_ else 1 - share))) for _, _, label_ in KINDS]
+
+    def fitted() -> list[Logistic]:
+        models = [Logistic().fit(x, t) for x, t in zip(rows, targets)]
+        for model, view in zip(models, views):
+            if len(held):
+                model.calibrate(view[held], y[held])
+        return models
+
+    for _ in range(rounds):
+        models = fitted()
+        found = _surest(measured, models, wanted, passed, math.log(confidence / (1 - confidence)))
+        for kind, (_, learner, label_) in enumerate(KINDS):
+            part = found.filter(pc.equal(found["kind"], kind))
+            if part.num_rows:
+                rows[learner] = np.vstack([rows[learner], _views(part, slots)[learner]])
+                targets[learner] = np.r_[targets[learner], np.full(part.num_rows, float(label_))]
+                passed[learner].update(part["doc_id"].to_pylist())
+    return Model(*fitted(), prior=math.log(y.mean() / (1 - y.mean())))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -262,19 +337,15 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
         nothing = [F.lit(None).cast("double").alias(n) for n in ADDED[:3]]
         return rows.select("*", *nothing, F.lit(True).alias("keep"))
     out = to_arrow_schema(schema)
-    used = [names.index(n) for n in ("text", "lang", "source", "n_chars")]
+    text, *record = [names.index(n) for n in ("text", "lang", "source", "n_chars")]
 
     def run(batches):
         known: dict[str, int] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(at, BATCH_ROWS)
-                views = _features([part.column(i).to_pylist() for i in used], known)
-                odds = [m.odds(v) for m, v in zip((model.text, model.metadata), views)]
-                made = [1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in (*odds, sum(odds) / 2)]
-                columns = [*part.columns, *map(pa.array, made), pa.array(made[2] >= threshold)]
-                yield pa.record_batch(
-                    [c.cast(f.type) for c, f in zip(columns, out)], schema=out
-                )
+        for part in _parts(batches):
+            texts = _text_view(part.column(text).to_pylist(), known)
+            around = _metadata_view([part.column(i).to_pylist() for i in record], known)
+            made = [1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in model.odds(texts, around)]
+            columns = [*part.columns, *map(pa.array, made), pa.array(made[2] >= threshold)]
+            yield pa.record_batch([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
 
     return rows.mapInArrow(run, schema)

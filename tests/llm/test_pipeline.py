@@ -2,12 +2,15 @@
 
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import connect, differences
 from reelhouse.llm import queries
+from reelhouse.session import new_work_path
 from tests.conftest import SAMPLE_FOLDER
 
 
@@ -107,3 +110,24 @@ def test_language_stage_keeps_all_lettered_texts(spark, lang):
     found = corpus_pipeline.identify_language(spark, docs.union(odd), SAMPLE_FOLDER)
     assert found.columns == docs.columns
     assert sorted(map(repr, found.collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_language_stage_names_the_language_of_documents_without_one(spark):
+    docs = spark.read.parquet(f"{SAMPLE_FOLDER}/documents.parquet")
+    given = {r.doc_id: r.lang for r in docs.collect()}
+    some = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    found = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, some, SAMPLE_FOLDER).collect()}
+    filled = [i for i in found if i % 5 == 0 and given[i]]
+    assert len(filled) > 100
+    assert all(found[i] == given[i] for i in found if i % 5)
+    assert sum(found[i] == given[i] for i in filled) >= 0.98 * len(filled)
+
+
+def test_run_leaves_the_last_table_only(spark):
+    folder = new_work_path(spark, "sample")
+    for table in ("documents", "labels"):
+        spark.read.parquet(f"{SAMPLE_FOLDER}/{table}.parquet").limit(60).write.parquet(f"{folder}/{table}.parquet")
+    rows = corpus_pipeline.run(spark, folder)
+    assert rows.count() > 0
+    (used,) = {Path(f.removeprefix("file:")).parent for f in rows.inputFiles()}
+    assert [p.name for p in used.parent.iterdir()] == ["packing"]
