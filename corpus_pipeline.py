@@ -13,24 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.llm import cotraining, hd_language, near_copies, vector_packing
-from reelhouse.session import new_work_path
+from reelhouse.session import new_work_path, remove_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _filtered(docs: DataFrame, added: tuple[str, ...], judge, keep) -> DataFrame:
-    """Rows that ``keep`` accepts of what ``judge`` adds; columns of ``docs`` named so are set aside."""
+def _filtered(docs: DataFrame, added: tuple[str, ...], judge, keep, filled=None) -> DataFrame:
+    """Rows that ``keep`` accepts of what ``judge`` adds; columns of ``docs`` named so are set aside.
+
+    ``filled`` holds new values of other columns, made from what was added.
+    """
     aside = {c: f"given {c}" for c in docs.columns if c.lower() in added}
     judged = judge(docs.withColumnsRenamed(aside)).where(keep)
     back = {new: old for old, new in aside.items()}
-    rows = judged.drop(*added).withColumnsRenamed(back)
+    rows = judged.withColumns(filled or {}).drop(*added).withColumnsRenamed(back)
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: a null text, or one without a letter.
+    """Drop documents in no language: a null text, or one without a letter; name the others' language.
 
-    Every other document stays, also if no row names a language to learn, or one is named ``und``.
+    A document whose ``lang`` is null gets the predicted one, which the later stages read; where none was
+    learned it stays null. A given ``lang`` is left as it is, and every document with a letter stays.
     """
     prototypes = hd_language.learn(docs.where(~hd_language.held_out(F.col("doc_id"))))
     return _filtered(
@@ -38,6 +42,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         ("lang_pred", "score", "lettered"),
         lambda rows: hd_language.identify(rows, prototypes, lettered=True),
         F.col("lettered"),
+        {"lang": F.coalesce("lang", F.nullif("lang_pred", F.lit(hd_language.UNKNOWN)))},
     )
 
 
@@ -74,10 +79,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each stage's rows are a Parquet table."""
+    """All stages over the documents of ``sf_dir``; each stage's rows are a Parquet table.
+
+    A stage's table is removed once the next one's is written; the last one stays.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = new_work_path(spark, "corpus")
+    folder, before = new_work_path(spark, "corpus"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_path(spark, before)
+        before = f"{folder}/{name}"
+        docs = spark.read.parquet(before)
     return docs
