@@ -6,11 +6,12 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.work_folder import fresh_folder, name_work_folder
 from reelhouse import fixed_values as fixed
+from reelhouse import schemas
 from reelhouse.functions import events as event_fn
 from reelhouse.operators import event_windows, quality, watermarks
 from reelhouse.operators.dedup import repeated_keys
@@ -18,8 +19,10 @@ from reelhouse.operators.pruned_products import top_products
 from reelhouse.plans import bronze, evaluation, gold, insights, live, recommender, replicas, silver
 from reelhouse.plans.lakehouse import Lakehouse
 from reelhouse.plans.partials import PartialTables
+from reelhouse.plans.rating_batches import RatingBatches
 from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources import csv_files, event_log, message_segments
+from reelhouse.sources.batch_table import BatchTable
 from reelhouse.sources.sample_views import SampleViews
 from reelhouse.streaming import jobs, keyed_results
 
@@ -177,6 +180,34 @@ def rerun_row_counts(v: SampleViews) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@_query
+def rerun_one_batch(v: SampleViews) -> DataFrame:
+    """Batches of plain Parquet, the first stored with other rows at first: totals of each."""
+    table = BatchTable(v.spark, fresh_folder(v.spark, "rerun_one_batch"), schemas.RATINGS_CSV)
+    split = bronze.split_ratings(v.ratings_raw(), CUTOFF_YEAR)
+    table.write(split.limit(50), fixed.FIRST_RATINGS_BATCH)
+    table.write(split, F.col("batch_id"))
+    table.write(split.filter(F.col("batch_id") == fixed.FIRST_RATINGS_BATCH), fixed.FIRST_RATINGS_BATCH)
+    return table.read().groupBy("batch_id").agg(
+        F.count("*").alias("ratings"),
+        F.min("timestamp").alias("first_timestamp"),
+        F.max("timestamp").alias("last_timestamp"),
+        F.sum("rating").alias("stars"),
+    )
+
+
+@_query
+def silver_incremental(v: SampleViews) -> DataFrame:
+    """Cleaned ratings from three batches that share keys, one of them loaded twice."""
+    batches = RatingBatches(v.spark, fresh_folder(v.spark, "silver_incremental"))
+    raw = v.ratings_raw()
+    batches.load(raw.filter("userId % 3 = 0"))
+    for _ in range(2):
+        batches.load(raw.filter("movieId % 2 = 0"))
+    batches.load(raw)
+    return batches.cleaned()
+
+
 @_query
 def gold_presence(v: SampleViews) -> DataFrame:
     """Whether recommendations are stored, before and after they are."""
@@ -316,21 +347,19 @@ def rating_distribution(v: SampleViews) -> DataFrame:
 def genre_decade_sorted(v: SampleViews) -> DataFrame:
     """The stored statistics in reading order, with each row's place."""
     rows = _stored(v, "genre_decade_sorted", "aggregate").genre_decade_in_order()
-    return _placed(rows, "genre", "decade")
+    return _placed(rows, ["genre", "decade"], "genre", "decade")
 
 
 @_query
 def distribution_sorted(v: SampleViews) -> DataFrame:
     rows = _stored(v, "distribution_sorted", "aggregate").distribution_in_order()
-    return _placed(rows, "rating", "total")
+    return _placed(rows, ["rating"], "rating", "total")
 
 
-def _placed(rows: DataFrame, *columns: str) -> DataFrame:
-    """Place of each of a report's few rows, as they come."""
-    read = [tuple(r[c] for c in columns) + (i,) for i, r in enumerate(rows.collect())]
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in columns)
-    return rows.sparkSession.createDataFrame(read, f"{schema}, place int")
+def _placed(rows: DataFrame, order: list[str], *columns: str) -> DataFrame:
+    """Each row of a report with its place in the report's order; reports are short."""
+    place = (F.row_number().over(Window.orderBy(*order)) - 1).alias("place")
+    return rows.select(*columns, place)
 
 
 @_query
@@ -543,8 +572,11 @@ def user_reco_docs(v: SampleViews) -> DataFrame:
 
 @_query
 def user_reco_doc(v: SampleViews) -> DataFrame:
+    """One user's nested rows, out of one bucket of the stored documents."""
+    path = fresh_folder(v.spark, "user_reco_doc")
     documents = replicas.user_documents(v.recommendation_scores())
-    return live.user_document(documents, USER_ID).select(
+    replicas.store_buckets(documents, "checked_user_documents", path, "user_id", buckets=8)
+    return live.user_document(v.spark.table("checked_user_documents"), USER_ID).select(
         "user_id",
         F.size("items").alias("n_items"),
         F.array_join(F.col("items.movie_id").cast("array<string>"), ",").alias("movie_ids"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
@@ -35,3 +35,16 @@ def has_text(tag: Column) -> Column:
 
 def rounded_mean(total: Column, rows: Column, digits: int = 3) -> Column:
     return F.round(total.cast("double") / rows, digits)
+
+
+def cleaned(winners: DataFrame) -> DataFrame:
+    """Deduped ratings that are in range, with their dates."""
+    return winners.filter(rating_in_range(F.col("rating"))).select(
+        "userId",
+        "movieId",
+        "rating",
+        normalized_rating(F.col("rating")).alias("rating_normalized"),
+        rating_time(F.col("timestamp")).alias("rating_date"),
+        rating_year(F.col("timestamp")).alias("rating_year"),
+        "timestamp",
+    )

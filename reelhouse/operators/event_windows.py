@@ -40,14 +40,16 @@ def trending(
     events: DataFrame,
     window_seconds: int = fixed.TRENDING_WINDOW_SECONDS,
     slide_seconds: int | None = None,
-    fold: bool = True,
+    fold: bool | None = None,
 ) -> DataFrame:
     """Events of any type per movie and window, with the first title seen.
 
     Windows tumble unless ``slide_seconds`` is given. ``fold`` gives the same rows
-    either way: folding pays where a pane holds many events of a movie, and costs a
-    step where it holds about one. Streams are never folded.
+    either way: folding pays where a pane holds many events of a movie, or goes into many
+    windows, and costs a step where it holds about one. By default sliding windows are
+    folded and tumbling ones are not. Streams are never folded.
     """
+    fold = slide_seconds is not None if fold is None else fold
     known = _timed(events).filter(F.col("movie_id").isNotNull())
     has_title = F.col("movie_title") != ""
     first = F.min(F.when(has_title, F.struct("event_ts", "movie_title"))).alias("first")

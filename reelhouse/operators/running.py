@@ -1,10 +1,10 @@
-"""Running aggregates over a whole table without a window over all its rows."""
+"""Running aggregates over a whole table or a large key without a window over all its rows."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse.session import ensure_checkpoint_dir
@@ -58,3 +58,30 @@ def running_max(
     largest = F.greatest("running inside", "running outside").alias(name)
     kept = [F.col(f"`{c}`") for c in rows.columns if c != name]
     return inside.join(before, "running part").select(*kept, largest)
+
+
+def place_in_key(
+    rows: DataFrame, key: str, order: list[Column], name: str, rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
+    """Add ``name``: the place, from 0, of each row among those of its ``key`` in ``order``.
+
+    Rows are cut by key and order into ranges of about ``rows_per_part`` and stored. They are numbered
+    within their range, and start from the number of the key's rows in the ranges before, so a key of any
+    size is spread over tasks. Rows that ``order`` can't tell apart get their places as they come.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    parts = max(1, math.ceil(rows.count() / rows_per_part))
+    ranged = rows.repartitionByRange(parts, F.col(key), *order)
+    stored = ranged.withColumn("running part", F.spark_partition_id()).checkpoint()
+    inside = Window.partitionBy("running part", key).orderBy(*order)
+    numbered = stored.withColumn("running place", F.row_number().over(inside) - 1)
+    earlier = Window.partitionBy(key).orderBy("running part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy(key, "running part").agg(F.count("*").alias("n"))
+    starts = sizes.select(
+        F.col(key).alias("running key"),
+        F.col("running part").alias("running range"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("running start"),
+    )
+    same = numbered[key].eqNullSafe(starts["running key"]) & (numbered["running part"] == starts["running range"])
+    kept = [numbered[f"`{c}`"] for c in rows.columns if c != name]
+    return numbered.join(starts, same).select(*kept, (F.col("running start") + F.col("running place")).alias(name))

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.functions.ratings import rounded_mean
+from reelhouse.sources.batch_table import BatchTable
 
-GENRE_DECADE = "genre string, decade int, stars double, rated long, n long, batch_id string"
-DISTRIBUTION = "rating double, n long, batch_id string"
+GENRE_DECADE = "genre string, decade int, stars double, rated long, n long"
+DISTRIBUTION = "rating double, n long"
 
 
 def genre_decade_partials(enriched: DataFrame) -> DataFrame:
@@ -42,28 +43,21 @@ class PartialTables:
     """Partials of both aggregates below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def _store(self, partials: DataFrame, name: str, batch_id: str) -> None:
-        rows = partials.withColumn("batch_id", F.lit(batch_id))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch_id").parquet(f"{self.root}/{name}")
+        self.genre_decade = BatchTable(spark, f"{root}/genre_decade", GENRE_DECADE)
+        self.distribution = BatchTable(spark, f"{root}/distribution", DISTRIBUTION)
 
     def load(self, enriched: DataFrame, batch_id: str) -> None:
         """Take up a batch of cleaned ratings, or put it in the place of an earlier load of it."""
-        self._store(genre_decade_partials(enriched), "genre_decade", batch_id)
-        self._store(distribution_partials(enriched), "distribution", batch_id)
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        self.genre_decade.write(genre_decade_partials(enriched), batch_id)
+        self.distribution.write(distribution_partials(enriched), batch_id)
 
     def genre_decade_stats(self) -> DataFrame:
         """As ``gold.genre_decade_stats`` over all batches."""
         mean = rounded_mean(F.sum("stars"), F.nullif(F.sum("rated"), F.lit(0)))
-        return self._read("genre_decade", GENRE_DECADE).groupBy("genre", "decade").agg(
+        return self.genre_decade.read().groupBy("genre", "decade").agg(
             mean.alias("avg_rating"), F.sum("n").alias("total_ratings")
         )
 
     def rating_distribution(self) -> DataFrame:
         """As ``gold.rating_distribution`` over all batches."""
-        return self._read("distribution", DISTRIBUTION).groupBy("rating").agg(F.sum("n").alias("total"))
+        return self.distribution.read().groupBy("rating").agg(F.sum("n").alias("total"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.operators.quality import QualityError
+from reelhouse.operators.running import ROWS_PER_PART, place_in_key
 from reelhouse.plans.gold import recommended_movies
 from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources.lake import LakeTable
@@ -16,21 +17,20 @@ from reelhouse.sources.lake import LakeTable
 PAGE_ITEMS = 1_000
 
 
-def user_documents(recommendations: DataFrame, page_items: int = PAGE_ITEMS) -> DataFrame:
+def user_documents(
+    recommendations: DataFrame, page_items: int = PAGE_ITEMS, rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
     """A user's recommendations nested, best first, in pages of ``page_items``.
 
     Scores that are missing come last, equal ones go by movie. Page 0 holds the best,
-    and a user of any size is kept whole, with a bounded number of items a row.
+    and a user of any size is kept whole, with a bounded number of items a row. A large user's rows
+    are split by score before any of them are ordered.
     """
-    best_first = Window.partitionBy("userId").orderBy(
-        F.desc_nulls_last("predicted_score"), "movieId"
-    )
-    placed = recommendations.select(
-        F.col("userId").alias("user_id"),
-        (F.row_number().over(best_first) - 1).alias("place"),
-        F.col("movieId").alias("movie_id"),
-        "predicted_score",
+    rows = recommendations.select(
+        F.col("userId").alias("user_id"), F.col("movieId").alias("movie_id"), "predicted_score"
     )
+    best_first = [F.desc_nulls_last("predicted_score"), F.col("movie_id")]
+    placed = place_in_key(rows, "user_id", best_first, "place", rows_per_part)
     items = F.sort_array(F.collect_list(F.struct("place", "movie_id", "predicted_score")))
     page = F.floor(F.col("place") / page_items).cast("int").alias("page")
     return placed.groupBy("user_id", page).agg(
@@ -48,6 +48,16 @@ def for_point_reads(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(key).sortWithinPartitions(key)
 
 
+def store_buckets(rows: DataFrame, table: str, path: str, key: str, buckets: int = 64) -> None:
+    """Store ``rows`` as a catalog table at ``path``, in ``buckets`` by hash of ``key``.
+
+    One task writes a bucket, sorted by key. A lookup of one key opens the files of one bucket.
+    """
+    dealt = rows.repartition(buckets, key)
+    writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    writer.format("parquet").saveAsTable(table)
+
+
 def require_unique(flat: DataFrame) -> None:
     """Fail on a repeated (user, movie)."""
     copies = flat.groupBy("user_id", "movie_id").agg(F.count("*").alias("copies"))

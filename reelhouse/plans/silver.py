@@ -40,27 +40,23 @@ def clean_movies(movies: DataFrame) -> DataFrame:
     )
 
 
-def clean_ratings(ratings: DataFrame) -> DataFrame:
-    """One rating per user, movie and second (the highest), in range, with dates.
+def winners(ratings: DataFrame) -> DataFrame:
+    """One rating per user, movie and second: the highest, in range or not.
 
     The key holds everything but the rating, so the dedupe is a plain hash
     aggregate: copies fold inside each task and no task sorts. Key filters come
-    before it because they cannot change which copy wins; the range filter
-    comes after because it can.
+    before it because they cannot change which copy wins.
     """
     keyed = ratings.filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
-    single = keyed.groupBy("userId", "movieId", "timestamp").agg(
-        F.max("rating").alias("rating")
-    )
-    return single.filter(rating_fn.rating_in_range(F.col("rating"))).select(
-        "userId",
-        "movieId",
-        "rating",
-        rating_fn.normalized_rating(F.col("rating")).alias("rating_normalized"),
-        rating_fn.rating_time(F.col("timestamp")).alias("rating_date"),
-        rating_fn.rating_year(F.col("timestamp")).alias("rating_year"),
-        "timestamp",
-    )
+    return keyed.groupBy("userId", "movieId", "timestamp").agg(F.max("rating").alias("rating"))
+
+
+def clean_ratings(ratings: DataFrame) -> DataFrame:
+    """One rating per user, movie and second (the highest), in range, with dates.
+
+    The range filter comes after the dedupe because it can change which copy wins.
+    """
+    return rating_fn.cleaned(winners(ratings))
 
 
 def clean_tags(tags: DataFrame) -> DataFrame:

@@ -12,13 +12,13 @@ import math
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from reelhouse.operators import event_windows
 from reelhouse.session import ensure_checkpoint_dir, remove_path
+from reelhouse.sources.batch_table import stored_or_empty
 
 DATE = "window_date"
 FILE_BYTES = 128 * 1024**2
@@ -29,16 +29,6 @@ def dates_of(rows: DataFrame) -> list[date]:
     return [r[0] for r in rows.select(DATE).distinct().orderBy(DATE).collect()]
 
 
-def stored(spark: SparkSession, path: str, schema) -> DataFrame:
-    """What is stored, or an empty table before the first batch."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def _overwrite_dates(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
 
@@ -51,7 +41,7 @@ def replace_keys(rows: DataFrame, path: str, keys: Sequence[str]) -> list[date]:
     spark = rows.sparkSession
     dates = dates_of(rows)
     if dates:
-        before = stored(spark, path, rows.schema).filter(F.col(DATE).isin(dates))
+        before = stored_or_empty(spark, path, rows.schema).filter(F.col(DATE).isin(dates))
         kept = before.join(rows.select(*keys), list(keys), "left_anti").select(*rows.columns)
         _overwrite_dates(rows.unionByName(kept).hint("rebalance", DATE), path)
     return dates
@@ -135,7 +125,7 @@ def backfill(
     events_of = [r[0] for r in touched.select(days.alias("day")).distinct().orderBy("day").collect()]
     windows = compute(read_events(events_of), window_seconds, slide_seconds)
     fresh = windows.join(touched, ["window_start", "window_end"], "left_semi").withColumn(DATE, F.to_date("window_end"))
-    before = stored(spark, path, fresh.schema).filter(F.col(DATE).isin(dates))
+    before = stored_or_empty(spark, path, fresh.schema).filter(F.col(DATE).isin(dates))
     kept = before.join(touched, ["window_start", "window_end"], "left_anti").select(*fresh.columns)
     rows = fresh.unionByName(kept).hint("rebalance", DATE).checkpoint()
     _overwrite_dates(rows, path)
