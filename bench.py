@@ -124,7 +124,7 @@ def report_times(spark, house: Lakehouse, files: str) -> dict[str, float]:
         "store_user_documents": store_documents,
         "window_trending": lambda: consume(event_windows.trending(events)),
         "window_trending_direct": lambda: consume(event_windows.trending(events, fold=False)),
-        "window_trending_1d": lambda: consume(event_windows.trending(events, registry.DAY)),
+        "window_trending_1d": lambda: consume(event_windows.trending(events, registry.DAY, fold=True)),
         "window_trending_1d_direct": lambda: consume(
             event_windows.trending(events, registry.DAY, fold=False)
         ),
