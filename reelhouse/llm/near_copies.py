@@ -135,8 +135,10 @@ def _hub_pairs(shared: DataFrame) -> DataFrame:
     hubs = hubs.select("band", "key", F.col("rep").alias("hub"))
     met = shared.join(shuffled(hubs), ["band", "key"]).where("rep <> hub")
     pairs = met.select("band", F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-    counted = pairs.groupBy("a", "b").agg(F.countDistinct("band").alias("bands"))
-    return counted.where(F.col("bands") >= SHARED_BANDS).select("a", "b")
+    # Two hubs meet twice in a band. A mask counts it once, and is merged before the only shuffle by pair.
+    in_band = F.bit_or(F.expr("shiftleft(1L, band)")).alias("in_band")
+    masks = pairs.groupBy("a", "b").agg(in_band)
+    return masks.where(F.bit_count("in_band") >= SHARED_BANDS).select("a", "b")
 
 
 def _open_pairs(

@@ -59,3 +59,24 @@ def test_one_band_that_many_rows_share(spark):
     assert sorted(rows_of(found)) == [(i, i + 1) for i in range(0, 10, 2)]
     tiles = -(-n // near_copies.TILE_ROWS)
     assert tiles * n * 2 <= 20 * n
+
+
+def test_pairs_with_the_best_connected_rows(spark):
+    """Those that share enough bands with a hub, against plain Python; ids repeat over bands."""
+    draw = np.random.default_rng(5)
+    bands = draw.integers(0, 12, (60, near_copies.BANDS)).tolist()
+    texts = spark.createDataFrame(list(enumerate(bands)), "rep long, bands array<long>").repartition(4)
+    found = rows_of(near_copies._hub_pairs(near_copies._shared_buckets(texts)))
+    buckets = {}
+    for rep, keys in enumerate(bands):
+        for band, key in enumerate(keys):
+            buckets.setdefault((band, key), []).append(rep)
+    buckets = {k: reps for k, reps in buckets.items() if len(reps) > 1}
+    met = {rep: sum(len(r) for r in buckets.values() if rep in r) for rep in range(60)}
+    common = {}
+    for (band, _), reps in buckets.items():
+        hubs = sorted(reps, key=lambda r: (-met[r], r))[: near_copies.HUBS]
+        for a, b in {(min(r, h), max(r, h)) for r in reps for h in hubs if r != h}:
+            common.setdefault((a, b), set()).add(band)
+    assert sorted(found) == sorted(p for p, b in common.items() if len(b) >= near_copies.SHARED_BANDS)
+    assert found and len(found) < len(common)
