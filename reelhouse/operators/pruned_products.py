@@ -6,28 +6,37 @@ exceeds the user's length times the block's, and none exceeds the sum of each co
 A user goes through the blocks in order and multiplies only those whose bound reaches the score in
 last place so far; once the lengths alone rule a block out, they rule out all that follow.
 
-Items travel to the tasks in chunks of bounded size. With more items than one chunk holds, users pass
-through the chunks one after the other, and only those go on whom the next chunk may still concern.
+Users are dealt to groups of bounded size. Each group gets a copy of the items by shuffle, longest
+first, and its task takes them in chunks as they arrive: nothing passes through the driver, and a task
+holds one group and one chunk. A group is done with its items once lengths rule out the rest for all.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from reelhouse.session import ensure_checkpoint_dir
+from pyspark.sql import types as T
 
 BLOCK_ITEMS = 256
-BATCH_USERS = 1_024
-#: Items that are sent to the tasks together: at 100 doubles each, about 100 MB.
-CHUNK_ITEMS = 1 << 17
+BATCH_USERS = 4_096
+#: Blocks whose bounds are worked out together.
+BOUND_BLOCKS = 64
+#: Items that are multiplied together: at 100 doubles each, about 13 MB.
+CHUNK_ITEMS = 1 << 14
+#: Vectors and lists of one group of users.
+GROUP_BYTES = 128 * 1024**2
+#: A group smaller than this is not worth a copy of the items.
+GROUP_USERS = 1_024
 #: Share that covers the rounding of a bound.
 SLACK = 1e-9
-_STATE = "user long, vector array<double>, items array<long>, scores array<double>, multiplied long"
+#: The id of a free place in a list.
+FREE = np.iinfo(np.int64).max
+_STATE = "user long, items array<long>, scores array<double>, multiplied long"
 
 
 class Blocks:
@@ -41,11 +50,17 @@ class Blocks:
         self.starts, self.longest = starts, length[order][starts]
         self.low = np.minimum.reduceat(self.vectors, starts, axis=0)
         self.high = np.maximum.reduceat(self.vectors, starts, axis=0)
+        self.widest = np.maximum(np.abs(self.low), np.abs(self.high)).max(axis=1)
+
+    def bounds(self, users: np.ndarray, first: int, last: int) -> np.ndarray:
+        """What no product of a user exceeds in each of the blocks ``first`` to ``last`` - 1."""
+        part = slice(first, last)
+        best = np.maximum(users, 0) @ self.high[part].T + np.minimum(users, 0) @ self.low[part].T
+        return best + SLACK * np.abs(users).sum(axis=1)[:, None] * self.widest[part]
 
-    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, float, np.ndarray, np.ndarray]]:
-        for n, at in enumerate(self.starts):
-            part = slice(at, at + BLOCK_ITEMS)
-            yield self.ids[part], self.vectors[part], self.longest[n], self.low[n], self.high[n]
+    def block(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.starts[n], self.starts[n] + BLOCK_ITEMS)
+        return self.ids[part], self.vectors[part]
 
 
 def products(users: np.ndarray, items: np.ndarray) -> np.ndarray:
@@ -66,28 +81,37 @@ def improve(
     length = np.sqrt((users**2).sum(axis=1))
     multiplied = np.zeros(len(users), np.int64)
     active = np.arange(len(users))
-    for item_ids, vectors, longest, low, high in blocks:
-        least = scores[active, k - 1]
-        reach = length[active] * longest
-        active = active[reach + SLACK * np.abs(reach) >= least]
-        if not len(active):
-            break
-        own, least = users[active], scores[active, k - 1]
-        best = np.maximum(own * low, own * high).sum(axis=1)
-        size = np.abs(own).sum(axis=1) * np.maximum(np.abs(low), np.abs(high)).max()
-        open_ = best + SLACK * size >= least
-        some = active[open_]
+    for n, longest in enumerate(blocks.longest):
+        if n % BOUND_BLOCKS == 0:
+            reach = length[active] * longest
+            active = active[reach + SLACK * np.abs(reach) >= scores[active, k - 1]]
+            if not len(active):
+                break
+            bounds = blocks.bounds(users[active], n, n + BOUND_BLOCKS)
+        # Not "at least": a bound that overflows to no number rules nothing out.
+        some = active[~(bounds[:, n % BOUND_BLOCKS] < scores[active, k - 1])]
         if not len(some):
             continue
+        item_ids, vectors = blocks.block(n)
         multiplied[some] += len(item_ids)
-        found = products(users[some], vectors)
-        row, column = np.nonzero(found >= scores[some, k - 1][:, None])
+        least = scores[some, k - 1]
+        # A fast product, off by less than the slack, says which are worth the exact one.
+        near = users[some] @ vectors.T
+        slack = SLACK * longest * length[some]
+        near += slack[:, None]
+        if k < len(item_ids) and np.isneginf(least).any():
+            # The best of the block itself rule out the others while the lists are filling.
+            least = np.fmax(least, np.partition(near, -k, axis=1)[:, -k] - 2 * slack)
+        row, column = np.nonzero(~(near < least[:, None]))
+        found = _pairwise(users[some], vectors, row, column)
+        better = found >= scores[some[row], k - 1]
+        row, column, found = row[better], column[better], found[better]
         hit = np.unique(row)
         if not len(hit):
             continue
         # The old lists of users with a hit, and the hits, ordered together.
         number = np.r_[np.repeat(hit, k), row]
-        score = np.r_[scores[some[hit]].ravel(), found[row, column]]
+        score = np.r_[scores[some[hit]].ravel(), found]
         item = np.r_[ids[some[hit]].ravel(), item_ids[column]]
         order = np.lexsort((item, -score, number))
         number = number[order]
@@ -97,46 +121,95 @@ def improve(
     return multiplied
 
 
-def _state_schema() -> pa.Schema:
-    longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
-    kinds = [("user", pa.int64()), ("vector", doubles), ("items", longs), ("scores", doubles)]
-    return pa.schema([*kinds, ("multiplied", pa.int64())])
+def _pairwise(users: np.ndarray, items: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The products of users ``row`` and items ``column``, each summed up as ``products`` does."""
+    total = np.zeros(len(row))
+    for j in range(users.shape[1]):
+        total += users[row, j] * items[column, j]
+    return total
 
 
-def _improved(blocks, k: int):
-    """A pass of users (user, vector, items, scores, multiplied) through a broadcast chunk."""
-    out = _state_schema()
-    free = np.iinfo(np.int64).max
+class _Group:
+    """The lists of a group's users, bettered by chunk after chunk of items."""
+
+    def __init__(self, k: int, chunk_items: int):
+        self.k, self.chunk_items = k, chunk_items
+        self.waiting, self.held, self.users = [], 0, None
+
+    def _matrix(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = pa.Table.from_batches(self.waiting)
+        self.waiting, self.held = [], 0
+        vectors = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return rows["id"].to_numpy(), vectors.astype(np.float64).reshape(rows.num_rows, -1)
+
+    def _begin(self) -> None:
+        self.users, self.vectors = self._matrix() if self.waiting else (np.zeros(0, np.int64), None)
+        shape = (len(self.users), self.k)
+        self.ids, self.scores = np.full(shape, FREE), np.full(shape, -np.inf)
+        self.multiplied = np.zeros(len(self.users), np.int64)
+
+    def _take(self) -> None:
+        blocks = Blocks(*self._matrix())
+        for at in range(0, len(self.users), BATCH_USERS):
+            part = slice(at, at + BATCH_USERS)
+            self.multiplied[part] += improve(self.vectors[part], blocks, self.k, self.ids[part], self.scores[part])
+
+    def add(self, rows: pa.RecordBatch, are_items: bool) -> None:
+        """Take in users, all of them before the first item, or items."""
+        if are_items and self.users is None:
+            self._begin()
+        for at in range(0, rows.num_rows, self.chunk_items):
+            part = rows.slice(at, self.chunk_items)
+            self.waiting.append(part)
+            self.held += part.num_rows
+            if are_items and self.held >= self.chunk_items:
+                self._take()
+
+    def lists(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.users is None:
+            self._begin()
+        elif self.waiting:
+            self._take()
+        for at in range(0, len(self.users), BATCH_USERS):
+            part = slice(at, at + BATCH_USERS)
+            filled = self.ids[part] < FREE
+            ends = pa.array(np.r_[0, np.cumsum(filled.sum(axis=1))].astype(np.int32))
+            picks = [pa.ListArray.from_arrays(ends, pa.array(x[part][filled])) for x in (self.ids, self.scores)]
+            columns = [pa.array(self.users[part]), *picks, pa.array(self.multiplied[part])]
+            yield pa.record_batch(columns, schema=schema)
+
+
+def _lists(k: int, chunk_items: int):
+    """Top lists of a partition's users; rows come by group, its users first, then items, longest first."""
+    kinds = [("user", pa.int64()), ("items", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))]
+    schema = pa.schema([*kinds, ("multiplied", pa.int64())])
 
     def run(batches):
+        number, group = None, None
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_USERS):
-                part = batch.slice(at, BATCH_USERS)
-                n = part.num_rows
-                vectors = part.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-                held = part.column("items").value_lengths().to_numpy()
-                ids, scores = np.full((n, k), free), np.full((n, k), -np.inf)
-                filled = np.arange(k) < held[:, None]
-                ids[filled] = part.column("items").flatten().to_numpy(zero_copy_only=False)
-                scores[filled] = part.column("scores").flatten().to_numpy(zero_copy_only=False)
-                done = improve(vectors, blocks.value, k, ids, scores)
-                filled = ids < free
-                ends = pa.array(np.r_[0, np.cumsum(filled.sum(axis=1))].astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x[filled])) for x in (ids, scores)]
-                total = pa.array(part.column("multiplied").to_numpy() + done)
-                yield pa.record_batch([part.column("user"), part.column("vector"), *lists, total], schema=out)
+            groups = batch.column("group").to_numpy()
+            items = batch.column("item").to_numpy(zero_copy_only=False)
+            changes = (groups[1:] != groups[:-1]) | (items[1:] != items[:-1])
+            edges = np.r_[0, np.flatnonzero(changes) + 1, len(groups)]
+            for at, end in zip(edges[:-1], edges[1:]):
+                if at == end:
+                    continue
+                if groups[at] != number:
+                    if group:
+                        yield from group.lists(schema)
+                    number, group = groups[at], _Group(k, chunk_items)
+                group.add(batch.slice(at, end - at), bool(items[at]))
+        if group:
+            yield from group.lists(schema)
 
     return run
 
 
-def _chunk_bounds(items: DataFrame, chunk_items: int) -> list[float]:
-    """Sizes, largest first, at which the items are cut into chunks of about ``chunk_items``."""
-    chunks = -(-items.count() // chunk_items)
-    if chunks < 2:
-        return []
-    shares = [F.lit(1 - n / chunks) for n in range(1, chunks)]
-    cut = F.percentile_approx("size", F.array(*shares), 100 * chunks)
-    return sorted(set(items.agg(cut.alias("cut")).first().cut), reverse=True)
+def _groups(users: DataFrame, k: int) -> int:
+    """How many groups of users there are: as many as cores, and as GROUP_BYTES asks for."""
+    sizes = users.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
+    needed = math.ceil(sizes.n * 8 * ((sizes.width or 0) + 2 * k) / GROUP_BYTES)
+    return max(needed, min(users.sparkSession.sparkContext.defaultParallelism, math.ceil(sizes.n / GROUP_USERS)), 1)
 
 
 def top_products(
@@ -149,43 +222,28 @@ def top_products(
     all are listed. Null ids or vectors, and vectors with null or non-finite components, take no part;
     ids must not repeat. Without items every user has empty lists.
     """
-    spark = users.sparkSession
-    ensure_checkpoint_dir(spark)
     finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))
     usable = F.col("id").isNotNull() & F.col("vector").isNotNull() & finite
-    doubles = [F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector")]
-    users, items = (side.where(usable).select(*doubles) for side in (users, items))
-    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    # Equal lengths are told apart by a hash, so that they can be cut as well.
-    apart = F.lit(1.0) + F.pmod(F.xxhash64("id"), F.lit(1 << 20)) * 1e-13
-    items = items.withColumn("size", (F.sqrt(square) + F.lit(1e-300)) * apart)
-    bounds = _chunk_bounds(items, chunk_items)
-    if bounds:
-        items = items.checkpoint()
-    state = users.select(
-        F.col("id").alias("user"),
+    # Single precision is sent as it is, and multiplied in double.
+    single = all(side.schema["vector"].dataType == T.ArrayType(T.FloatType()) for side in (users, items))
+    vector = F.col("vector").cast("array<float>" if single else "array<double>").alias("vector")
+    users, items = (side.where(usable).select(F.col("id").cast("long").alias("id"), vector) for side in (users, items))
+    groups = _groups(users, k)
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
+    dealt = users.select(
+        F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group"),
+        F.lit(False).alias("item"),
+        F.lit(0.0).alias("length"),
+        "id",
         "vector",
-        F.lit(None).cast("array<long>").alias("items"),
-        F.lit(None).cast("array<double>").alias("scores"),
-        F.lit(0).cast("long").alias("multiplied"),
-    ).withColumns({c: F.coalesce(c, F.array().cast(f"array<{t}>")) for c, t in (("items", "long"), ("scores", "double"))})
-    finished = []
-    edges = [float("inf"), *bounds, 0.0]
-    for above, below in zip(edges, edges[1:]):
-        chunk = items.where((F.col("size") < above) & (F.col("size") >= below)).select("id", "vector")
-        table = chunk.toArrow()
-        if not table.num_rows:
-            continue
-        vectors = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        blocks = Blocks(table["id"].to_numpy(), vectors.reshape(table.num_rows, -1))
-        if finished or above < float("inf"):
-            # Users whom no shorter item can concern are done.
-            reach = F.sqrt(square) * float(blocks.longest[0]) * (1 + SLACK)
-            over = (F.size("scores") == k) & (F.element_at("scores", -1) > reach)
-            finished.append(state.where(over))
-            state = state.where(~over)
-        state = state.mapInArrow(_improved(spark.sparkContext.broadcast(blocks), k), _STATE)
-        state = state.checkpoint() if bounds else state
-    for done in finished:
-        state = state.unionByName(done)
-    return state.drop("vector")
+    )
+    copies = items.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
+        F.lit(True).alias("item"),
+        length.alias("length"),
+        "id",
+        "vector",
+    )
+    rows = dealt.unionByName(copies).repartitionById(groups, "group")
+    ordered = rows.sortWithinPartitions("group", "item", F.desc("length"), "id")
+    return ordered.drop("length").mapInArrow(_lists(k, chunk_items), _STATE)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
 from reelhouse.plans import recommender
+from reelhouse.session import ensure_checkpoint_dir
 
 HELD_SHARE = 0.2
 #: A held-out rating from here on makes its movie a relevant one.
@@ -96,10 +97,11 @@ def holdout_report(
     ratings: DataFrame, share: float = HELD_SHARE, seed: int = fixed.SAMPLE_SEED, blocks: int = fixed.ALS_BLOCKS
 ) -> DataFrame:
     """One row: how a model of the kept ratings does on those held out, with its lists' quality."""
-    kept, held = split(ratings, share, seed)
-    model = recommender.train(kept.select("userId", "movieId", "rating"), seed, blocks)
-    # Stored: the held-out rows would be drawn and scored once for each metric.
-    held = held.select("userId", "movieId", "rating").checkpoint()
+    # Stored: the ratings would be made and drawn once for the training and for each metric.
+    ensure_checkpoint_dir(ratings.sparkSession)
+    drawn = ratings.select("userId", "movieId", "rating", is_held(share, seed).alias("held")).checkpoint()
+    kept, held = (drawn.filter(F.col("held") == whether).drop("held") for whether in (False, True))
+    model = recommender.train(kept, seed, blocks)
     errors = rating_errors(scored_holdout(model, held))
     ranking = ranking_quality(user_quality(recommender.top_scores(model), held))
     whole = lambda row: row.select(F.struct("*")).scalar()

@@ -40,9 +40,11 @@ def train(
     """Explicit-feedback ALS.
 
     The model depends on ``blocks``, so it is an argument and never taken from the
-    cluster. Raise it for samples whose factor blocks outgrow a task.
+    cluster. Raise it for samples whose factor blocks outgrow a task. The sample is
+    stored first: MLlib reads it twice, to see whether it has rows and to deal them.
     """
     ensure_checkpoint_dir(sample.sparkSession)
+    sample = sample.checkpoint()
     als = ALS(
         maxIter=fixed.ALS_MAX_ITER,
         regParam=fixed.ALS_REG_PARAM,

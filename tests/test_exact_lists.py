@@ -70,6 +70,36 @@ def test_bounds_spare_products(spark):
     assert taken.sum() < 0.1 * 64 * 20_000
 
 
+def test_nothing_passes_through_the_driver(spark, monkeypatch):
+    """Neither items nor lists are collected, and a chunk more is no job more."""
+    collected = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "toArrow", lambda df: collected.append(df))
+    draw = np.random.default_rng(5)
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(np.abs(draw.normal(size=(300, 4))))]
+    jobs = lambda group: len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    taken = {}
+    for chunk in (300, 30):
+        spark.sparkContext.setJobGroup(f"lists {chunk}", "")
+        pruned_products.top_products(vectors(spark, rows), vectors(spark, rows), 10, chunk).collect()
+        taken[chunk] = jobs(f"lists {chunk}")
+    spark.sparkContext.setJobGroup("", "")
+    assert taken[30] == taken[300] and not collected
+
+
+def test_many_equal_products_stay_small():
+    """A first block in which all items tie: exact products are taken of pairs, not of copies of vectors."""
+    import tracemalloc
+
+    users, items = np.ones((4_096, 64)), np.ones((256, 64))
+    ids, scores = np.full((4_096, 10), np.iinfo(np.int64).max), np.full((4_096, 10), -np.inf)
+    tracemalloc.start()
+    pruned_products.improve(users, pruned_products.Blocks(np.arange(256), items), 10, ids, scores)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (ids == np.arange(10)).all() and peak < 300 * 1024**2
+
+
 def test_holdout_is_a_repeatable_share(sample):
     ratings = sample.ratings_clean()
     kept, held = evaluation.split(ratings)
