@@ -25,6 +25,8 @@ from reelhouse.sources.event_log import WIRE_SCHEMA
 PREFIX = "segment="
 DONE = "_SUCCESS"
 MESSAGES_PER_PARTITION = 1_000_000
+#: Messages decoded together, and bytes of a column read ahead.
+READ_ROWS, READ_BYTES = 10_000, 1 << 20
 
 
 def _opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -120,16 +122,25 @@ class _Log:
         return out
 
     def read(self, span: Span) -> Iterator:
-        """Record batches of a span; row groups outside it are not read."""
+        """Record batches of a span; row groups outside it are not read.
+
+        Pages are decoded as they are asked for, so that no row group is held as a whole.
+        """
         with self.files.open_input_file(span.file) as opened:
-            file = pq.ParquetFile(opened)
+            file = pq.ParquetFile(opened, buffer_size=READ_BYTES)
             at = 0
             for group in range(file.num_row_groups):
                 size = file.metadata.row_group(group).num_rows
                 begin, end = max(span.begin - at, 0), min(span.end - at, size)
                 if begin < end:
-                    rows = file.read_row_group(group, columns=["key", "value"])
-                    yield from rows.slice(begin, end - begin).to_batches()
+                    place = 0
+                    for rows in file.iter_batches(READ_ROWS, row_groups=[group], columns=["key", "value"]):
+                        first, last = max(begin - place, 0), min(end - place, rows.num_rows)
+                        if first < last:
+                            yield rows.slice(first, last - first)
+                        place += rows.num_rows
+                        if place >= end:
+                            break
                 at += size
 
 
