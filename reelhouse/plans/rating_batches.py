@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.functions import ratings as rating_fn
-from reelhouse.plans.silver import winners
-from reelhouse.session import ensure_checkpoint_dir
+from reelhouse.session import ensure_checkpoint_dir, open_side_by_side
 from reelhouse.sources.batch_table import stored_or_empty
 
 YEAR = "key_year"
 SCHEMA = f"userId int, movieId int, timestamp long, rating double, {YEAR} int"
 KEYS = ["userId", "movieId", "timestamp"]
+HAS_KEY = "userId is not null and movieId is not null"
 #: The year of ratings without a time.
 UNDATED = -1
 
@@ -32,28 +32,37 @@ class RatingBatches:
         return rows if years is None else rows.filter(F.col(YEAR).isin(years))
 
     def load(self, raw: DataFrame) -> list[int]:
-        """Take up a batch of raw ratings; loading it again changes nothing. Returns the years written."""
+        """Take up a batch of raw ratings; loading it again changes nothing. Returns the years written.
+
+        The batch and the stored rows of its years are folded by key in one shuffle, and the outcome is
+        stored before the years in which it changes something are written.
+        """
         ensure_checkpoint_dir(self.spark)
         year = F.coalesce(rating_fn.rating_year(F.col("timestamp")), F.lit(UNDATED)).alias(YEAR)
-        fresh = winners(raw).select(*KEYS, "rating", year).checkpoint()
+        fresh = raw.filter(HAS_KEY).select(*KEYS, "rating", year)
         years = _years(fresh)
         if not years:
             return []
-        before = self._stored(years).select(*[F.col(c).alias(f"old_{c}") for c in (*KEYS, "rating")])
-        same = (
-            (F.col("userId") == F.col("old_userId"))
-            & (F.col("movieId") == F.col("old_movieId"))
-            & F.col("timestamp").eqNullSafe(F.col("old_timestamp"))
+        both = self._stored(years).select(*KEYS, "rating", YEAR, F.lit(True).alias("old"))
+        both = both.unionByName(fresh.withColumn("old", F.lit(False)))
+        merged = (
+            both.groupBy(*KEYS, YEAR)
+            .agg(
+                F.max("rating").alias("rating"),
+                F.max(F.when(F.col("old"), F.col("rating"))).alias("old_rating"),
+                F.max("old").alias("known"),
+            )
+            # A new key, or a higher rating than the stored one; nulls are the lowest.
+            .withColumn("changed", ~F.col("known") | ~F.col("rating").eqNullSafe(F.col("old_rating")))
+            .select(*KEYS, "rating", YEAR, "changed")
+            .checkpoint()
         )
-        # A stored copy wins if its rating is as high; nulls are the lowest.
-        as_high = F.col("rating").isNull() | (F.col("old_rating") >= F.col("rating"))
-        news = fresh.join(before, same & as_high, "left_anti").checkpoint()
-        changed = _years(news)
+        changed = _years(merged.filter("changed"))
         if changed:
-            both = self._stored(changed).select(*KEYS, "rating", YEAR).unionByName(news)
-            merged = both.groupBy(*KEYS, YEAR).agg(F.max("rating").alias("rating"))
-            writer = merged.hint("rebalance", YEAR).write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(self.path)
+            writer = merged.filter(F.col(YEAR).isin(changed)).drop("changed").write.mode("overwrite")
+            writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+            with open_side_by_side(self.spark):
+                writer.partitionBy(YEAR).parquet(self.path)
         return changed
 
     def cleaned(self, years: list[int] | None = None) -> DataFrame:

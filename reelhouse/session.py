@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 # Blocks number map tasks times reduce tasks: about 1 GB each keeps that product, and the
 # driver's table of it, near 1e10 at 100 TB. Adaptive execution splits and merges from there.
 BYTES_PER_SHUFFLE_PARTITION = 1024**3
+# Files a task of a stored table keeps open: more than there are years of ratings.
+OPEN_FILES = 64
 
 ENGINE_SETTINGS = {
     # Results never depend on the host's zone.
@@ -70,6 +74,24 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def open_side_by_side(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """Let tasks write up to ``files`` partition values at once, whatever the session says.
+
+    A task with more of them sorts the rest of its rows.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, files)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
