@@ -11,30 +11,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.functions.ratings import rounded_mean
+from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources.batch_table import BatchTable
 
 GENRE_DECADE = "genre string, decade int, stars double, rated long, n long"
 DISTRIBUTION = "rating double, n long"
 
 
-def genre_decade_partials(enriched: DataFrame) -> DataFrame:
-    """Sum, number of rated rows and number of rows per genre and decade.
-
-    Folded per genre list first, so that no rating is copied once per genre.
-    """
-    folded = (
-        enriched.filter(F.col("genre_list").isNotNull() & F.col("decade").isNotNull())
-        .groupBy("genre_list", "decade")
-        .agg(F.sum("rating").alias("stars"), F.count("rating").alias("rated"), F.count("*").alias("n"))
-    )
-    genre = F.explode("genre_list").alias("genre")
+def _fold(enriched: DataFrame) -> DataFrame:
+    """Ratings folded per genre list, decade and rating, before any is copied once per genre."""
+    sums = (F.sum("rating").alias("stars"), F.count("rating").alias("rated"), F.count("*").alias("n"))
+    return enriched.groupBy("genre_list", "decade", "rating").agg(*sums)
+
+
+def _genre_decade_of(folded: DataFrame) -> DataFrame:
+    known = folded.filter(F.col("genre_list").isNotNull() & F.col("decade").isNotNull())
     return (
-        folded.select(genre, "decade", "stars", "rated", "n")
+        known.select(F.explode("genre_list").alias("genre"), "decade", "stars", "rated", "n")
         .groupBy("genre", "decade")
         .agg(*[F.sum(c).alias(c) for c in ("stars", "rated", "n")])
     )
 
 
+def genre_decade_partials(enriched: DataFrame) -> DataFrame:
+    """Sum, number of rated rows and number of rows per genre and decade."""
+    return _genre_decade_of(_fold(enriched))
+
+
 def distribution_partials(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("rating").agg(F.count("*").alias("n"))
 
@@ -48,8 +51,11 @@ class PartialTables:
 
     def load(self, enriched: DataFrame, batch_id: str) -> None:
         """Take up a batch of cleaned ratings, or put it in the place of an earlier load of it."""
-        self.genre_decade.write(genre_decade_partials(enriched), batch_id)
-        self.distribution.write(distribution_partials(enriched), batch_id)
+        ensure_checkpoint_dir(enriched.sparkSession)
+        # Both aggregates come from one fold, so that the ratings are made and read once.
+        folded = _fold(enriched).checkpoint()
+        self.genre_decade.write(_genre_decade_of(folded), batch_id)
+        self.distribution.write(folded.groupBy("rating").agg(F.sum("n").alias("n")), batch_id)
 
     def genre_decade_stats(self) -> DataFrame:
         """As ``gold.genre_decade_stats`` over all batches."""
