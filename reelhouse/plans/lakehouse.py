@@ -119,17 +119,14 @@ class Lakehouse:
         self.tags.overwrite(silver.clean_tags(self.bronze_tags.read()))
 
     def _store_enriched(self) -> None:
-        """Join and store by year. With a small movie table, ratings are spread over
-        the years before they get their movie's columns: the shuffle then moves
-        narrow rows. Otherwise the join shuffles too, and spreading comes last.
+        """Join and store by year, straight from the join: the wide rows are not shuffled
+        again, and each task writes a file for each year it holds.
         """
         ratings = silver.clean_ratings(self.bronze_ratings.read())
         movies = self.movies.read()
-        small = fits_broadcast(movies)
-        if small:
-            ratings = ratings.hint("rebalance", *self.ratings.partition_by)
+        if fits_broadcast(movies):
             movies = F.broadcast(movies)
-        self.ratings.overwrite(silver.enrich_ratings(ratings, movies), spread=not small)
+        self.ratings.overwrite(silver.enrich_ratings(ratings, movies), spread=False)
 
     def check_cleaned(self) -> None:
         quality.require_ok(self.cleaned_report())

@@ -50,9 +50,10 @@ def with_provenance(df: DataFrame, batch_id: str | Column) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. Keep one file per partition unless the data is small."""
+    """Compressed CSV with a header. Keep one file per partition unless the data is small."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = out.write.mode("overwrite").option("compression", "gzip")
+    writer.option("header", True).option("escape", '"').csv(path)
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.schemas import COMMIT_LOG, conform
+from reelhouse.session import open_side_by_side
 
 APPEND, DELETE, OVERWRITE = "append", "delete", "overwrite"
 
@@ -116,12 +117,13 @@ class LakeTable:
         """Write once; the counts come from the same pass.
 
         They are taken in the writing stage itself, so a task that runs again
-        after a lost executor is not counted twice.
+        after a lost executor is not counted twice. A task keeps the files of its
+        partition values open side by side: no task sorts its rows by them.
         """
         seen = Observation()
-        rows.observe(seen, *counts).write.mode("append").partitionBy(
-            *partition_by
-        ).parquet(f"{self.path}/{folder}")
+        writer = rows.observe(seen, *counts).write.mode("append").option("compression", "zstd")
+        with open_side_by_side(self.spark):
+            writer.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
         return seen.get
 
     def _log(self, entries: list[tuple[str, str, str, int]]) -> None:
