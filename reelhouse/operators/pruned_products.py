@@ -9,15 +9,18 @@ last place so far; once the lengths alone rule a block out, they rule out all th
 Users are dealt to groups of bounded size. Each group gets a copy of the items by shuffle, longest
 first, and its task takes them in chunks as they arrive: nothing passes through the driver, and a task
 holds one group and one chunk. A group is done with its items once lengths rule out the rest for all.
+
+``beaten_places`` holds given lists against a scan of all pairs, dealt in the same way.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +40,11 @@ SLACK = 1e-9
 #: The id of a free place in a list.
 FREE = np.iinfo(np.int64).max
 _STATE = "user long, items array<long>, scores array<double>, multiplied long"
+#: Users and items of a scan whose products are made together: 0.5 MB, which a core's cache holds.
+SCAN_USERS, SCAN_ITEMS = 256, 512
+#: Products of a user that may be checked again at once.
+SCAN_HITS = 1 << 16
+_PLACES = "user long, listed int, beaten int"
 
 
 class Blocks:
@@ -179,10 +187,106 @@ class _Group:
             yield pa.record_batch(columns, schema=schema)
 
 
+def beating(users: np.ndarray, items: np.ndarray, own: np.ndarray, better: np.ndarray) -> None:
+    """Add to ``better``, for each user and place, the items whose product is above the score ``own``.
+
+    All pairs are multiplied, in single precision; those that come within its error of the user's least
+    score, or above, are multiplied again as ``products`` does.
+    """
+    length = np.sqrt((users**2).sum(axis=1))
+    longest = np.sqrt((items**2).sum(axis=1)).max(initial=0)
+    widest = max(length.max(initial=0), longest, length.max(initial=0) * longest)
+    kind = np.float32 if widest < np.finfo(np.float32).max / 4 else np.float64
+    # The least score is one more component, so that the sum's sign says whether a pair is near it.
+    least = own.min(axis=1)
+    size = length * longest + np.abs(np.where(np.isinf(least), 0, least))
+    least = least - (users.shape[1] + 6) * np.finfo(kind).eps * size
+    left = np.c_[users, -least].astype(kind)
+    right = np.r_[items.T, np.ones((1, len(items)))].astype(kind)
+    tiles = [np.ascontiguousarray(right[:, at : at + SCAN_ITEMS]) for at in range(0, len(items), SCAN_ITEMS)]
+    for at in range(0, len(users), SCAN_USERS):
+        part = slice(at, at + SCAN_USERS)
+        found = [_true_places(left[part] @ tile >= 0) for tile in tiles]
+        row = np.concatenate([r for r, _ in found])
+        column = np.concatenate([c + n * SCAN_ITEMS for n, (_, c) in enumerate(found)])
+        for first in range(0, len(row), SCAN_HITS):
+            r, c = row[first : first + SCAN_HITS], column[first : first + SCAN_HITS]
+            np.add.at(better[part], r, _pairwise(users[part], items, r, c)[:, None] > own[part][r])
+
+
+def _true_places(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few true values; eight at a time are looked at where they fit."""
+    if matrix.shape[1] % 8:
+        return np.nonzero(matrix)
+    eight = np.flatnonzero(matrix.view(np.uint64))
+    which, place = np.nonzero(matrix.reshape(-1, 8)[eight])
+    return np.divmod(eight[which] * 8 + place, matrix.shape[1])
+
+
+def _lengths(lists: pa.ListArray) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+class _Scan(_Group):
+    """How many items beat each place of the given lists of a group's users, over all items."""
+
+    def _begin(self) -> None:
+        self.users, self.vectors, self.n_items = np.zeros(0, np.int64), np.zeros((0, 1)), 0
+        self.listed, self.strangers = np.zeros(0, np.int64), []
+        scores = pa.array([], pa.float64())
+        if self.waiting:
+            rows = pa.Table.from_batches(self.waiting)
+            known = pc.is_valid(rows["vector"])
+            self.strangers = rows.filter(pc.invert(known)).select(["id", "scores"]).to_batches()
+            self.waiting = rows.filter(known).to_batches()
+        if self.waiting:
+            column = pa.Table.from_batches(self.waiting)["scores"].combine_chunks()
+            self.listed, scores = _lengths(column), pc.list_flatten(column)
+            self.users, self.vectors = self._matrix()
+        self.places = np.arange(max(self.k, self.listed.max(initial=0)))
+        # Any item is better than a place without a score.
+        self.own = np.full((len(self.users), len(self.places)), -np.inf)
+        self.own[self.places < self.listed[:, None]] = scores.to_numpy(zero_copy_only=False)
+        self.own[np.isnan(self.own)] = -np.inf
+        self.better = np.zeros(self.own.shape, np.int64)
+
+    def _take(self) -> None:
+        ids, items = self._matrix()
+        self.n_items += len(ids)
+        if len(self.users) and len(ids):
+            beating(self.vectors, items, self.own, self.better)
+
+    def lists(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.users is None:
+            self._begin()
+        elif self.waiting:
+            self._take()
+        # The first place is beaten by one better item, the second by two; a place beyond all items is one too many.
+        beaten = (self.better > self.places) & (self.places < self.k)
+        beaten |= (self.places >= min(self.k, self.n_items)) & (self.places < self.listed[:, None])
+        for at in range(0, len(self.users), BATCH_USERS):
+            part = slice(at, at + BATCH_USERS)
+            counts = [x.astype(np.int32) for x in (self.listed[part], beaten[part].sum(axis=1))]
+            yield pa.record_batch([pa.array(x) for x in (self.users[part], *counts)], schema=schema)
+        for rows in self.strangers:
+            listed = pa.array(_lengths(rows["scores"]).astype(np.int32))
+            yield pa.record_batch([rows["id"], listed, listed], schema=schema)
+
+
 def _lists(k: int, chunk_items: int):
-    """Top lists of a partition's users; rows come by group, its users first, then items, longest first."""
+    """Top lists of a partition's users."""
     kinds = [("user", pa.int64()), ("items", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))]
-    schema = pa.schema([*kinds, ("multiplied", pa.int64())])
+    return _by_group(lambda: _Group(k, chunk_items), pa.schema([*kinds, ("multiplied", pa.int64())]))
+
+
+def _places(k: int, chunk_items: int):
+    """Beaten places of a partition's users."""
+    kinds = [("user", pa.int64()), ("listed", pa.int32()), ("beaten", pa.int32())]
+    return _by_group(lambda: _Scan(k, chunk_items), pa.schema(kinds))
+
+
+def _by_group(new_group: Callable[[], _Group], schema: pa.Schema):
+    """What each group of a partition gives; rows come by group, its users first, then items."""
 
     def run(batches):
         number, group = None, None
@@ -197,7 +301,7 @@ def _lists(k: int, chunk_items: int):
                 if groups[at] != number:
                     if group:
                         yield from group.lists(schema)
-                    number, group = groups[at], _Group(k, chunk_items)
+                    number, group = groups[at], new_group()
                 group.add(batch.slice(at, end - at), bool(items[at]))
         if group:
             yield from group.lists(schema)
@@ -222,28 +326,47 @@ def top_products(
     all are listed. Null ids or vectors, and vectors with null or non-finite components, take no part;
     ids must not repeat. Without items every user has empty lists.
     """
+    users, items = _usable(users, items)
+    groups = _groups(users, k)
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
+    rows = _dealt(users, items.withColumn("length", length), groups)
+    ordered = rows.sortWithinPartitions("group", "item", F.desc("length"), "id")
+    return ordered.drop("length").mapInArrow(_lists(k, chunk_items), _STATE)
+
+
+def beaten_places(
+    lists: DataFrame, users: DataFrame, items: DataFrame, k: int = 10, chunk_items: int = CHUNK_ITEMS
+) -> DataFrame:
+    """How many scores each list has, and how many of its ``k`` places a scan of all pairs beats.
+
+    ``lists`` has user and scores, best first, as ``top_products`` gives them; ``users`` and ``items`` are
+    as there. A place is beaten if more items than there are places before it have a product above its
+    score, if it has no score though there are items for it, or if there are no items for it. A list of
+    no known user has all its places beaten, and so has a user without a list.
+
+    Every user is multiplied by every item, so the work grows with users times items. A task holds one
+    group of users with the scores of their lists, and one chunk of items.
+    """
+    users, items = _usable(users, items)
+    groups = _groups(users, k)
+    listed = users.join(lists.select(F.col("user").alias("id"), "scores"), "id", "full")
+    rows = _dealt(listed, items, groups).sortWithinPartitions("group", "item")
+    return rows.mapInArrow(_places(k, chunk_items), _PLACES)
+
+
+def _usable(users: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))
     usable = F.col("id").isNotNull() & F.col("vector").isNotNull() & finite
     # Single precision is sent as it is, and multiplied in double.
     single = all(side.schema["vector"].dataType == T.ArrayType(T.FloatType()) for side in (users, items))
     vector = F.col("vector").cast("array<float>" if single else "array<double>").alias("vector")
-    users, items = (side.where(usable).select(F.col("id").cast("long").alias("id"), vector) for side in (users, items))
-    groups = _groups(users, k)
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
-    dealt = users.select(
-        F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group"),
-        F.lit(False).alias("item"),
-        F.lit(0.0).alias("length"),
-        "id",
-        "vector",
-    )
-    copies = items.select(
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
-        F.lit(True).alias("item"),
-        length.alias("length"),
-        "id",
-        "vector",
-    )
-    rows = dealt.unionByName(copies).repartitionById(groups, "group")
-    ordered = rows.sortWithinPartitions("group", "item", F.desc("length"), "id")
-    return ordered.drop("length").mapInArrow(_lists(k, chunk_items), _STATE)
+    return tuple(side.where(usable).select(F.col("id").cast("long").alias("id"), vector) for side in (users, items))
+
+
+def _dealt(users: DataFrame, items: DataFrame, groups: int) -> DataFrame:
+    """A partition for each group of users, with a copy of the items."""
+    number = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")
+    copy = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    dealt = users.select(number.alias("group"), F.lit(False).alias("item"), "*")
+    copies = items.select(copy.alias("group"), F.lit(True).alias("item"), "*")
+    return dealt.unionByName(copies, allowMissingColumns=True).repartitionById(groups, "group")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fixed
-from reelhouse.operators.pruned_products import top_products
+from reelhouse.operators import pruned_products
 from reelhouse.session import ensure_checkpoint_dir
 
 HASH_BUCKETS = 1_000_000
@@ -62,6 +62,11 @@ def train(
     return als.fit(sample)
 
 
+def _vectors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    factors = (model.userFactors, model.itemFactors)
+    return tuple(f.select("id", F.col("features").alias("vector")) for f in factors)
+
+
 def top_lists(
     model: ALSModel, per_user: int = fixed.RECOMMENDATIONS_PER_USER, users: DataFrame | None = None
 ) -> DataFrame:
@@ -70,11 +75,21 @@ def top_lists(
     Bounds on blocks of movies spare most of the users x movies products, and the lists are exact:
     no movie outside one has a higher score. ``multiplied`` is the number of products a user took.
     """
-    known, movies = (f.select("id", F.col("features").alias("vector")) for f in (model.userFactors, model.itemFactors))
+    known, movies = _vectors(model)
     if users is not None:
         asked = users.select(F.col("userId").alias("id")).distinct()
         known = known.join(asked, "id", "left_semi")
-    return top_products(known, movies, per_user)
+    return pruned_products.top_products(known, movies, per_user)
+
+
+def beaten_places(
+    model: ALSModel, lists: DataFrame, per_user: int = fixed.RECOMMENDATIONS_PER_USER
+) -> DataFrame:
+    """``lists`` held against the scores of all users x movies: user, listed, beaten.
+
+    MLlib's own scan of them keeps a heap for each user; this one only looks for scores above a list's.
+    """
+    return pruned_products.beaten_places(lists, *_vectors(model), per_user)
 
 
 def top_scores(
