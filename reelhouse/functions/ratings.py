@@ -39,12 +39,27 @@ def rounded_mean(total: Column, rows: Column, digits: int = 3) -> Column:
 
 def cleaned(winners: DataFrame) -> DataFrame:
     """Deduped ratings that are in range, with their dates."""
-    return winners.filter(rating_in_range(F.col("rating"))).select(
+    return dated(in_range(winners)).select(
         "userId",
         "movieId",
         "rating",
-        normalized_rating(F.col("rating")).alias("rating_normalized"),
-        rating_time(F.col("timestamp")).alias("rating_date"),
-        rating_year(F.col("timestamp")).alias("rating_year"),
+        "rating_normalized",
+        "rating_date",
+        "rating_year",
         "timestamp",
     )
+
+
+def in_range(ratings: DataFrame) -> DataFrame:
+    return ratings.filter(rating_in_range(F.col("rating")))
+
+
+def dated(ratings: DataFrame) -> DataFrame:
+    """Add what follows from a rating and its time."""
+    return ratings.withColumns(
+        {
+            "rating_normalized": normalized_rating(F.col("rating")),
+            "rating_date": rating_time(F.col("timestamp")),
+            "rating_year": rating_year(F.col("timestamp")),
+        }
+    )

@@ -122,11 +122,11 @@ class Lakehouse:
         """Join and store by year, straight from the join: the wide rows are not shuffled
         again, and each task writes a file for each year it holds.
         """
-        ratings = silver.clean_ratings(self.bronze_ratings.read())
         movies = self.movies.read()
         if fits_broadcast(movies):
             movies = F.broadcast(movies)
-        self.ratings.overwrite(silver.enrich_ratings(ratings, movies), spread=False)
+        enriched = silver.clean_and_enrich(self.bronze_ratings.read(), movies)
+        self.ratings.overwrite(enriched, spread=False)
 
     def check_cleaned(self) -> None:
         quality.require_ok(self.cleaned_report())

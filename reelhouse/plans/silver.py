@@ -77,6 +77,13 @@ def clean_tags(tags: DataFrame) -> DataFrame:
     )
 
 
+def clean_and_enrich(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+    """``enrich_ratings`` of the cleaned ratings; what follows from a rating is added after
+    the join, so that none of it is shuffled with the rating.
+    """
+    return rating_fn.dated(enrich_ratings(rating_fn.in_range(winners(ratings)), movies))
+
+
 def enrich_ratings(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Cleaned ratings with their movie's columns; unknown movies stay, as NULLs."""
     return left_lookup(ratings, movies, "movieId")

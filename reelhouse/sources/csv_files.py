@@ -50,9 +50,10 @@ def with_provenance(df: DataFrame, batch_id: str | Column) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Compressed CSV with a header. Keep one file per partition unless the data is small."""
+    """Compressed CSV with a header, or one plain file of data that is small."""
     out = df.coalesce(1) if single_file else df
-    writer = out.write.mode("overwrite").option("compression", "gzip")
+    codec = "none" if single_file else "gzip"
+    writer = out.write.mode("overwrite").option("compression", codec)
     writer.option("header", True).option("escape", '"').csv(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators.dedup import top_per_key
@@ -12,16 +12,30 @@ from reelhouse.plans import gold, silver
 class SampleViews:
     """Each method derives one input or stored table from the files in a folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, items: DataFrame | None = None):
         self.spark = spark
         self.folder = folder
+        self._items = items
 
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # -- raw -------------------------------------------------------------
 
+    def with_items_stored(self, path: str) -> tuple[SampleViews, int]:
+        """The same views with the lines joined to their orders once, stored, and their number.
+
+        Ratings and tags then share one join. The rows are counted as they are written.
+        """
+        seen = Observation()
+        rows = self._sold_items().observe(seen, F.count("*").alias("n"))
+        rows.write.option("compression", "zstd").parquet(path)
+        stored = self.spark.read.schema(rows.schema).parquet(path)
+        return SampleViews(self.spark, self.folder, stored), seen.get["n"]
+
     def _sold_items(self) -> DataFrame:
+        if self._items is not None:
+            return self._items
         items = self._table("lineitem").withColumn(
             "timestamp", F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
         )
