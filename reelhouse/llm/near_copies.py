@@ -33,6 +33,10 @@ SHARED_BANDS = 3
 SKETCH_LONGS = 16
 BATCH_ROWS = 1_024
 HASH_CHUNK = 4_096
+#: A filter of ids: its bits for each id, those of a block, and the most blocks (8 MB).
+FILTER_BITS = 32
+BLOCK_BITS = 32_768
+MOST_BLOCKS = 2_048
 
 _draw = np.random.Generator(np.random.Philox(key=7))
 _FACTORS = _draw.integers(0, 1 << 63, BANDS * ROWS_PER_BAND, np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
@@ -106,6 +110,27 @@ def _with_id(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
+def _by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose doc_id may be in ``ids``, and the others: none of those is.
+
+    All rows of an id are on one side. Tasks get a bitmap of the hashed ids, of 8 MB at most however
+    many there are. So only the first part, in which some rows are not of ``ids``, is left to be
+    joined: texts that a few ids do not name are not shuffled. Rows without doc_id are others.
+    """
+    blocks = min(MOST_BLOCKS, ids.count() * FILTER_BITS // BLOCK_BITS + 1)
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(blocks * BLOCK_BITS))
+    block, bit = F.shiftright(place, 15), place.bitwiseAND(BLOCK_BITS - 1)
+    listed = ids.select(block.alias("near copies block"), bit.alias("bit")).repartition("near copies block")
+    bits = F.bitmap_construct_agg("bit").alias("near copies bits")
+    bitmap = listed.groupBy("near copies block").agg(bits).checkpoint()
+    octet = F.substring("near copies bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(octet), 16, 10).cast("int"), bit.bitwiseAND(7).cast("int")) == 1
+    marked = docs.withColumn("near copies block", block).join(F.broadcast(bitmap), "near copies block", "left")
+    marked = marked.withColumn("near copies listed", F.col("doc_id").isNotNull() & F.coalesce(is_set, F.lit(False)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return tuple(marked.where(F.col("near copies listed") == side).select(*columns) for side in (True, False))
+
+
 def _distinct_texts(marked: DataFrame) -> DataFrame:
     """One row for each text, with its least doc_id and a number of its own, ``rep``.
 
@@ -206,8 +231,9 @@ def _similar(
 ) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of at least ``similarity``."""
     ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "rep")
-    needed = texts.select("rep", "doc_id", "copy").join(shuffled(ends), "rep", "left_semi")
-    rows = _with_id(docs).join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    needed = texts.select("rep", "doc_id", "copy").join(shuffled(ends), "rep", "left_semi").checkpoint()
+    ids = needed.select("doc_id").distinct()
+    rows = _by_ids(_with_id(docs), ids)[0].join(shuffled(ids), "doc_id", "left_semi")
     out = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def shingle(batches):
@@ -299,10 +325,15 @@ def drop_near_copies(
     left_open = left_open.join(shuffled(pairs), ["a", "b"], "left_anti").checkpoint()
     links = links.union(_similar(left_open, docs, texts, words, similarity)).checkpoint()
     kept = texts.select("rep", "doc_id", "copy").join(shuffled(_losers(links, texts)), "rep", "left_anti")
-    repeats = marked.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if repeats:
-        rows = _rows_of(docs, kept)
-    else:
+    kept = kept.checkpoint()
+    # An id that is there once and kept keeps its row. Only rows of the others are shuffled.
+    stays = kept.select("doc_id", F.lit(True).alias("stays")).distinct()
+    times = marked.groupBy("doc_id").agg(F.count("*").alias("n"))
+    unsure = times.join(shuffled(stays), "doc_id", "left").where("n > 1 or stays is null").checkpoint()
+    looked_up, others = _by_ids(docs, unsure)
+    if unsure.where("n > 1").isEmpty():
         kept = kept.select(F.col("doc_id").alias("_kept_id"))
-        rows = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
-    return rows.unionByName(docs.where("doc_id is null"))
+        rows = looked_up.join(shuffled(kept), looked_up["doc_id"] == kept["_kept_id"], "left_semi")
+    else:
+        rows = _rows_of(looked_up, kept)
+    return rows.unionByName(others)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.llm import near_copies
 from tests.conftest import rows_of
@@ -80,3 +81,57 @@ def test_pairs_with_the_best_connected_rows(spark):
             common.setdefault((a, b), set()).add(band)
     assert sorted(found) == sorted(p for p, b in common.items() if len(b) >= near_copies.SHARED_BANDS)
     assert found and len(found) < len(common)
+
+
+def test_rows_are_split_by_a_filter_of_ids(spark):
+    """No listed id is among the others; few are taken that are not listed; nulls are others."""
+    docs = spark.range(-3_000, 3_000).selectExpr("id as doc_id", "'t' as text")
+    docs = docs.union(spark.sql("select null, 'none'"))
+    ids = spark.range(-3_000, 3_000, 7).select(F.col("id").alias("doc_id"))
+    found, others = near_copies._by_ids(docs, ids)
+    assert found.columns == others.columns == docs.columns
+    found, others = [{r.doc_id for r in side.collect()} for side in (found, others)]
+    listed = set(range(-3_000, 3_000, 7))
+    assert listed <= found and None in others and not found & others
+    assert found | others == {None, *range(-3_000, 3_000)} and len(found - listed) < 300
+    assert near_copies._by_ids(docs, ids.limit(0))[0].isEmpty()
+
+
+def test_a_full_filter_takes_all_rows(spark, monkeypatch):
+    """Beyond the largest filter more rows are looked up, none is lost."""
+    monkeypatch.setattr(near_copies, "MOST_BLOCKS", 1)
+    docs = spark.range(400_000).selectExpr("id as doc_id")
+    found, others = near_copies._by_ids(docs, docs)
+    assert (found.count(), others.count()) == (400_000, 0)
+
+
+def _shuffle_bytes(spark) -> int:
+    context = spark.sparkContext
+    gateway = context._gateway
+    no_list = gateway.jvm.java.util.ArrayList()
+    store = context._jsc.sc().statusStore()
+    stages = store.stageList(no_list, False, False, gateway.new_array(gateway.jvm.double, 0), no_list)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_that_stay_are_not_shuffled(spark, tmp_path):
+    """Of 600 long texts 20 have a near copy: the texts shuffled are those, not all three times."""
+    draw = np.random.default_rng(3)
+    texts = [" ".join(np.base_repr(x, 36) for x in draw.integers(1 << 40, 1 << 41, 2_000)) for _ in range(600)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1_000 + i, f"{texts[i]} more") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    # As with tables too large for Spark to broadcast on its own.
+    settings = {f"spark.sql{part}.autoBroadcastJoinThreshold": -1 for part in ("", ".adaptive")}
+    given = {key: spark.conf.get(key) for key in settings}
+    before = _shuffle_bytes(spark)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        near_copies.drop_near_copies(docs).write.parquet(f"{tmp_path}/kept")
+    finally:
+        for key, value in given.items():
+            spark.conf.set(key, value)
+    moved = _shuffle_bytes(spark) - before
+    assert sorted(r.doc_id for r in spark.read.parquet(f"{tmp_path}/kept").collect()) == list(range(600))
+    assert moved < 0.5 * sum(len(t) for t in texts)
