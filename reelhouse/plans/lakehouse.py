@@ -15,6 +15,7 @@ from reelhouse.operators import quality
 from reelhouse.operators.lookups import fits_broadcast
 from reelhouse.plans import bronze, gold, recommender, silver
 from reelhouse.plans.replicas import for_point_reads
+from reelhouse.session import small_tasks
 from reelhouse.sources import csv_files
 from reelhouse.sources.lake import LakeTable
 
@@ -115,8 +116,10 @@ class Lakehouse:
 
     def refine(self) -> None:
         self.movies.overwrite(silver.clean_movies(self.bronze_movies.read()))
-        self._store_enriched()
-        self.tags.overwrite(silver.clean_tags(self.bronze_tags.read()))
+        with small_tasks(self.spark, self.bronze_ratings.row_count()):
+            self._store_enriched()
+        with small_tasks(self.spark, self.bronze_tags.row_count()):
+            self.tags.overwrite(silver.clean_tags(self.bronze_tags.read()))
 
     def _store_enriched(self) -> None:
         """Join and store by year, straight from the join: the wide rows are not shuffled

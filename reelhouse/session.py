@@ -14,6 +14,14 @@ from pyspark.sql import SparkSession
 BYTES_PER_SHUFFLE_PARTITION = 1024**3
 # Files a task of a stored table keeps open: more than there are years of ratings.
 OPEN_FILES = 64
+# A task that folds or sorts keys that hardly repeat holds about 110 bytes a row: with these sizes
+# some 55 MB. Beyond 10 billion rows tasks grow with the rows, or the driver would list too many.
+ROWS_PER_SMALL_TASK = 500_000
+MOST_SMALL_TASKS = 20_000
+SMALL_SPLIT_BYTES = 2 * 1024**2
+SMALL_PARTITION_BYTES = 8 * 1024**2
+# Scans split files between row groups only; counted before compression.
+ROW_GROUP_BYTES = 4 * 1024**2
 
 ENGINE_SETTINGS = {
     # Results never depend on the host's zone.
@@ -75,21 +83,46 @@ def build_session(
 
 
 @contextmanager
-def open_side_by_side(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+def _settings(spark: SparkSession, values: dict[str, int]) -> Iterator[None]:
+    """Hold session settings at other values for a while."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def open_side_by_side(spark: SparkSession, files: int = OPEN_FILES):
     """Let tasks write up to ``files`` partition values at once, whatever the session says.
 
     A task with more of them sorts the rest of its rows.
     """
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, files)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    return _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": files})
+
+
+def small_tasks(spark: SparkSession, rows: int):
+    """Read and shuffle ``rows`` rows in tasks that fold or sort their share in memory.
+
+    Adaptive execution goes by compressed bytes, of which a row has few, and gives a task so
+    many rows that it spills.
+    """
+    tasks = math.ceil(rows / ROWS_PER_SMALL_TASK)
+    larger = max(1, math.ceil(tasks / MOST_SMALL_TASKS))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _settings(
+        spark,
+        {
+            "spark.sql.files.maxPartitionBytes": SMALL_SPLIT_BYTES * larger,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": SMALL_PARTITION_BYTES * larger,
+            "spark.sql.shuffle.partitions": max(partitions, min(tasks, MOST_SMALL_TASKS)),
+        },
+    )
 
 
 def shared_folder(spark: SparkSession) -> str:

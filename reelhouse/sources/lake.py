@@ -15,12 +15,12 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.schemas import COMMIT_LOG, conform
-from reelhouse.session import open_side_by_side
+from reelhouse.session import ROW_GROUP_BYTES, open_side_by_side
 
 APPEND, DELETE, OVERWRITE = "append", "delete", "overwrite"
 
@@ -118,10 +118,12 @@ class LakeTable:
 
         They are taken in the writing stage itself, so a task that runs again
         after a lost executor is not counted twice. A task keeps the files of its
-        partition values open side by side: no task sorts its rows by them.
+        partition values open side by side: no task sorts its rows by them. Row groups
+        are small, so that a scan can be split.
         """
         seen = Observation()
         writer = rows.observe(seen, *counts).write.mode("append").option("compression", "zstd")
+        writer.option("parquet.block.size", ROW_GROUP_BYTES)
         with open_side_by_side(self.spark):
             writer.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
         return seen.get
@@ -201,18 +203,24 @@ class LakeTable:
             rows_then.alias("rows_then"), "rows_now", (F.col("rows_now") - rows_then).alias("added")
         )
 
-    def _read(self, log: DataFrame) -> DataFrame:
-        """Rows of the commits since the last reset, by folder: no other is listed.
+    def row_count(self) -> int:
+        """Number of visible rows, from the log alone."""
+        return sum(entry.added_rows for entry in self._visible(self.log()))
+
+    def _visible(self, log: DataFrame) -> list[Row]:
+        """Commits since the last reset that left rows.
 
         Only log entries, one per commit, come to the driver.
         """
         entries = log.select("seq", "commit_id", "operation", "added_rows").collect()
         last_reset = max((e.seq for e in entries if e.operation != APPEND), default=0)
-        folders = [
-            f"{self.path}/data/commit_id={e.commit_id}"
-            for e in entries
-            if e.seq >= last_reset and e.operation != DELETE and e.added_rows
+        return [
+            e for e in entries if e.seq >= last_reset and e.operation != DELETE and e.added_rows
         ]
+
+    def _read(self, log: DataFrame) -> DataFrame:
+        """Rows of the commits since the last reset, by folder: no other is listed."""
+        folders = [f"{self.path}/data/commit_id={e.commit_id}" for e in self._visible(log)]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return conform(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.operators.dedup import top_per_key
 from reelhouse.plans import gold, silver
+from reelhouse.session import small_tasks
 
 
 class SampleViews:
@@ -29,7 +30,8 @@ class SampleViews:
         """
         seen = Observation()
         rows = self._sold_items().observe(seen, F.count("*").alias("n"))
-        rows.write.option("compression", "zstd").parquet(path)
+        with small_tasks(self.spark, self._table("lineitem").count()):
+            rows.write.option("compression", "zstd").parquet(path)
         stored = self.spark.read.schema(rows.schema).parquet(path)
         return SampleViews(self.spark, self.folder, stored), seen.get["n"]
 

@@ -7,10 +7,18 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from reelhouse import schemas
+from reelhouse.plans import silver
 from reelhouse.plans.lakehouse import Lakehouse
 from reelhouse.plans.partials import PartialTables
 from reelhouse.plans.rating_batches import RatingBatches
-from reelhouse.session import open_side_by_side
+from reelhouse.session import (
+    MOST_SMALL_TASKS,
+    ROWS_PER_SMALL_TASK,
+    SMALL_PARTITION_BYTES,
+    SMALL_SPLIT_BYTES,
+    open_side_by_side,
+    small_tasks,
+)
 from reelhouse.sources import csv_files, message_segments
 from reelhouse.sources.lake import LakeTable
 from tests.conftest import plan_of
@@ -26,6 +34,7 @@ def plans_of(spark, run) -> list[str]:
 
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+SMALL = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")
 
 
 def test_stored_batches_are_not_sorted(spark, tmp_path):
@@ -102,3 +111,47 @@ def test_messages_are_decoded_in_small_batches(tmp_path, monkeypatch):
     batches = list(log.read(message_segments.Span(str(folder / "a.parquet"), 7, 24_000)))
     assert max(b.num_rows for b in batches) <= 10_000
     assert [k for b in batches for k in b.column("key").to_pylist()] == [str(i) for i in range(7, 24_000)]
+
+
+def rows_by_task(df) -> list[int]:
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+def test_cleaning_folds_in_small_tasks(spark, sample, tmp_path, monkeypatch):
+    """Distinct keys of one raw file are dealt to tasks by their number, not by their few bytes."""
+    n = 1_500_000
+    house = Lakehouse(spark, str(tmp_path / "house"))
+    key = lambda m: (F.xxhash64("id") % m).cast("int")
+    ratings = spark.range(0, n, 1, 1).select(
+        key(90_000).alias("userId"), key(20_000).alias("movieId"), F.lit(3.0).alias("rating"), F.col("id").alias("timestamp")
+    )
+    tags = ratings.withColumn("tag", F.lit("Good")).select("userId", "movieId", "tag", "timestamp")
+    house.ingest(ratings, sample.movies_raw(), tags, 1998)
+    assert house.bronze_ratings.row_count() == n == house.bronze_ratings.read().count()
+    seen = {}
+
+    def look(name):
+        fold = {"clean_and_enrich": silver.winners, "clean_tags": silver.clean_tags}[name]
+        clean = getattr(silver, name)
+
+        def wrapped(raw, *others):
+            seen[name] = rows_by_task(raw), rows_by_task(fold(raw))
+            return clean(raw, *others)
+
+        monkeypatch.setattr(silver, name, wrapped)
+
+    look("clean_and_enrich")
+    look("clean_tags")
+    before = {k: spark.conf.get(k) for k in SMALL}
+    house.refine()
+    assert {k: spark.conf.get(k) for k in SMALL} == before
+    for scanned, folded in seen.values():
+        assert sum(scanned) == n and max(scanned) < 700_000 and max(folded) < 700_000
+    assert house.ratings.read().count() == n and house.tags.row_count() == tags.select("userId", "movieId").distinct().count()
+
+
+def test_small_tasks_grow_beyond_their_number(spark):
+    with small_tasks(spark, 3 * MOST_SMALL_TASKS * ROWS_PER_SMALL_TASK):
+        assert [int(spark.conf.get(k)) for k in SMALL] == [3 * SMALL_SPLIT_BYTES, 3 * SMALL_PARTITION_BYTES, MOST_SMALL_TASKS]
+    with small_tasks(spark, 0):
+        assert int(spark.conf.get(SMALL[0])) == SMALL_SPLIT_BYTES and int(spark.conf.get(SMALL[2])) >= 1
