@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_ITEMS = 256
-BATCH_USERS = 4_096
+#: Users that are multiplied by a block at once: 1 MB of products, which a core's cache holds.
+BATCH_USERS = 512
 #: Blocks whose bounds are worked out together.
 BOUND_BLOCKS = 64
 #: Items that are multiplied together: at 100 doubles each, about 13 MB.
@@ -40,9 +41,10 @@ SLACK = 1e-9
 #: The id of a free place in a list.
 FREE = np.iinfo(np.int64).max
 _STATE = "user long, items array<long>, scores array<double>, multiplied long"
-#: Users and items of a scan whose products are made together: 0.5 MB, which a core's cache holds.
-SCAN_USERS, SCAN_ITEMS = 256, 512
-#: Products of a user that may be checked again at once.
+#: Users and items of a scan's tile, and tiles that are made together: 0.5 MB, which a core's cache
+#: holds. BLAS has faster code for products of less than a million multiplications.
+SCAN_USERS, SCAN_ITEMS, SCAN_TILES = 512, 64, 4
+#: Products that are checked again together, and one tile's more at most.
 SCAN_HITS = 1 << 16
 _PLACES = "user long, listed int, beaten int"
 
@@ -110,7 +112,7 @@ def improve(
         if k < len(item_ids) and np.isneginf(least).any():
             # The best of the block itself rule out the others while the lists are filling.
             least = np.fmax(least, np.partition(near, -k, axis=1)[:, -k] - 2 * slack)
-        row, column = np.nonzero(~(near < least[:, None]))
+        row, column = _true_places(~(near < least[:, None]))
         found = _pairwise(users[some], vectors, row, column)
         better = found >= scores[some[row], k - 1]
         row, column, found = row[better], column[better], found[better]
@@ -202,16 +204,58 @@ def beating(users: np.ndarray, items: np.ndarray, own: np.ndarray, better: np.nd
     size = length * longest + np.abs(np.where(np.isinf(least), 0, least))
     least = least - (users.shape[1] + 6) * np.finfo(kind).eps * size
     left = np.c_[users, -least].astype(kind)
-    right = np.r_[items.T, np.ones((1, len(items)))].astype(kind)
-    tiles = [np.ascontiguousarray(right[:, at : at + SCAN_ITEMS]) for at in range(0, len(items), SCAN_ITEMS)]
+    # The longest first, as most pairs near a score are theirs: few tiles hold any.
+    items = items[np.argsort(-(items**2).sum(axis=1))]
+    tiles = _tiles(np.c_[items, np.ones(len(items))], kind)
+    room = _on_a_line((SCAN_TILES, SCAN_USERS, SCAN_ITEMS), kind)
     for at in range(0, len(users), SCAN_USERS):
         part = slice(at, at + SCAN_USERS)
-        found = [_true_places(left[part] @ tile >= 0) for tile in tiles]
-        row = np.concatenate([r for r, _ in found])
-        column = np.concatenate([c + n * SCAN_ITEMS for n, (_, c) in enumerate(found)])
-        for first in range(0, len(row), SCAN_HITS):
-            r, c = row[first : first + SCAN_HITS], column[first : first + SCAN_HITS]
-            np.add.at(better[part], r, _pairwise(users[part], items, r, c)[:, None] > own[part][r])
+        for row, column in _not_negative(left[part], tiles, len(items), room):
+            beats = _pairwise(users[part], items, row, column)[:, None] > own[part][row]
+            np.add.at(better[part], row, beats)
+
+
+def _on_a_line(shape: tuple[int, ...], kind: type) -> np.ndarray:
+    """An empty array that begins on a cache line, where products are stored faster."""
+    size = math.prod(shape) * np.dtype(kind).itemsize
+    room = np.empty(size + 64, np.uint8)
+    begin = -room.ctypes.data % 64
+    return room[begin : begin + size].view(kind).reshape(shape)
+
+
+def _tiles(items: np.ndarray, kind: type) -> np.ndarray:
+    """The items in tiles of SCAN_ITEMS columns; the last is filled up with the last item."""
+    number = math.ceil(len(items) / SCAN_ITEMS)
+    filled = np.pad(items, ((0, number * SCAN_ITEMS - len(items)), (0, 0)), "edge")
+    tiles = _on_a_line((number, items.shape[1], SCAN_ITEMS), kind)
+    tiles[:] = filled.reshape(number, SCAN_ITEMS, -1).swapaxes(1, 2)
+    return tiles
+
+
+def _not_negative(
+    left: np.ndarray, tiles: np.ndarray, columns: int, room: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and columns of the products that are not negative, about SCAN_HITS at a time."""
+    rows, places, held = [], [], 0
+    for first in range(0, len(tiles), SCAN_TILES):
+        some = tiles[first : first + SCAN_TILES]
+        shape = len(some), len(left), SCAN_ITEMS
+        made = room.reshape(-1)[: math.prod(shape)].reshape(shape)
+        np.matmul(left, some, out=made)
+        for n, highest in enumerate(np.maximum.reduce(made.reshape(len(some), -1), axis=1).tolist()):
+            if highest < 0:
+                continue
+            row, column = _true_places(made[n] >= 0)
+            column += (first + n) * SCAN_ITEMS
+            known = column < columns
+            rows.append(row[known])
+            places.append(column[known])
+            held += len(row)
+            if held >= SCAN_HITS:
+                yield np.concatenate(rows), np.concatenate(places)
+                rows, places, held = [], [], 0
+    if held:
+        yield np.concatenate(rows), np.concatenate(places)
 
 
 def _true_places(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,10 +354,16 @@ def _by_group(new_group: Callable[[], _Group], schema: pa.Schema):
 
 
 def _groups(users: DataFrame, k: int) -> int:
-    """How many groups of users there are: as many as cores, and as GROUP_BYTES asks for."""
+    """How many groups of users there are: as many as cores, and as GROUP_BYTES asks for.
+
+    Groups take equally long, so more groups than cores are a multiple of the cores: none idles at the end.
+    """
     sizes = users.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
     needed = math.ceil(sizes.n * 8 * ((sizes.width or 0) + 2 * k) / GROUP_BYTES)
-    return max(needed, min(users.sparkSession.sparkContext.defaultParallelism, math.ceil(sizes.n / GROUP_USERS)), 1)
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    if needed > cores:
+        return math.ceil(needed / cores) * cores
+    return max(needed, min(cores, math.ceil(sizes.n / GROUP_USERS)), 1)
 
 
 def top_products(
@@ -351,6 +401,8 @@ def beaten_places(
     groups = _groups(users, k)
     listed = users.join(lists.select(F.col("user").alias("id"), "scores"), "id", "full")
     rows = _dealt(listed, items, groups).sortWithinPartitions("group", "item")
+    # Arrow's writer goes back over all nulls of a batch for each null list: items get empty ones.
+    rows = rows.withColumn("scores", F.coalesce("scores", F.array().cast("array<double>")))
     return rows.mapInArrow(_places(k, chunk_items), _PLACES)
 
 

@@ -1,6 +1,7 @@
 """Lists held against a scan of all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,53 @@ def test_mllib_agrees_and_does_not_scan(spark, sample, monkeypatch):
 
     monkeypatch.setattr("pyspark.ml.recommendation.ALSModel.recommendForAllUsers", scan)
     assert registry.als_top_exact(sample).first().beaten == 0
+
+
+def test_tiles_that_are_not_full():
+    """Counts of better items are those of all products, whatever is left over in the last tiles."""
+    draw = np.random.default_rng(7)
+    users, items = draw.normal(size=(pruned_products.SCAN_USERS + 3, 4)), draw.normal(size=(5 * pruned_products.SCAN_ITEMS + 1, 4))
+    items[-1] = 9  # the one that fills up the last tile is near every score of some users
+    every = pruned_products.products(users, items)
+    own = -np.sort(-every, axis=1)[:, [0, 2, 40]]
+    own[5], own[6] = -np.inf, own[6] - 100  # every item beats these
+    better = np.zeros(own.shape, np.int64)
+    pruned_products.beating(users, items, own, better)
+    assert np.array_equal(better, (every[:, None, :] > own[:, :, None]).sum(axis=2))
+
+
+def test_a_tile_without_a_near_pair_is_not_searched(monkeypatch):
+    """The highest product of a tile says that none of it is near a score."""
+    draw = np.random.default_rng(8)
+    users, items = draw.random((2_000, 6)), draw.random((4_096, 6))
+    own = pruned_products.products(users, items).max(axis=1, keepdims=True)
+    searched, search = [], pruned_products._true_places
+    monkeypatch.setattr(pruned_products, "_true_places", lambda found: searched.append(found.size) or search(found))
+    better = np.zeros(own.shape, np.int64)
+    pruned_products.beating(users, items, own, better)
+    assert not better.any() and sum(searched) < users.shape[0] * items.shape[0] / 2
+
+
+def test_no_null_list_is_sent_to_the_scan(spark, monkeypatch):
+    """Arrow's writer takes time with the square of a batch's null lists."""
+
+    def nulls(*_):
+        def run(batches):
+            for rows in batches:
+                columns = [[0], [rows.num_rows], [rows.column("scores").null_count]]
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], names=["user", "listed", "beaten"])
+
+        return run
+
+    kinds = [pa.int64(), pa.int32(), pa.int32()]
+    monkeypatch.setattr(pruned_products, "_places", nulls)
+    sent = places(spark, [(1, [1.0])], [(1, [1.0]), (2, [2.0])], [(i, [0.5]) for i in range(50)])
+    assert sum(n for _, n, _ in sent) == 52 and sum(n for _, _, n in sent) == 0
+
+
+def test_groups_fill_all_cores_to_the_end(spark, monkeypatch):
+    """More groups than cores are a multiple of the cores."""
+    cores = spark.sparkContext.defaultParallelism
+    users = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(100)], "id long, vector array<double>")
+    monkeypatch.setattr(pruned_products, "GROUP_BYTES", 100 * 8 * (2 + 2 * 3) / (cores + 0.5))
+    assert pruned_products._groups(users, 3) == 2 * cores
