@@ -27,6 +27,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # Plans that tests look at are counted from the first of the session on.
+            "spark.sql.ui.retainedExecutions": "100000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
